@@ -1,0 +1,5 @@
+"""Streaming.
+
+The synchroniser is a batch job (a run twice a day); it has no streaming
+source, watermark or stateful operator, so nothing here is needed for parity.
+"""
