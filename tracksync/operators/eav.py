@@ -87,11 +87,12 @@ def source_by_label(datos: DataFrame, fields: DataFrame, *, item_col: str = "ite
 
 def apply_update(values: DataFrame, source: DataFrame, *, keys: Sequence[str] = KEYS,
                  entity_type: str | None = None, flag_col: str | None = None,
-                 value_col: str = "value", new_col: str = "new_value") -> DataFrame:
+                 value_col: str = "value", new_col: str = "new_value", where=None) -> DataFrame:
     """``UPDATE values SET value = s.new FROM source s WHERE keys match``, deterministic.
 
     The source is first reduced to one row per key (smallest non-NULL value, with a
-    hit flag), so the join can never multiply target rows.  The reduction is a
+    hit flag), so the join can never multiply target rows.  ``where`` restricts the
+    target rows (e.g. only empty values).  The reduction is a
     partial (map-side) aggregate, which also absorbs hot keys before the shuffle.
     """
     red = source.groupBy(*keys).agg(F.min(new_col).alias("_new"), F.max(F.lit(True)).alias("_hit"))
@@ -99,6 +100,8 @@ def apply_update(values: DataFrame, source: DataFrame, *, keys: Sequence[str] =
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     if entity_type is not None:
         hit = hit & (F.col("customized_type") == F.lit(entity_type))
+    if where is not None:
+        hit = hit & F.coalesce(where, F.lit(False))
     cols = [F.when(hit, F.col("_new")).otherwise(F.col(c)).alias(c) if c == value_col else F.col(c)
             for c in values.columns]
     if flag_col:
