@@ -1 +1,126 @@
-"""placeholder"""
+"""Catalog part 4: seeding, API items (filter, projection, saved pages) and exports."""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import functions as F
+
+from ..config import SyncConfig
+from ..functions import clean_text, raw_or_self
+from ..operators import eav, export, items
+from ..session import scratch_path
+from ..sources.fixtures import api_items, fixtures, oracle_ctes, read_table
+from ..sources.pages import read_pages, save_pages
+from .catalog import register
+
+CFG = SyncConfig()
+RUN_TS = _dt.datetime(2024, 6, 1, 5, 30, 0)
+LABELS = {1: "order_status", 2: "order_priority", 3: "customer", 4: "order_key"}
+FILTERS = {"customField1": ["F", "O"], "customField2": ["1-URGENT"]}
+PAGE_SIZE = 1000
+
+_PROJ = """SELECT CAST(o_orderkey AS VARCHAR) AS id, 'ORD-' || CAST(o_orderkey AS VARCHAR) AS subject,
+  CASE WHEN o_orderkey % 13 <> 0 THEN o_orderstatus END AS status,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'Request' ELSE 'Dossier' END AS type,
+  o_orderstatus AS order_status, o_orderpriority AS order_priority,
+  CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS customer,
+  CAST(o_orderkey AS VARCHAR) AS order_key
+FROM orders"""
+_WHERE_FILTERS = "\nWHERE o_orderstatus IN ('F', 'O') AND o_orderpriority IN ('1-URGENT')"
+
+
+def _items_map(spark, sf):
+    return api_items(read_table(spark, sf, "orders")).select(
+        F.from_json("item_json", "map<string,string>").alias("item"))
+
+
+def _paged_items(spark, sf):
+    path = scratch_path(spark, "pages")
+    save_pages(api_items(read_table(spark, sf, "orders")), path, PAGE_SIZE)
+    return read_pages(spark, path, PAGE_SIZE)
+
+
+@register("q_seed_missing_items", oracle_ctes("fx_registry", "fx_items") + """
+SELECT 8 AS type_id, 44 AS project_id, s.num AS subject, '' AS description, 18 AS status_id, 8 AS priority_id,
+       4 AS author_id, 2 AS lock_version, TIMESTAMP '2024-06-01 05:30:00' AS created_at,
+       TIMESTAMP '2024-06-01 05:30:00' AS updated_at, FALSE AS schedule_manually, FALSE AS ignore_non_working_days
+FROM fx_registry s
+WHERE NOT EXISTS (SELECT 1 FROM fx_items w WHERE w.subject = s.num) AND s.num NOT LIKE '33%'""")
+def q_seed_missing_items(spark, sf):
+    """O-53, O-05, O-04, O-52: registry numbers missing as item subjects -> new items (bag)."""
+    fx = fixtures(spark, sf, "fx_registry", "fx_items")
+    return items.seed_rows(fx["fx_registry"], fx["fx_items"], CFG, RUN_TS)
+
+
+@register("q_filter_and", _PROJ + _WHERE_FILTERS)
+def q_filter_and(spark, sf):
+    """O-14, O-16, O-17: AND-of-INs filter over API items, then the label projection."""
+    return export.export_filtered(_items_map(spark, sf), FILTERS, LABELS)
+
+
+@register("q_label_projection", _PROJ)
+def q_label_projection(spark, sf):
+    """O-16, O-17: every API item projected to fixed columns plus labelled custom fields."""
+    return export.label_projection(_items_map(spark, sf), LABELS)
+
+
+@register("q_subject_coalesce", """
+SELECT o_orderkey AS id, 'ORD-' || CAST(o_orderkey AS VARCHAR) AS subject FROM orders""")
+def q_subject_coalesce(spark, sf):
+    """O-17: subject given as text or as {"raw": text} -> text."""
+    return api_items(read_table(spark, sf, "orders")).select(
+        "id", raw_or_self(F.get_json_object("item_json", "$.subject")).alias("subject"))
+
+
+@register("q_page_envelope", _PROJ)
+def q_page_envelope(spark, sf):
+    """O-03: items written as saved 1000-item pages by Spark, read back with the paging rules."""
+    return export.label_projection(_paged_items(spark, sf), LABELS)
+
+
+@register("q_export_filtered", _PROJ + _WHERE_FILTERS)
+def q_export_filtered(spark, sf):
+    """O-69: saved pages -> AND-of-INs filter -> label projection (the filtered export)."""
+    return export.export_filtered(_paged_items(spark, sf), FILTERS, LABELS)
+
+
+@register("q_clean_text", r"""
+SELECT doc_id, regexp_replace(text, '[^\x20-\x7E]', '', 'g') AS text FROM documents""")
+def q_clean_text(spark, sf):
+    """O-50: drop characters outside printable ASCII, over whole document texts."""
+    return read_table(spark, sf, "documents").select("doc_id", clean_text("text").alias("text"))
+
+
+@register("q_json_widen", r"""
+SELECT CAST(event_id AS VARCHAR) AS subject,
+       regexp_replace(json_extract_string(props, '$.k'), '[^\x20-\x7E]', '', 'g') AS k FROM events""")
+def q_json_widen(spark, sf):
+    """O-42, O-50: JSON object column -> one column per key (union of keys), text-cleaned."""
+    view = read_table(spark, sf, "events").select(F.col("event_id").cast("string").alias("subject"),
+                                                  F.col("props").alias("custom_fields"))
+    return export.export_all(view)
+
+
+_EXPORT_KEYS = ["PARTNER", "current_state", "due_date", "hidden_flag", "installed_m", "pending", "proposed",
+                "ref_id", "replan_kind", "click", "view", "purchase", "signup", "error"]
+
+
+@register("q_export_all", oracle_ctes("fx_items", "fx_values", "fx_fields") + """,
+one AS (SELECT v.customized_id, f.name, MIN(v.value) AS value
+        FROM fx_values v JOIN fx_fields f ON f.id = v.custom_field_id
+        WHERE v.customized_type = 'WorkPackage' GROUP BY 1, 2),
+wide AS (SELECT customized_id, """ + ",\n  ".join(
+    f"MIN(value) FILTER (WHERE name = '{k}') AS \"{k}\"" for k in _EXPORT_KEYS) + """
+  FROM one GROUP BY customized_id)
+SELECT regexp_replace(i.subject, '[^\\x20-\\x7E]', '', 'g') AS subject, """ + ",\n  ".join(
+    f"regexp_replace(w.\"{k}\", '[^\\x20-\\x7E]', '', 'g') AS \"{k}\"" for k in _EXPORT_KEYS) + """
+FROM fx_items i LEFT JOIN wide w ON w.customized_id = i.id""")
+def q_export_all(spark, sf):
+    """O-70, O-43, O-42, O-50: items + JSON object of custom fields (the export view), widened
+    over the union of keys and text-cleaned."""
+    fx = fixtures(spark, sf, "fx_items", "fx_values", "fx_fields")
+    obj = eav.json_object_per_item(fx["fx_values"], fx["fx_fields"], entity_type=CFG.entity_type)
+    view = fx["fx_items"].join(obj, fx["fx_items"]["id"] == obj["customized_id"], "left").select(
+        "subject", "custom_fields")
+    return export.export_all(view)

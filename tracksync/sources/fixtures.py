@@ -114,3 +114,31 @@ def oracle_ctes(*names: str) -> str:
         text = FX_SQL[n].format(**{t: t for t in base_tables_of(n)})
         parts.append(f"{n} AS ({text.strip()})")
     return "WITH " + ",\n".join(parts) + "\n"
+
+
+def api_items(orders: DataFrame) -> DataFrame:
+    """Stand-in for the tracker API payload, one JSON object per order: (id, item_json).
+
+    ``subject`` alternates between text (even ids) and ``{"raw": text}`` (odd ids);
+    ``status`` is a link object, JSON null every 13th id; ``type`` names dossier or
+    request; custom fields 1-4 carry status, priority, customer (JSON null every
+    7th id) and the order key.
+    """
+    from pyspark.sql import functions as F
+
+    k = F.col("o_orderkey")
+    text = F.concat(F.lit("ORD-"), k.cast("string"))
+    subject = F.when(k % 2 == 0, F.to_json(F.array(text)).substr(F.lit(2), F.length(F.to_json(F.array(text))) - 2)) \
+        .otherwise(F.to_json(F.struct(text.alias("raw"))))
+    rest = F.struct(
+        k.alias("id"),
+        F.when(k % 13 != 0, F.struct(F.col("o_orderstatus").alias("name"))).alias("status"),
+        F.struct(F.when(k % 3 == 0, F.lit("Request")).otherwise(F.lit("Dossier")).alias("name")).alias("type"),
+        F.col("o_orderstatus").alias("customField1"),
+        F.col("o_orderpriority").alias("customField2"),
+        F.when(k % 7 != 0, F.col("o_custkey")).alias("customField3"),
+        k.alias("customField4"),
+    )
+    body = F.to_json(rest, {"ignoreNullFields": "false"})
+    js = F.concat(F.lit('{"subject":'), subject, F.lit(","), body.substr(F.lit(2), F.length(body)))
+    return orders.select(k.alias("id"), js.alias("item_json"))
