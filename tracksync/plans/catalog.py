@@ -27,4 +27,4 @@ def register(name: str, oracle: str | None = None):
 
 
 # importing the modules fills the catalog
-from . import q_core, q_registry, q_rules, q_export  # noqa: E402,F401
+from . import q_core, q_registry, q_rules, q_export, q_sync  # noqa: E402,F401
