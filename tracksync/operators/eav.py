@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small
-from .ids import with_dense_index
+from .ids import IdSequence
 
 VALUE_COLUMNS = ["id", "customized_type", "customized_id", "custom_field_id", "value"]
 KEYS = ["customized_id", "custom_field_id"]
@@ -33,7 +33,7 @@ DEFAULT_MAX_DIM_ROWS = 2_000_000
 def field_lookup(fields: DataFrame, label_col: str = "attr", max_rows: int = DEFAULT_MAX_DIM_ROWS) -> DataFrame:
     """(field_id, <label_col>) from the dictionary, broadcast behind a size check."""
     f = fields.select(F.col("id").alias("field_id"), F.col("name").alias(label_col))
-    return broadcast_if_small(f, max_rows)
+    return broadcast_if_small(f, max_rows, basis=fields)
 
 
 def resolve_labels(datos: DataFrame, fields: DataFrame, label_col: str = "attr",
@@ -69,12 +69,13 @@ def missing_rows(datos: DataFrame, fields: DataFrame, values: DataFrame, *, enti
     )
 
 
-def append_with_ids(values: DataFrame, new_rows: DataFrame, start: int | None = None) -> DataFrame:
-    """Append rows after giving them fresh ids above ``max(values.id)`` (unique, dense per call)."""
-    if start is None:
-        start = int(values.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]) + 1
-    ided = with_dense_index(new_rows, "id", start=start)
-    return values.unionByName(ided.select(*VALUE_COLUMNS))
+def append_with_ids(values: DataFrame, new_rows: DataFrame, seq: IdSequence | None = None) -> DataFrame:
+    """Append rows after giving them fresh ids above ``max(values.id)`` (unique, dense per call).
+
+    Pass the run's :class:`IdSequence` to avoid rescanning ``values`` for its maximum.
+    """
+    seq = seq or IdSequence.from_table(values, "id")
+    return values.unionByName(seq.assign(new_rows, "id").select(*VALUE_COLUMNS))
 
 
 def source_by_label(datos: DataFrame, fields: DataFrame, *, item_col: str = "item_id", label_col: str = "attr",
@@ -120,7 +121,8 @@ def apply_rewrite(values: DataFrame, where, new_value, flag_col: str | None = No
 
 def upsert(values: DataFrame, fields: DataFrame, insert_datos: DataFrame, update_datos: DataFrame, *,
            entity_type: str, guard_updates: bool = False, distinct_keys: bool = False,
-           max_rows: int = DEFAULT_MAX_DIM_ROWS, flag_col: str | None = None) -> DataFrame:
+           max_rows: int = DEFAULT_MAX_DIM_ROWS, flag_col: str | None = None,
+           seq: IdSequence | None = None) -> DataFrame:
     """Insert missing (item, field) rows with NULL, then update from ``update_datos``.
 
     ``insert_datos`` and ``update_datos`` are (item_id, attr, value) frames; they are
@@ -129,7 +131,7 @@ def upsert(values: DataFrame, fields: DataFrame, insert_datos: DataFrame, update
     """
     new = missing_rows(insert_datos, fields, values, entity_type=entity_type,
                        distinct_keys=distinct_keys, max_rows=max_rows)
-    grown = append_with_ids(values, new)
+    grown = append_with_ids(values, new, seq)
     src = source_by_label(update_datos, fields, max_rows=max_rows)
     return apply_update(grown, src, entity_type=entity_type if guard_updates else None, flag_col=flag_col)
 
@@ -139,7 +141,7 @@ def pivot_wide(values: DataFrame, fields: DataFrame, names: Sequence[str], *, en
     """EAV -> one row per item, one column per named field (duplicates: smallest value)."""
     v = values if entity_type is None else values.filter(F.col("customized_type") == F.lit(entity_type))
     f = broadcast_if_small(fields.filter(F.col("name").isin(list(names))).select(
-        F.col("id").alias("custom_field_id"), "name"), max_rows)
+        F.col("id").alias("custom_field_id"), "name"), max_rows, basis=fields)
     return (v.join(f, "custom_field_id")
             .groupBy("customized_id").pivot("name", list(names)).agg(F.min("value")))
 
@@ -152,7 +154,7 @@ def json_object_per_item(values: DataFrame, fields: DataFrame, *, entity_type: s
     A row holds at most one entry per dictionary field, so it is bounded by the dictionary.
     """
     v = values if entity_type is None else values.filter(F.col("customized_type") == F.lit(entity_type))
-    f = broadcast_if_small(fields.select(F.col("id").alias("custom_field_id"), "name"), max_rows)
+    f = broadcast_if_small(fields.select(F.col("id").alias("custom_field_id"), "name"), max_rows, basis=fields)
     one = v.join(f, "custom_field_id").groupBy("customized_id", "name").agg(F.min("value").alias("value"))
     return one.groupBy("customized_id").agg(
         F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "value"))))).alias("custom_fields"))

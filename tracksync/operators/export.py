@@ -21,14 +21,21 @@ def filter_and(items: DataFrame, filters: Mapping[str, Sequence[object]], item_c
 
     Missing key -> '' ; object -> its ``raw`` member or '' ; JSON null -> 'None';
     booleans -> 'True' / 'False'.  An empty filter map keeps all; an empty list keeps none.
+
+    The predicate reads the item map many times.  When ``item`` is itself an
+    expression (``from_json`` of a text column), pushing the filter below that
+    projection would copy the parse into every reference; binding the map once
+    as a lambda variable (``exists(array(item), m -> ...)``) keeps one parse.
     """
-    m = F.col(item_col)
-    preds: list[Column] = []
-    for field, expected in filters.items():
-        text = F.when(F.map_contains_key(m, F.lit(field)), python_str(m[field])).otherwise(F.lit(""))
-        wanted = [str(v) for v in expected]
-        preds.append(text.isin(wanted) if wanted else F.lit(False))
-    return items.filter(all_of(preds))
+    def keep(m: Column) -> Column:
+        preds: list[Column] = []
+        for field, expected in filters.items():
+            text = F.when(F.map_contains_key(m, F.lit(field)), python_str(m[field])).otherwise(F.lit(""))
+            wanted = [str(v) for v in expected]
+            preds.append(text.isin(wanted) if wanted else F.lit(False))
+        return all_of(preds)
+
+    return items.filter(F.exists(F.array(F.col(item_col)), keep))
 
 
 def label_projection(items: DataFrame, labels: Mapping[int, str], item_col: str = "item",

@@ -2,31 +2,63 @@
 
 Spark has no distributed dense index in the DataFrame API apart from a global
 window, which would pull every row into one task.  Instead: count rows per
-input partition (one row per partition, a bounded table), turn the counts into
-offsets, and add the position inside the partition.  The input is checkpointed
-first so that both passes see the same partitions and a recomputation after a
-lost executor cannot hand out different ids.
+input partition (one number per partition, a bounded result), turn the counts
+into offsets on the driver, and add the position inside the partition.  The
+input is checkpointed first so that both passes see the same partitions and a
+recomputation after a lost executor cannot hand out different ids.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
 
-def with_dense_index(df: DataFrame, col: str = "row_index", start: int = 0, checkpoint: bool = True) -> DataFrame:
-    """Add ``col`` = start, start+1, ... over all rows of ``df``."""
+def dense_index(df: DataFrame, col: str = "row_index", start: int = 0,
+                checkpoint: bool = True) -> tuple[DataFrame, int]:
+    """``df`` with ``col`` = start, start+1, ... and the number of rows.
+
+    Row order follows the partition order of ``df`` (so a sorted input gives ids
+    in sort order).
+    """
     if checkpoint:
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
-    tagged = df.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: the global window is over a bounded table
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .withColumn(col, F.lit(start).cast("long") + F.col("_off") + local)
-            .drop("_pid", "_mid", "_off"))
+    counts = {r[0]: r[1] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()}
+    offsets, acc = [], 0
+    for p in range(max(counts) + 1 if counts else 0):
+        offsets.append(acc)
+        acc += counts.get(p, 0)
+    if not offsets:
+        return df.withColumn(col, F.lit(None).cast("long")), 0
+    pid = F.spark_partition_id()
+    base = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
+    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    return df.withColumn(col, F.lit(start).cast("long") + base + local), acc
+
+
+def with_dense_index(df: DataFrame, col: str = "row_index", start: int = 0, checkpoint: bool = True) -> DataFrame:
+    return dense_index(df, col, start, checkpoint)[0]
+
+
+class IdSequence:
+    """Next free id of a table, kept on the driver across appends of one run.
+
+    One aggregate at the start (``from_table``); every append advances the
+    sequence by the number of rows it assigned, so later appends do not rescan
+    the (large) table for its maximum.
+    """
+
+    def __init__(self, next_id: int):
+        self.next_id = next_id
+
+    @classmethod
+    def from_table(cls, df: DataFrame, col: str = "id") -> IdSequence:
+        return cls(int(df.agg(F.coalesce(F.max(col), F.lit(0))).first()[0]) + 1)
+
+    def assign(self, df: DataFrame, col: str = "id") -> DataFrame:
+        out, n = dense_index(df, col, self.next_id)
+        self.next_id += n
+        return out

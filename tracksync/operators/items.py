@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import SyncConfig
 from ..functions import run_timestamp, starts_with
-from .ids import with_dense_index
+from .ids import IdSequence
 
 ITEM_COLUMNS = ["id", "type_id", "project_id", "subject", "description", "status_id", "priority_id", "author_id",
                 "lock_version", "created_at", "updated_at", "schedule_manually", "ignore_non_working_days"]
@@ -35,13 +35,14 @@ def seed_rows(registry: DataFrame, items: DataFrame, cfg: SyncConfig = SyncConfi
         F.lit(s.ignore_non_working_days).alias("ignore_non_working_days"))
 
 
-def append_items(items: DataFrame, new_rows: DataFrame, start: int | None = None) -> DataFrame:
+def append_items(items: DataFrame, new_rows: DataFrame, seq: IdSequence | None = None) -> DataFrame:
     """O-11: new ids above ``max(items.id)``, dense in subject order, then union by name.
 
-    Items may carry fewer columns than a full item row; missing ones become NULL.
+    The sort is a range-partitioned distributed sort (no single task); the ids
+    follow partition order.  Items may carry fewer columns than a full item row;
+    missing ones become NULL.
     """
-    if start is None:
-        start = int(items.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]) + 1
-    ided = with_dense_index(new_rows.orderBy("subject"), "id", start=start)
+    seq = seq or IdSequence.from_table(items, "id")
+    ided = seq.assign(new_rows.orderBy("subject"), "id")
     return items.unionByName(ided.select(*[c for c in items.columns if c in ided.columns]),
                              allowMissingColumns=True)

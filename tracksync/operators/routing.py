@@ -36,7 +36,7 @@ def update_items(items: DataFrame, source: DataFrame, *, set_col: str, where: Co
 def field_values_by_label(values: DataFrame, fields: DataFrame, label: str, max_rows: int) -> DataFrame:
     """EAV rows of the field(s) named ``label`` (no entity-type guard)."""
     f = broadcast_if_small(fields.filter(F.col("name") == F.lit(label)).select(F.col("id").alias("custom_field_id")),
-                           max_rows)
+                           max_rows, basis=fields)
     return values.join(f, "custom_field_id", "left_semi")
 
 
@@ -50,7 +50,7 @@ def route_by_value(items: DataFrame, values: DataFrame, fields: DataFrame, proje
     key = F.col("value") if suffix is None else with_suffix("value", suffix)
     v = v.select(F.col("customized_id").alias("id"), key.alias("pname"))
     p = broadcast_if_small(projects.select(F.col("id").alias("new"), F.col("name").alias("pname")),
-                           cfg.broadcast_max_rows)
+                           cfg.broadcast_max_rows, basis=projects)
     src = v.join(p, "pname").select("id", "new")
     return update_items(items, src, set_col="project_id", where=F.col("type_id") == F.lit(item_type),
                         flag_col=flag_col)
@@ -68,8 +68,10 @@ def reroute_to_parent(items: DataFrame, values: DataFrame, relations: DataFrame,
     tgt = items.filter(F.col("type_id") == F.lit(cfg.dossier_type)).select(
         F.col("id").alias("target_id"), F.col("subject").alias("value"))
     rel = relations.select(F.col("from_id").alias("req_id"), F.col("to_id").alias("target_id"))
-    p = broadcast_if_small(projects.select(F.col("id").alias("req_project"), "parent_id"), cfg.broadcast_max_rows)
-    parent = broadcast_if_small(projects.select(F.col("id").alias("parent_id")), cfg.broadcast_max_rows)
+    p = broadcast_if_small(projects.select(F.col("id").alias("req_project"), "parent_id"), cfg.broadcast_max_rows,
+                           basis=projects)
+    parent = broadcast_if_small(projects.select(F.col("id").alias("parent_id")), cfg.broadcast_max_rows,
+                                basis=projects)
     src = (req.join(ref, "req_id").join(tgt, "value").join(rel, ["req_id", "target_id"])
            .join(p, "req_project").join(parent, "parent_id")
            .select(F.col("target_id").alias("id"), F.col("parent_id").alias("new")))
@@ -81,7 +83,8 @@ def fill_from_project(values: DataFrame, items: DataFrame, projects: DataFrame,
     """O-65, O-49: an empty partner value (NULL or '') of an item of ``item_type`` takes the
     item's project name without the suffix word (case-insensitive, with its blanks)."""
     item_type = cfg.dossier_type if item_type is None else item_type
-    p = broadcast_if_small(projects.select(F.col("id").alias("project_id"), "name"), cfg.broadcast_max_rows)
+    p = broadcast_if_small(projects.select(F.col("id").alias("project_id"), "name"), cfg.broadcast_max_rows,
+                           basis=projects)
     src = (items.filter(F.col("type_id") == F.lit(item_type)).select(F.col("id").alias("customized_id"), "project_id")
            .join(p, "project_id")
            .select("customized_id", F.lit(cfg.partner_field_id).alias("custom_field_id"),

@@ -16,7 +16,7 @@ def decimal_commas(values: DataFrame, fields: DataFrame, cfg: SyncConfig = SyncC
     """O-57, O-27, O-47: ',' -> '.' in values of float-format fields (any entity type)."""
     floats = fields.filter(F.col("field_format") == F.lit(cfg.float_format)).select(
         F.col("id").alias("custom_field_id"), F.lit(True).alias("_is_float")).dropDuplicates(["custom_field_id"])
-    j = values.join(broadcast_if_small(floats, cfg.broadcast_max_rows), "custom_field_id", "left")
+    j = values.join(broadcast_if_small(floats, cfg.broadcast_max_rows, basis=fields), "custom_field_id", "left")
     j = j.select(*values.columns, "_is_float")
     out = eav.apply_rewrite(j, F.col("_is_float") & F.col("value").like("%,%"), decimal_comma_to_dot("value"), flag_col)
     return out.drop("_is_float")
@@ -38,11 +38,12 @@ def due_dates(values: DataFrame, fields: DataFrame, state_days: DataFrame, cfg:
     state = values.filter(F.col("custom_field_id") == F.lit(cfg.state_field_id)).select(
         "customized_id", F.col("value").alias("state_name"))
     by_name = broadcast_if_small(fields.select(F.col("id").alias("custom_field_id"), F.col("name").alias("state_name")),
-                                 cfg.broadcast_max_rows)
+                                 cfg.broadcast_max_rows, basis=fields)
     base = (state.join(by_name, "state_name")
             .join(values.select("customized_id", "custom_field_id", "value"), ["customized_id", "custom_field_id"])
             .select("customized_id", "state_name", F.col("value").cast("date").alias("base_date")))
-    days = broadcast_if_small(state_days.select(F.col("state").alias("state_name"), "add_days"), cfg.broadcast_max_rows)
+    days = broadcast_if_small(state_days.select(F.col("state").alias("state_name"), "add_days"), cfg.broadcast_max_rows,
+                              basis=state_days)
     return base.join(days, "state_name").select(
         "customized_id", format_day(add_days("base_date", "add_days")).alias("due_date"))
 
@@ -58,7 +59,7 @@ def apply_due_dates(values: DataFrame, fields: DataFrame, state_days: DataFrame,
     target = due_dates(values, fields, state_days, cfg).select("customized_id", F.col("due_date").alias("new_value"))
     due = fields.filter(F.col("name") == F.lit(cfg.due_label)).select(
         F.col("id").alias("custom_field_id"), F.lit(True).alias("_is_due")).dropDuplicates(["custom_field_id"])
-    marked = values.join(broadcast_if_small(due, cfg.broadcast_max_rows), "custom_field_id", "left").select(
+    marked = values.join(broadcast_if_small(due, cfg.broadcast_max_rows, basis=fields), "custom_field_id", "left").select(
         *values.columns, "_is_due")
     out = eav.apply_update(marked, target, keys=["customized_id"], where=F.col("_is_due"), flag_col=flag_col)
     return out.drop("_is_due")

@@ -12,6 +12,7 @@ then update), so both see one snapshot.  Nothing is published here; see
 from __future__ import annotations
 
 import datetime as _dt
+import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 
 from ..config import SyncConfig
 from ..operators import eav, history, items as items_ops, links, registry, routing, rules, spatial
+from ..operators.ids import IdSequence
 from ..session import ensure_checkpoint_dir
 
 
@@ -43,63 +45,97 @@ def _cut(df: DataFrame, enabled: bool) -> DataFrame:
     return df.checkpoint(eager=True) if enabled else df
 
 
+class _Clock:
+    def __init__(self, log):
+        self.log, self.t = log, time.perf_counter()
+
+    def __call__(self, step: str) -> None:
+        if self.log is not None:
+            now = time.perf_counter()
+            self.log(step, now - self.t)
+            self.t = now
+
+
 def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.datetime | None = None,
-             checkpoint: bool = True) -> Mapping[str, DataFrame]:
-    """Run Q1..Q20; returns the new ``items``, ``values`` and ``relations`` tables."""
+             checkpoint: bool = True, log=None) -> Mapping[str, DataFrame]:
+    """Run Q1..Q20; returns the new ``items``, ``values`` and ``relations`` tables.
+
+    ``log(step, seconds)`` is called after each step when given.
+    """
     ensure_checkpoint_dir(inp.items.sparkSession)
+    clock = _Clock(log)
     et = cfg.entity_type
     fields, projects = inp.fields, inp.projects
+    item_ids, value_ids = IdSequence.from_table(inp.items), IdSequence.from_table(inp.values)
+    held: list[DataFrame] = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        """Persist a source read twice (insert, then update) within one step."""
+        held.append(df.persist())
+        return df
 
     # Q1 seed items
-    items = _cut(items_ops.append_items(inp.items, items_ops.seed_rows(inp.registry, inp.items, cfg, run_ts)),
-                 checkpoint)
+    items = _cut(items_ops.append_items(inp.items, items_ops.seed_rows(inp.registry, inp.items, cfg, run_ts),
+                                        item_ids), checkpoint)
     values, relations = inp.values, inp.relations
+    clock("q01_seed")
 
     # Q2 + Q3 history: insert every (item, state) lacking a row, then the latest date per state
-    entries = history.history_entries(items, inp.history, cfg)
+    entries = hold(history.history_entries(items, inp.history, cfg))
     ins, upd = history.history_datos(entries)
-    values = _cut(eav.upsert(values, fields, ins, upd, entity_type=et), checkpoint)
+    values = _cut(eav.upsert(values, fields, ins, upd, entity_type=et, seq=value_ids), checkpoint)
+    clock("q02_q03_history")
 
     # Q4 + Q5 capacity attributes (one computation feeds insert and update)
-    cap = _cut(registry.attach_items(registry.capacity_long(inp.registry, inp.element, inp.conduct, cfg), items),
-               checkpoint)
-    values = _cut(eav.upsert(values, fields, cap, cap, entity_type=et), checkpoint)
+    cap = hold(registry.attach_items(registry.capacity_long(inp.registry, inp.element, inp.conduct, cfg), items))
+    values = eav.upsert(values, fields, cap, cap, entity_type=et, seq=value_ids)
+    clock("q04_q05_capacity")
 
     # Q6 + Q7 registry attributes (five families)
     layers = [(label, spatial.points_in_areas(inp.points, edges, cfg.grid_cell, cfg.broadcast_max_rows))
               for label, edges in inp.area_layers]
-    reg = _cut(registry.attach_items(
-        registry.registry_attributes(inp.registry, inp.element, inp.md, layers, cfg), items), checkpoint)
-    values = eav.upsert(values, fields, reg, reg, entity_type=et)
+    reg = hold(registry.attach_items(
+        registry.registry_attributes(inp.registry, inp.element, inp.md, layers, cfg), items))
+    values = _cut(eav.upsert(values, fields, reg, reg, entity_type=et, seq=value_ids), checkpoint)
+    clock("q06_q07_registry")
 
     # Q8 decimal commas, Q9 recode (narrow rewrites, no shuffle)
     values = rules.recode_flags(rules.decimal_commas(values, fields, cfg), cfg)
-    values = _cut(values, checkpoint)
+    clock("q08_q09_rewrites")
 
     # Q10 + Q11 bucket attributes
-    bk = _cut(registry.attach_items(registry.bucket_attributes(inp.registry, inp.element, cfg), items), checkpoint)
-    values = _cut(eav.upsert(values, fields, bk, bk, entity_type=et), checkpoint)
+    bk = hold(registry.attach_items(registry.bucket_attributes(inp.registry, inp.element, cfg), items))
+    values = _cut(eav.upsert(values, fields, bk, bk, entity_type=et, seq=value_ids), checkpoint)
+    clock("q10_q11_buckets")
 
     # Q12 + Q13 routing by partner value
     items = routing.route_by_value(items, values, fields, projects, cfg)
     items = routing.route_by_value(items, values, fields, projects, cfg, item_type=cfg.request_type,
                                    suffix=cfg.request_suffix)
     items = _cut(items, checkpoint)
+    clock("q12_q13_routing")
 
     # Q14 due dates
     values = _cut(rules.apply_due_dates(values, fields, inp.state_days, cfg), checkpoint)
+    clock("q14_due_dates")
 
     # Q15 links
     relations = _cut(relations.unionByName(links.link_items(items, values, relations, cfg)), checkpoint)
+    clock("q15_links")
 
     # Q16 ensure partner field, Q17 fill it from the project name
-    values = eav.append_with_ids(values, links.ensure_field(items, values, cfg.partner_field_id, cfg))
+    values = eav.append_with_ids(values, links.ensure_field(items, values, cfg.partner_field_id, cfg), value_ids)
     values = _cut(routing.fill_from_project(values, items, projects, cfg), checkpoint)
+    clock("q16_q17_partner")
 
     # Q18 ensure classification field, Q19 classify by presence
-    values = eav.append_with_ids(values, links.ensure_field(items, values, cfg.class_field_id, cfg))
+    values = eav.append_with_ids(values, links.ensure_field(items, values, cfg.class_field_id, cfg), value_ids)
     values = _cut(rules.classify_presence(items, values, cfg), checkpoint)
+    clock("q18_q19_classify")
 
     # Q20 re-route linked dossiers to the parent project
     items = _cut(routing.reroute_to_parent(items, values, relations, projects, cfg), checkpoint)
+    clock("q20_reroute")
+    for df in held:
+        df.unpersist()
     return {"items": items, "values": values, "relations": relations}
