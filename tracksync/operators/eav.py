@@ -42,6 +42,20 @@ def resolve_labels(datos: DataFrame, fields: DataFrame, label_col: str = "attr",
     return datos.join(field_lookup(fields, label_col, max_rows), label_col, "inner")
 
 
+def field_ids_of(df: DataFrame, col: str = "field_id", max_ids: int = DEFAULT_MAX_DIM_ROWS) -> list[int]:
+    """Distinct field ids a step touches.  Bounded by the field dictionary (an error past
+    ``max_ids``, never a silent cut); a small driver action that lets the step shuffle only
+    the rows of those fields instead of the whole EAV table."""
+    rows = df.select(col).distinct().limit(max_ids + 1).collect()
+    if len(rows) > max_ids:
+        raise ValueError(f"more than {max_ids} distinct field ids")
+    return sorted(r[0] for r in rows if r[0] is not None)
+
+
+def _in_fields(field_ids: Sequence[int]):
+    return F.coalesce(F.col("custom_field_id").isin(list(field_ids)), F.lit(False))
+
+
 def unmatched_labels(datos: DataFrame, fields: DataFrame, label_col: str = "attr") -> DataFrame:
     """Labels of ``datos`` that no field carries: the rows the inner resolve drops."""
     names = fields.select(F.col("name").alias(label_col))
@@ -50,14 +64,19 @@ def unmatched_labels(datos: DataFrame, fields: DataFrame, label_col: str = "attr
 
 def missing_rows(datos: DataFrame, fields: DataFrame, values: DataFrame, *, entity_type: str,
                  item_col: str = "item_id", label_col: str = "attr", distinct_keys: bool = False,
-                 max_rows: int = DEFAULT_MAX_DIM_ROWS) -> DataFrame:
+                 max_rows: int = DEFAULT_MAX_DIM_ROWS, field_ids: Sequence[int] | None = None) -> DataFrame:
     """Rows to append: (item, field) pairs of ``datos`` with no row of ``entity_type`` yet.
 
     Output (customized_type, customized_id, custom_field_id, value=NULL), without ids.
+    ``field_ids`` (the fields ``datos`` can resolve to) restricts the existing rows that
+    the anti join shuffles.
     """
     cand = resolve_labels(datos.select(F.col(item_col).alias("customized_id"), label_col), fields, label_col, max_rows)
     cand = cand.select("customized_id", F.col("field_id").alias("custom_field_id"))
-    existing = values.filter(F.col("customized_type") == F.lit(entity_type)).select(*KEYS)
+    existing = values.filter(F.col("customized_type") == F.lit(entity_type))
+    if field_ids is not None:
+        existing = existing.filter(_in_fields(field_ids))
+    existing = existing.select(*KEYS)
     new = cand.join(existing, KEYS, "left_anti")
     if distinct_keys:
         new = new.dropDuplicates(KEYS)
@@ -88,14 +107,27 @@ def source_by_label(datos: DataFrame, fields: DataFrame, *, item_col: str = "ite
 
 def apply_update(values: DataFrame, source: DataFrame, *, keys: Sequence[str] = KEYS,
                  entity_type: str | None = None, flag_col: str | None = None,
-                 value_col: str = "value", new_col: str = "new_value", where=None) -> DataFrame:
+                 value_col: str = "value", new_col: str = "new_value", where=None,
+                 field_ids: Sequence[int] | None = None) -> DataFrame:
     """``UPDATE values SET value = s.new FROM source s WHERE keys match``, deterministic.
 
     The source is first reduced to one row per key (smallest non-NULL value, with a
     hit flag), so the join can never multiply target rows.  ``where`` restricts the
     target rows (e.g. only empty values).  The reduction is a
     partial (map-side) aggregate, which also absorbs hot keys before the shuffle.
+
+    ``field_ids``: the only fields the update can touch.  Rows of other fields skip
+    the join (no shuffle) and are unioned back unchanged, so a step moves the rows of
+    its fields, not the whole EAV table.
     """
+    if field_ids is not None:
+        inside = _in_fields(field_ids)
+        touched = apply_update(values.filter(inside), source, keys=keys, entity_type=entity_type,
+                               flag_col=flag_col, value_col=value_col, new_col=new_col, where=where)
+        rest = values.filter(~inside)
+        if flag_col:
+            rest = rest.withColumn(flag_col, F.lit(False))
+        return touched.unionByName(rest)
     red = source.groupBy(*keys).agg(F.min(new_col).alias("_new"), F.max(F.lit(True)).alias("_hit"))
     joined = values.join(red, list(keys), "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
@@ -129,11 +161,14 @@ def upsert(values: DataFrame, fields: DataFrame, insert_datos: DataFrame, update
     the same frame in most steps, and differ for the history sync (all entries vs
     the latest per state).
     """
+    labels = insert_datos.select("attr").unionByName(update_datos.select("attr"))
+    ids = field_ids_of(resolve_labels(labels, fields, "attr", max_rows))
     new = missing_rows(insert_datos, fields, values, entity_type=entity_type,
-                       distinct_keys=distinct_keys, max_rows=max_rows)
+                       distinct_keys=distinct_keys, max_rows=max_rows, field_ids=ids)
     grown = append_with_ids(values, new, seq)
     src = source_by_label(update_datos, fields, max_rows=max_rows)
-    return apply_update(grown, src, entity_type=entity_type if guard_updates else None, flag_col=flag_col)
+    return apply_update(grown, src, entity_type=entity_type if guard_updates else None, flag_col=flag_col,
+                        field_ids=ids)
 
 
 def pivot_wide(values: DataFrame, fields: DataFrame, names: Sequence[str], *, entity_type: str | None,

@@ -90,4 +90,5 @@ def fill_from_project(values: DataFrame, items: DataFrame, projects: DataFrame,
            .select("customized_id", F.lit(cfg.partner_field_id).alias("custom_field_id"),
                    strip_word("name", cfg.suffix_word).alias("new_value")))
     empty = F.col("value").isNull() | (F.col("value") == F.lit(""))
-    return eav.apply_update(values, src, entity_type=cfg.entity_type, where=empty, flag_col=flag_col)
+    return eav.apply_update(values, src, entity_type=cfg.entity_type, where=empty, flag_col=flag_col,
+                            field_ids=[cfg.partner_field_id])

@@ -39,8 +39,11 @@ def due_dates(values: DataFrame, fields: DataFrame, state_days: DataFrame, cfg:
         "customized_id", F.col("value").alias("state_name"))
     by_name = broadcast_if_small(fields.select(F.col("id").alias("custom_field_id"), F.col("name").alias("state_name")),
                                  cfg.broadcast_max_rows, basis=fields)
-    base = (state.join(by_name, "state_name")
-            .join(values.select("customized_id", "custom_field_id", "value"), ["customized_id", "custom_field_id"])
+    named = state.join(by_name, "state_name")
+    # only fields whose name occurs as a state can hold a base date (bounded by the dictionary)
+    base_ids = eav.field_ids_of(named, "custom_field_id")
+    base_rows = values.filter(F.coalesce(F.col("custom_field_id").isin(base_ids), F.lit(False)))
+    base = (named.join(base_rows.select("customized_id", "custom_field_id", "value"), ["customized_id", "custom_field_id"])
             .select("customized_id", "state_name", F.col("value").cast("date").alias("base_date")))
     days = broadcast_if_small(state_days.select(F.col("state").alias("state_name"), "add_days"), cfg.broadcast_max_rows,
                               basis=state_days)
@@ -52,17 +55,13 @@ def apply_due_dates(values: DataFrame, fields: DataFrame, state_days: DataFrame,
                     flag_col: str | None = None) -> DataFrame:
     """Write the due dates into the rows of the field(s) labelled ``cfg.due_label``.
 
-    The label resolves by a broadcast equi-join on the dictionary that marks the
-    due-date rows (instead of a cross join with a one-row relation); the update is
-    then keyed by item on the marked rows.
+    The label resolves to field ids on the dictionary (a bounded lookup, instead of
+    a cross join with a one-row relation); the update is keyed by item and only the
+    rows of those fields take part in the join.
     """
     target = due_dates(values, fields, state_days, cfg).select("customized_id", F.col("due_date").alias("new_value"))
-    due = fields.filter(F.col("name") == F.lit(cfg.due_label)).select(
-        F.col("id").alias("custom_field_id"), F.lit(True).alias("_is_due")).dropDuplicates(["custom_field_id"])
-    marked = values.join(broadcast_if_small(due, cfg.broadcast_max_rows, basis=fields), "custom_field_id", "left").select(
-        *values.columns, "_is_due")
-    out = eav.apply_update(marked, target, keys=["customized_id"], where=F.col("_is_due"), flag_col=flag_col)
-    return out.drop("_is_due")
+    due_ids = eav.field_ids_of(fields.filter(F.col("name") == F.lit(cfg.due_label)), "id")
+    return eav.apply_update(values, target, keys=["customized_id"], flag_col=flag_col, field_ids=due_ids)
 
 
 def presence_codes(items: DataFrame, values: DataFrame, cfg: SyncConfig = SyncConfig()) -> DataFrame:
@@ -89,4 +88,5 @@ def classify_presence(items: DataFrame, values: DataFrame, cfg: SyncConfig = Syn
     src = presence_codes(items, values, cfg).select(
         F.col("id").alias("customized_id"), F.lit(cfg.class_field_id).alias("custom_field_id"),
         F.col("code").alias("new_value"))
-    return eav.apply_update(values, src, entity_type=cfg.entity_type, flag_col=flag_col)
+    return eav.apply_update(values, src, entity_type=cfg.entity_type, flag_col=flag_col,
+                            field_ids=[cfg.class_field_id])

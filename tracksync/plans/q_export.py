@@ -12,7 +12,8 @@ from ..operators import eav, export, items
 from ..session import scratch_path
 from ..sources.fixtures import api_items, fixtures, oracle_ctes, read_table
 from ..sources.pages import read_pages, save_pages
-from .catalog import register
+from .catalog import ORACLES, register
+from .publish import publish, read_current
 
 CFG = SyncConfig()
 RUN_TS = _dt.datetime(2024, 6, 1, 5, 30, 0)
@@ -124,3 +125,12 @@ def q_export_all(spark, sf):
     view = fx["fx_items"].join(obj, fx["fx_items"]["id"] == obj["customized_id"], "left").select(
         "subject", "custom_fields")
     return export.export_all(view)
+
+
+@register("q_publish_export", ORACLES["q_export_all"])
+def q_publish_export(spark, sf):
+    """O-12, O-13: the full export written under a new run folder, committed by an atomic
+    pointer, and read back through the pointer (what a downstream reader sees)."""
+    root = scratch_path(spark, "published")
+    publish(spark, {"export_all": q_export_all(spark, sf)}, root)
+    return read_current(spark, root, "export_all")
