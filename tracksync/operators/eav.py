@@ -154,15 +154,14 @@ def apply_rewrite(values: DataFrame, where, new_value, flag_col: str | None = No
 def upsert(values: DataFrame, fields: DataFrame, insert_datos: DataFrame, update_datos: DataFrame, *,
            entity_type: str, guard_updates: bool = False, distinct_keys: bool = False,
            max_rows: int = DEFAULT_MAX_DIM_ROWS, flag_col: str | None = None,
-           seq: IdSequence | None = None) -> DataFrame:
+           seq: IdSequence | None = None, field_ids: Sequence[int] | None = None) -> DataFrame:
     """Insert missing (item, field) rows with NULL, then update from ``update_datos``.
 
     ``insert_datos`` and ``update_datos`` are (item_id, attr, value) frames; they are
     the same frame in most steps, and differ for the history sync (all entries vs
     the latest per state).
     """
-    labels = insert_datos.select("attr").unionByName(update_datos.select("attr"))
-    ids = field_ids_of(resolve_labels(labels, fields, "attr", max_rows))
+    ids = field_ids if field_ids is not None else upsert_field_ids(insert_datos, update_datos, fields, max_rows)
     new = missing_rows(insert_datos, fields, values, entity_type=entity_type,
                        distinct_keys=distinct_keys, max_rows=max_rows, field_ids=ids)
     grown = append_with_ids(values, new, seq)
@@ -171,6 +170,19 @@ def upsert(values: DataFrame, fields: DataFrame, insert_datos: DataFrame, update
                         field_ids=ids)
 
 
+def upsert_field_ids(insert_datos: DataFrame, update_datos: DataFrame, fields: DataFrame,
+                     max_rows: int = DEFAULT_MAX_DIM_ROWS) -> list[int]:
+    """Field ids an upsert can touch: the dictionary ids of the labels its sources carry."""
+    labels = insert_datos.select("attr").unionByName(update_datos.select("attr"))
+    return field_ids_of(resolve_labels(labels, fields, "attr", max_rows))
+
+
+def split_by_fields(values: DataFrame, field_ids: Sequence[int]) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``field_ids``, all other rows): two narrow filters, no shuffle."""
+    inside = _in_fields(field_ids)
+    return values.filter(inside), values.filter(~inside)
+
+
 def pivot_wide(values: DataFrame, fields: DataFrame, names: Sequence[str], *, entity_type: str | None,
                max_rows: int = DEFAULT_MAX_DIM_ROWS) -> DataFrame:
     """EAV -> one row per item, one column per named field (duplicates: smallest value)."""

@@ -60,8 +60,8 @@ def apply_due_dates(values: DataFrame, fields: DataFrame, state_days: DataFrame,
     rows of those fields take part in the join.
     """
     target = due_dates(values, fields, state_days, cfg).select("customized_id", F.col("due_date").alias("new_value"))
-    due_ids = eav.field_ids_of(fields.filter(F.col("name") == F.lit(cfg.due_label)), "id")
-    return eav.apply_update(values, target, keys=["customized_id"], flag_col=flag_col, field_ids=due_ids)
+    return eav.apply_update(values, target, keys=["customized_id"], flag_col=flag_col,
+                            field_ids=due_field_ids(fields, cfg))
 
 
 def presence_codes(items: DataFrame, values: DataFrame, cfg: SyncConfig = SyncConfig()) -> DataFrame:
@@ -82,11 +82,19 @@ def presence_codes(items: DataFrame, values: DataFrame, cfg: SyncConfig = SyncCo
     return d.select("id", code.alias("code"))
 
 
+def presence_source(items: DataFrame, values: DataFrame, cfg: SyncConfig = SyncConfig()) -> DataFrame:
+    """Update source (customized_id, custom_field_id, new_value) of the classification field."""
+    return presence_codes(items, values, cfg).select(
+        F.col("id").alias("customized_id"), F.lit(cfg.class_field_id).alias("custom_field_id"),
+        F.col("code").alias("new_value"))
+
+
 def classify_presence(items: DataFrame, values: DataFrame, cfg: SyncConfig = SyncConfig(),
                       flag_col: str | None = None) -> DataFrame:
     """O-66: write the presence code into each dossier's classification field row."""
-    src = presence_codes(items, values, cfg).select(
-        F.col("id").alias("customized_id"), F.lit(cfg.class_field_id).alias("custom_field_id"),
-        F.col("code").alias("new_value"))
-    return eav.apply_update(values, src, entity_type=cfg.entity_type, flag_col=flag_col,
-                            field_ids=[cfg.class_field_id])
+    return eav.apply_update(values, presence_source(items, values, cfg), entity_type=cfg.entity_type,
+                            flag_col=flag_col, field_ids=[cfg.class_field_id])
+
+
+def due_field_ids(fields: DataFrame, cfg: SyncConfig = SyncConfig()) -> list[int]:
+    return eav.field_ids_of(fields.filter(F.col("name") == F.lit(cfg.due_label)), "id")

@@ -2,9 +2,9 @@
 
 The run is a chain of DataFrame rewrites of three tables (items, values,
 relations).  Lineage is cut with reliable checkpoints in the shared
-``spark.checkpoint.dir`` after the steps that grow or rewrite a table, so the
-plans stay small and a lost executor recomputes from the last checkpoint, not
-from the sources.  Inputs computed once feed both halves of an upsert (insert,
+``spark.checkpoint.dir`` after the steps that grow or rewrite a table (for the
+EAV table: only the rows of the fields a step touches), so the plans stay small
+and a lost executor recomputes from the last checkpoint, not from the sources.  Inputs computed once feed both halves of an upsert (insert,
 then update), so both see one snapshot.  Nothing is published here; see
 :mod:`tracksync.plans.publish`.
 """
@@ -17,6 +17,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..config import SyncConfig
 from ..operators import eav, history, items as items_ops, links, registry, routing, rules, spatial
@@ -60,6 +61,10 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
              checkpoint: bool = True, log=None) -> Mapping[str, DataFrame]:
     """Run Q1..Q20; returns the new ``items``, ``values`` and ``relations`` tables.
 
+    The EAV table is never rewritten whole: each step splits it by the field ids it
+    can touch (bounded by the dictionary), rewrites and checkpoints only that
+    subset, and unions the untouched rows back through a narrow filter.  ``values``
+    is thus a union of a few materialised deltas and filters over the input.
     ``log(step, seconds)`` is called after each step when given.
     """
     ensure_checkpoint_dir(inp.items.sparkSession)
@@ -70,10 +75,19 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
     held: list[DataFrame] = []
 
     def hold(df: DataFrame) -> DataFrame:
-        """Persist a source read twice (insert, then update) within one step."""
+        """Persist a source read more than once within a step (insert, then update)."""
         held.append(df.persist())
         return df
 
+    def delta(values: DataFrame, ids: list[int], step) -> DataFrame:
+        touched, rest = eav.split_by_fields(values, ids)
+        return _cut(step(touched), checkpoint).unionByName(rest)
+
+    def upsert_step(values: DataFrame, ins: DataFrame, upd: DataFrame) -> DataFrame:
+        ids = eav.upsert_field_ids(ins, upd, fields, cfg.broadcast_max_rows)
+        return delta(values, ids, lambda t: eav.upsert(t, fields, ins, upd, entity_type=et, seq=value_ids,
+                                                       field_ids=ids))
+
     # Q1 seed items
     items = _cut(items_ops.append_items(inp.items, items_ops.seed_rows(inp.registry, inp.items, cfg, run_ts),
                                         item_ids), checkpoint)
@@ -83,29 +97,29 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
     # Q2 + Q3 history: insert every (item, state) lacking a row, then the latest date per state
     entries = hold(history.history_entries(items, inp.history, cfg))
     ins, upd = history.history_datos(entries)
-    values = _cut(eav.upsert(values, fields, ins, upd, entity_type=et, seq=value_ids), checkpoint)
+    values = upsert_step(values, ins, upd)
     clock("q02_q03_history")
 
     # Q4 + Q5 capacity attributes (one computation feeds insert and update)
     cap = hold(registry.attach_items(registry.capacity_long(inp.registry, inp.element, inp.conduct, cfg), items))
-    values = eav.upsert(values, fields, cap, cap, entity_type=et, seq=value_ids)
+    values = upsert_step(values, cap, cap)
     clock("q04_q05_capacity")
 
     # Q6 + Q7 registry attributes (five families)
     layers = [(label, spatial.points_in_areas(inp.points, edges, cfg.grid_cell, cfg.broadcast_max_rows))
               for label, edges in inp.area_layers]
-    reg = hold(registry.attach_items(
-        registry.registry_attributes(inp.registry, inp.element, inp.md, layers, cfg), items))
-    values = _cut(eav.upsert(values, fields, reg, reg, entity_type=et, seq=value_ids), checkpoint)
+    reg = hold(registry.attach_items(registry.registry_attributes(inp.registry, inp.element, inp.md, layers, cfg),
+                                     items))
+    values = upsert_step(values, reg, reg)
     clock("q06_q07_registry")
 
-    # Q8 decimal commas, Q9 recode (narrow rewrites, no shuffle)
+    # Q8 decimal commas, Q9 recode: narrow projections, no shuffle, nothing to materialise
     values = rules.recode_flags(rules.decimal_commas(values, fields, cfg), cfg)
     clock("q08_q09_rewrites")
 
     # Q10 + Q11 bucket attributes
     bk = hold(registry.attach_items(registry.bucket_attributes(inp.registry, inp.element, cfg), items))
-    values = _cut(eav.upsert(values, fields, bk, bk, entity_type=et, seq=value_ids), checkpoint)
+    values = upsert_step(values, bk, bk)
     clock("q10_q11_buckets")
 
     # Q12 + Q13 routing by partner value
@@ -115,8 +129,11 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
     items = _cut(items, checkpoint)
     clock("q12_q13_routing")
 
-    # Q14 due dates
-    values = _cut(rules.apply_due_dates(values, fields, inp.state_days, cfg), checkpoint)
+    # Q14 due dates (computed from the whole table, written into the due-date field rows)
+    target = rules.due_dates(values, fields, inp.state_days, cfg).select(
+        "customized_id", F.col("due_date").alias("new_value"))
+    values = delta(values, rules.due_field_ids(fields, cfg),
+                   lambda t: eav.apply_update(t, target, keys=["customized_id"]))
     clock("q14_due_dates")
 
     # Q15 links
@@ -124,13 +141,16 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
     clock("q15_links")
 
     # Q16 ensure partner field, Q17 fill it from the project name
-    values = eav.append_with_ids(values, links.ensure_field(items, values, cfg.partner_field_id, cfg), value_ids)
-    values = _cut(routing.fill_from_project(values, items, projects, cfg), checkpoint)
+    pf = cfg.partner_field_id
+    values = delta(values, [pf], lambda t: routing.fill_from_project(
+        eav.append_with_ids(t, links.ensure_field(items, t, pf, cfg), value_ids), items, projects, cfg))
     clock("q16_q17_partner")
 
-    # Q18 ensure classification field, Q19 classify by presence
-    values = eav.append_with_ids(values, links.ensure_field(items, values, cfg.class_field_id, cfg), value_ids)
-    values = _cut(rules.classify_presence(items, values, cfg), checkpoint)
+    # Q18 ensure classification field, Q19 classify by presence of the two probe fields
+    cf = cfg.class_field_id
+    codes = rules.presence_source(items, values, cfg)
+    values = delta(values, [cf], lambda t: eav.apply_update(
+        eav.append_with_ids(t, links.ensure_field(items, t, cf, cfg), value_ids), codes, entity_type=et))
     clock("q18_q19_classify")
 
     # Q20 re-route linked dossiers to the parent project
