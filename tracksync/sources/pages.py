@@ -52,9 +52,10 @@ def read_pages(spark: SparkSession, path: str, page_size: int = 1000, multi_line
     from_name = F.regexp_extract(F.col("_file"), r"(\d+)", 1)
     page_no = F.coalesce(F.col("offset"), F.when(from_name != "", from_name.cast("long")))
     els = F.col("_embedded.elements")
+    # one row per page, parsed once and kept for the three cut-off aggregates
     pages = raw.select(page_no.alias("page"),
                        (F.col("_corrupt_record").isNotNull() | els.isNull()).alias("bad"),
-                       F.coalesce(F.size(els), F.lit(0)).alias("n"))
+                       F.coalesce(F.size(els), F.lit(0)).alias("n")).persist()
     cuts = pages.filter(F.col("page").isNotNull()).agg(
         F.min(F.when(F.col("bad"), F.col("page"))).alias("first_bad"),
         F.min(F.when(~F.col("bad") & (F.col("n") < page_size), F.col("page"))).alias("first_short"),
@@ -64,6 +65,7 @@ def read_pages(spark: SparkSession, path: str, page_size: int = 1000, multi_line
     gaps = nxt.join(present, "page", "left_anti").agg(F.min("page")).first()[0]
     has_first = present.filter(F.col("page") == 1).limit(1).count() == 1
     first_missing = 1 if not has_first else gaps
+    pages.unpersist()
     keep = F.col("page") >= 1
     if cuts["first_bad"] is not None:
         keep &= F.col("page") < F.lit(cuts["first_bad"])
