@@ -27,4 +27,5 @@ def run_timestamp(ts: _dt.datetime | None = None) -> Column:
     """One run timestamp for every row of a run (``NOW()`` is constant in a transaction)."""
     if ts is None:
         ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    return F.lit(ts).cast("timestamp_ntz")
+    # via text: a Python datetime literal would pass through the driver's local time zone
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")

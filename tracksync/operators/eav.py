@@ -108,12 +108,13 @@ def source_by_label(datos: DataFrame, fields: DataFrame, *, item_col: str = "ite
 def apply_update(values: DataFrame, source: DataFrame, *, keys: Sequence[str] = KEYS,
                  entity_type: str | None = None, flag_col: str | None = None,
                  value_col: str = "value", new_col: str = "new_value", where=None,
-                 field_ids: Sequence[int] | None = None) -> DataFrame:
+                 field_ids: Sequence[int] | None = None, changed_col: str | None = None) -> DataFrame:
     """``UPDATE values SET value = s.new FROM source s WHERE keys match``, deterministic.
 
     The source is first reduced to one row per key (smallest non-NULL value, with a
     hit flag), so the join can never multiply target rows.  ``where`` restricts the
-    target rows (e.g. only empty values).  The reduction is a
+    target rows (e.g. only empty values); ``changed_col`` flags rows whose value
+    actually changes (NULL-safe).  The reduction is a
     partial (map-side) aggregate, which also absorbs hot keys before the shuffle.
 
     ``field_ids``: the only fields the update can touch.  Rows of other fields skip
@@ -123,10 +124,12 @@ def apply_update(values: DataFrame, source: DataFrame, *, keys: Sequence[str] =
     if field_ids is not None:
         inside = _in_fields(field_ids)
         touched = apply_update(values.filter(inside), source, keys=keys, entity_type=entity_type,
-                               flag_col=flag_col, value_col=value_col, new_col=new_col, where=where)
+                               flag_col=flag_col, value_col=value_col, new_col=new_col, where=where,
+                               changed_col=changed_col)
         rest = values.filter(~inside)
-        if flag_col:
-            rest = rest.withColumn(flag_col, F.lit(False))
+        for c in (flag_col, changed_col):
+            if c:
+                rest = rest.withColumn(c, F.lit(False))
         return touched.unionByName(rest)
     red = source.groupBy(*keys).agg(F.min(new_col).alias("_new"), F.max(F.lit(True)).alias("_hit"))
     joined = values.join(red, list(keys), "left")
@@ -139,6 +142,8 @@ def apply_update(values: DataFrame, source: DataFrame, *, keys: Sequence[str] =
             for c in values.columns]
     if flag_col:
         cols.append(hit.alias(flag_col))
+    if changed_col:
+        cols.append((hit & ~F.col(value_col).eqNullSafe(F.col("_new"))).alias(changed_col))
     return joined.select(*cols)
 
 

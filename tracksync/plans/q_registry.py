@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..config import SyncConfig
 from ..operators import eav, registry, spatial
@@ -239,11 +238,7 @@ def q_eav_update_from(spark, sf):
     fx = _fx(spark, sf, "fx_registry", "fx_element", "fx_conduct", "fx_items", "fx_fields", "fx_values")
     long_rows = registry.capacity_long(fx["fx_registry"], fx["fx_element"], fx["fx_conduct"], CFG)
     src = eav.source_by_label(registry.attach_items(long_rows, fx["fx_items"]), fx["fx_fields"])
-    old = fx["fx_values"].select("id", F.col("value").alias("_old"))
-    out = eav.apply_update(fx["fx_values"], src, flag_col="_hit")
-    return (out.join(old, "id")
-            .withColumn("changed", F.col("_hit") & ~F.col("value").eqNullSafe(F.col("_old")))
-            .drop("_hit", "_old"))
+    return eav.apply_update(fx["fx_values"], src, changed_col="changed")
 
 
 @register("q_capacity_upsert", oracle_ctes("fx_registry", "fx_element", "fx_conduct", "fx_items", "fx_fields",
