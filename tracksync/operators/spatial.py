@@ -68,7 +68,8 @@ def points_in_areas(points: DataFrame, edges: DataFrame, cell: float = 10.0,
     """(gid_element, name) for every point inside or on the boundary of an area (bag over areas)."""
     polys = polygons(edges)
     cells = broadcast_if_small(polygon_cells(polys, cell), max_rows)
-    shapes = broadcast_if_small(polys, max_rows)
+    # the shapes' size is their total edge count, whatever the number of polygons
+    shapes = broadcast_if_small(polys, max_rows, basis=edges)
     c = F.lit(float(cell))
     pts = points.select("gid_element", "x", "y",
                         F.floor(F.col("x") / c).alias("cx"), F.floor(F.col("y") / c).alias("cy"))

@@ -137,7 +137,7 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
     clock("q14_due_dates")
 
     # Q15 links
-    relations = _cut(relations.unionByName(links.link_items(items, values, relations, cfg)), checkpoint)
+    relations = _cut(links.link_items(items, values, relations, cfg), checkpoint).unionByName(relations)
     clock("q15_links")
 
     # Q16 ensure partner field, Q17 fill it from the project name
