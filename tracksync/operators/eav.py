@@ -182,6 +182,11 @@ def upsert_field_ids(insert_datos: DataFrame, update_datos: DataFrame, fields: D
     return field_ids_of(resolve_labels(labels, fields, "attr", max_rows))
 
 
+def field_ids_for_labels(fields: DataFrame, labels: Sequence[str], max_ids: int = DEFAULT_MAX_DIM_ROWS) -> list[int]:
+    """Dictionary ids of the given labels (a lookup on the dictionary only)."""
+    return field_ids_of(fields.filter(F.col("name").isin(list(labels))), "id", max_ids)
+
+
 def split_by_fields(values: DataFrame, field_ids: Sequence[int]) -> tuple[DataFrame, DataFrame]:
     """(rows of ``field_ids``, all other rows): two narrow filters, no shuffle."""
     inside = _in_fields(field_ids)

@@ -185,6 +185,13 @@ def registry_attributes(registry: DataFrame, element: DataFrame, md: DataFrame,
     return out
 
 
+def registry_labels(cfg: SyncConfig = SyncConfig()) -> list[str]:
+    """Every label :func:`registry_attributes` can emit."""
+    out = [lab for lab, _ in cfg.registry_scalars] + [cfg.registry_tristate[0], cfg.registry_doc_count_label]
+    out += list(cfg.registry_area_labels) + [lab for _, lab in cfg.registry_class_labels]
+    return out
+
+
 def attach_items(long_rows: DataFrame, items: DataFrame) -> DataFrame:
     """O-22: (num, attr, value) -> (item_id, attr, value) through ``subject = num``."""
     it = items.select(F.col("id").alias("item_id"), F.col("subject").alias("num"))

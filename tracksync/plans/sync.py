@@ -83,8 +83,10 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
         touched, rest = eav.split_by_fields(values, ids)
         return _cut(step(touched), checkpoint).unionByName(rest)
 
-    def upsert_step(values: DataFrame, ins: DataFrame, upd: DataFrame) -> DataFrame:
-        ids = eav.upsert_field_ids(ins, upd, fields, cfg.broadcast_max_rows)
+    def upsert_step(values: DataFrame, ins: DataFrame, upd: DataFrame, labels: list[str] | None = None) -> DataFrame:
+        # fields the step can touch: from its fixed labels when it has them, else from the data
+        ids = (eav.field_ids_for_labels(fields, labels) if labels is not None
+               else eav.upsert_field_ids(ins, upd, fields, cfg.broadcast_max_rows))
         return delta(values, ids, lambda t: eav.upsert(t, fields, ins, upd, entity_type=et, seq=value_ids,
                                                        field_ids=ids))
 
@@ -102,7 +104,7 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
 
     # Q4 + Q5 capacity attributes (one computation feeds insert and update)
     cap = hold(registry.attach_items(registry.capacity_long(inp.registry, inp.element, inp.conduct, cfg), items))
-    values = upsert_step(values, cap, cap)
+    values = upsert_step(values, cap, cap, [lab for _, lab in cfg.capacity_labels])
     clock("q04_q05_capacity")
 
     # Q6 + Q7 registry attributes (five families)
@@ -110,7 +112,7 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
               for label, edges in inp.area_layers]
     reg = hold(registry.attach_items(registry.registry_attributes(inp.registry, inp.element, inp.md, layers, cfg),
                                      items))
-    values = upsert_step(values, reg, reg)
+    values = upsert_step(values, reg, reg, registry.registry_labels(cfg))
     clock("q06_q07_registry")
 
     # Q8 decimal commas, Q9 recode: narrow projections, no shuffle, nothing to materialise
@@ -119,7 +121,7 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
 
     # Q10 + Q11 bucket attributes
     bk = hold(registry.attach_items(registry.bucket_attributes(inp.registry, inp.element, cfg), items))
-    values = upsert_step(values, bk, bk)
+    values = upsert_step(values, bk, bk, [lab for _, lab in cfg.bucket_labels])
     clock("q10_q11_buckets")
 
     # Q12 + Q13 routing by partner value
