@@ -137,3 +137,35 @@ def test_unpivot_is_one_scan(spark, tmp_path):
     reg = spark.read.parquet(path)
     plan = _plan(registry.scalar_attributes(reg, CFG))
     assert plan.count("FileScan parquet") == 1 and "Expand" in plan
+
+
+def test_csv_export_has_header_and_no_index(spark, tmp_path):
+    from tracksync.operators import export
+
+    df = spark.createDataFrame([("a", "1"), ("b", None)], "subject string, k string")
+    path = str(tmp_path / "csv")
+    export.write_table(df.coalesce(1), path, "csv")
+    text = "".join(open(os.path.join(path, f)).read() for f in sorted(os.listdir(path)) if f.endswith(".csv"))
+    assert text.splitlines()[0] == "subject,k"
+    assert sorted(text.splitlines()[1:]) == ["a,1", "b,"]
+
+
+def test_filtered_export_reports_nothing_found(spark):
+    from tracksync.operators import export
+
+    items = spark.createDataFrame([('{"a":"x"}',)], "j string").select(
+        F.from_json("j", "map<string,string>").alias("item"))
+    assert export.require_rows(export.filter_and(items, {"a": ["x"]})).count() == 1
+    with pytest.raises(export.NothingFound):
+        export.require_rows(export.filter_and(items, {"a": ["nope"]}))
+
+
+def test_prefix_predicate_reaches_the_scan(spark, tmp_path):
+    from tracksync.functions import starts_with
+
+    path = str(tmp_path / "reg")
+    spark.createDataFrame([("907001",), ("332001",)], "num string").write.parquet(path)
+    df = spark.read.parquet(path).filter(starts_with("num", "907"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(num,907)" in plan
+    assert [r.num for r in df.collect()] == ["907001"]

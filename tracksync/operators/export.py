@@ -85,6 +85,17 @@ def export_filtered(items: DataFrame, filters: Mapping[str, Sequence[object]], l
     return label_projection(filter_and(items, filters, item_col), labels, item_col)
 
 
+class NothingFound(LookupError):
+    """The filtered export matched no item (the service answered "not found")."""
+
+
+def require_rows(df: DataFrame) -> DataFrame:
+    """O-69: raise :class:`NothingFound` when ``df`` is empty (reads at most one row)."""
+    if df.isEmpty():
+        raise NothingFound("no items match the filters")
+    return df
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
     """O-13: tabular export with a header row and no index column."""
     w = df.write.mode(mode)
