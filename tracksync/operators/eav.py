@@ -167,6 +167,8 @@ def upsert(values: DataFrame, fields: DataFrame, insert_datos: DataFrame, update
     the latest per state).
     """
     ids = field_ids if field_ids is not None else upsert_field_ids(insert_datos, update_datos, fields, max_rows)
+    if not ids:  # no label resolves to a field: nothing to insert or update
+        return values.withColumn(flag_col, F.lit(False)) if flag_col else values
     new = missing_rows(insert_datos, fields, values, entity_type=entity_type,
                        distinct_keys=distinct_keys, max_rows=max_rows, field_ids=ids)
     grown = append_with_ids(values, new, seq)

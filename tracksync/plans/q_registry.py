@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 
+from dataclasses import replace
+
 from ..config import SyncConfig
 from ..operators import eav, registry, spatial
 from ..sources.fixtures import fixtures, oracle_ctes
@@ -116,10 +118,11 @@ def _regattr(spark, sf):
                                         [(CFG.registry_area_labels[0], _point_areas(fx))], CFG)
 
 
-def _upsert(spark, sf, long_rows):
+def _upsert(spark, sf, long_rows, labels):
     fx = _fx(spark, sf, "fx_items", "fx_fields", "fx_values")
     datos = registry.attach_items(long_rows, fx["fx_items"])
-    out = eav.upsert(fx["fx_values"], fx["fx_fields"], datos, datos, entity_type=CFG.entity_type)
+    ids = eav.field_ids_for_labels(fx["fx_fields"], labels)
+    out = eav.upsert(fx["fx_values"], fx["fx_fields"], datos, datos, entity_type=CFG.entity_type, field_ids=ids)
     return out.select("customized_type", "customized_id", "custom_field_id", "value")
 
 
@@ -246,22 +249,29 @@ def q_eav_update_from(spark, sf):
 def q_capacity_upsert(spark, sf):
     """O-55, O-10: capacity attributes inserted (NULL) then updated on the EAV table."""
     fx = _fx(spark, sf, "fx_registry", "fx_element", "fx_conduct")
-    return _upsert(spark, sf, registry.capacity_long(fx["fx_registry"], fx["fx_element"], fx["fx_conduct"], CFG))
+    return _upsert(spark, sf, registry.capacity_long(fx["fx_registry"], fx["fx_element"], fx["fx_conduct"], CFG),
+                   [lab for _, lab in CFG.capacity_labels])
 
 
 @register("q_registry_upsert", oracle_ctes(*_REG_ALL, "fx_items", "fx_fields", "fx_values") + ", " + ", ".join(
     [_PIA, _CLASSES, _SCALARS, _DOCS, _AREA_TAGS, _REGATTR]) + upsert_oracle("regattr"))
 def q_registry_upsert(spark, sf):
     """O-56, O-10: registry attributes (22-attribute family set) upserted on the EAV table."""
-    return _upsert(spark, sf, _regattr(spark, sf))
+    return _upsert(spark, sf, _regattr(spark, sf), registry.registry_labels(CFG))
+
+
+# two buckets mapped onto dictionary fields, one left unmatched (dropped silently)
+CFG_BUCKETS = replace(CFG, bucket_labels=(("num_cr0", "used_m"), ("canalizado", "has_pole"),
+                                          ("pedestal", "n_pedestal")))
 
 
 @register("q_bucket_upsert", oracle_ctes("fx_registry", "fx_element", "fx_items", "fx_fields", "fx_values") + ", "
           + _BUCKETS + """,
-bl AS (SELECT num, 'n_cr_uso0' AS attr, CAST(num_cr0 AS VARCHAR) AS value FROM buckets
-       UNION ALL SELECT num, 'n_isolated', CAST(canalizado AS VARCHAR) FROM buckets
+bl AS (SELECT num, 'used_m' AS attr, CAST(num_cr0 AS VARCHAR) AS value FROM buckets
+       UNION ALL SELECT num, 'has_pole', CAST(canalizado AS VARCHAR) FROM buckets
        UNION ALL SELECT num, 'n_pedestal', CAST(pedestal AS VARCHAR) FROM buckets)""" + upsert_oracle("bl"))
 def q_bucket_upsert(spark, sf):
     """O-59, O-10: bucket attributes upserted on the EAV table."""
     fx = _fx(spark, sf, "fx_registry", "fx_element")
-    return _upsert(spark, sf, registry.bucket_attributes(fx["fx_registry"], fx["fx_element"], CFG))
+    return _upsert(spark, sf, registry.bucket_attributes(fx["fx_registry"], fx["fx_element"], CFG_BUCKETS),
+                   [lab for _, lab in CFG_BUCKETS.bucket_labels])
