@@ -172,3 +172,16 @@ def test_second_run_seeds_no_items(spark):
     assert second["items"].count() == n_items
     # the EAV table only grows by rows the first run could not see yet, never shrinks
     assert second["values"].count() >= first["values"].count()
+
+
+def test_json_arrays_by_group_chunked_equals_single_pass(spark):
+    import json as _json
+
+    from tracksync.functions.json import json_arrays_by_group
+
+    rows = [(g % 3, g, None if g % 4 == 0 else f"k{g}") for g in range(0, 60)]
+    df = spark.createDataFrame(rows, "grp int, gid long, kind string")
+    got = {r.grp: _json.loads(r.kinds) for r in json_arrays_by_group(df, ["grp"], [("kind", "kinds")], "gid",
+                                                                      chunk=7).collect()}
+    want = {k: [v for (g2, _, v) in sorted(rows, key=lambda r: r[1]) if g2 == k] for k in range(3)}
+    assert got == want

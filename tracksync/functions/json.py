@@ -3,7 +3,9 @@ scalar-or-object coalescing and Python-style stringification of raw JSON values.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,6 +31,33 @@ def json_array_keep_nulls(value: Column | str, order_by: Column | str) -> Column
     return F.to_json(F.transform(items, lambda r: r["v"]))
 
 
+def json_arrays_by_group(df: DataFrame, group_cols: Sequence[str], values: Sequence[tuple[str, str]],
+                         order_col: str, chunk: int = 10_000) -> DataFrame:
+    """Several ``json_agg(value ORDER BY order_col)`` per group, NULLs kept, built in two levels.
+
+    Level 1 serialises sorted partial arrays per (group, order_col range of width
+    ``chunk``); with a unique integer order key a partial holds at most ``chunk``
+    elements, so a group holding a third of all rows is spread over many tasks.
+    Level 2 only joins the partial texts of a group in range order.  The final
+    value is one array per group by definition, so its size is the group's size.
+    ``values`` lists (column, output name).
+    """
+    part = F.floor(F.col(order_col) / F.lit(chunk)).alias("_chunk")
+    partial = df.groupBy(*group_cols, part).agg(
+        *[json_array_keep_nulls(c, order_col).alias(name) for c, name in values])
+
+    def inner(name: str) -> Column:
+        # '[a,b]' -> 'a,b' ; each partial holds at least one element
+        return F.expr(f"substring(`{name}`, 2, length(`{name}`) - 2)")
+
+    merged = partial.groupBy(*group_cols).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("_chunk"), *[inner(n).alias(n) for _, n in values]))).alias("_p"))
+    def joined(name: str) -> Column:
+        return F.concat(F.lit("["), F.array_join(F.transform("_p", lambda p: p[name]), ","), F.lit("]"))
+
+    return merged.select(*group_cols, *[joined(n).alias(n) for _, n in values])
+
+
 def raw_or_self(col: Column | str) -> Column:
     """A field that is either text or an object ``{"raw": text}``: return the text."""
     c = F.col(col) if isinstance(col, str) else col

@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SyncConfig
-from ..functions import ElementClasses, json_array_keep_nulls
+from ..functions import ElementClasses
+from ..functions.json import json_arrays_by_group
 
 BUCKETS = ["num_cr", "num_cr0", "num_arq", "num_arm", "num_poste", "canalizado", "pedestal"]
 
@@ -58,13 +59,12 @@ def element_json_lists(registry: DataFrame, element: DataFrame, cfg: SyncConfig
     """O-37: ``json_agg(kind)``, ``json_agg(uso)`` per (num, miga, state), NULLs kept, ordered by gid.
 
     The output is one JSON array per group by definition, so its size is the
-    number of elements of the group; nothing downstream reads it.
+    number of elements of the group; the per-element work is split over gid ranges
+    (see :func:`functions.json.json_arrays_by_group`); nothing downstream reads it.
     """
     reg = active_registry(registry, cfg).select("id", "num", "miga", "state")
     j = reg.join(element.select("gid", "owner_id", "kind", "uso"), reg["id"] == element["owner_id"])
-    return j.groupBy("num", "miga", "state").agg(
-        json_array_keep_nulls("kind", "gid").alias("kinds"),
-        json_array_keep_nulls("uso", "gid").alias("usos"))
+    return json_arrays_by_group(j, ["num", "miga", "state"], [("kind", "kinds"), ("uso", "usos")], "gid")
 
 
 def to_long(df: DataFrame, id_cols: Sequence[str], label_by_col: Sequence[tuple[str, str]],
