@@ -177,9 +177,16 @@ def upsert(values: DataFrame, fields: DataFrame, insert_datos: DataFrame, update
                         field_ids=ids)
 
 
+def label_field_ids(datos: DataFrame, fields: DataFrame, max_rows: int = DEFAULT_MAX_DIM_ROWS) -> list[int]:
+    """Dictionary ids of the labels a long source carries (one pass over its labels)."""
+    return field_ids_of(resolve_labels(datos.select("attr"), fields, "attr", max_rows))
+
+
 def upsert_field_ids(insert_datos: DataFrame, update_datos: DataFrame, fields: DataFrame,
                      max_rows: int = DEFAULT_MAX_DIM_ROWS) -> list[int]:
     """Field ids an upsert can touch: the dictionary ids of the labels its sources carry."""
+    if insert_datos is update_datos:
+        return label_field_ids(insert_datos, fields, max_rows)
     labels = insert_datos.select("attr").unionByName(update_datos.select("attr"))
     return field_ids_of(resolve_labels(labels, fields, "attr", max_rows))
 

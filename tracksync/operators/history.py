@@ -52,7 +52,11 @@ def latest_per_state_window(entries: DataFrame) -> DataFrame:
 
 
 def history_datos(entries: DataFrame, latest: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(insert source, update source) for the EAV upsert, as (item_id, attr, value)."""
+    """(insert source, update source) for the EAV upsert, as (item_id, attr, value).
+
+    The update source is an aggregate of the insert source, so its labels are a
+    subset: the insert source alone determines the fields the upsert touches.
+    """
     ins = entries.select("item_id", F.col("state").alias("attr"), F.lit(None).cast("string").alias("value"))
     lat = latest if latest is not None else latest_per_state(entries)
     upd = lat.select("item_id", F.col("state").alias("attr"), F.col("state_date").alias("value"))

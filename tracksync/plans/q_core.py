@@ -67,7 +67,8 @@ def q_eav_upsert(spark, sf):
     fx = fixtures(spark, sf, "fx_fields", "fx_values")
     entries = _hist(spark, sf)
     ins, upd = history.history_datos(entries)
-    out = eav.upsert(fx["fx_values"], fx["fx_fields"], ins, upd, entity_type=CFG.entity_type)
+    out = eav.upsert(fx["fx_values"], fx["fx_fields"], ins, upd, entity_type=CFG.entity_type,
+                     field_ids=eav.label_field_ids(ins, fx["fx_fields"]))
     return out.select("customized_type", "customized_id", "custom_field_id", "value")
 
 

@@ -83,10 +83,12 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
         touched, rest = eav.split_by_fields(values, ids)
         return _cut(step(touched), checkpoint).unionByName(rest)
 
-    def upsert_step(values: DataFrame, ins: DataFrame, upd: DataFrame, labels: list[str] | None = None) -> DataFrame:
+    def upsert_step(values: DataFrame, ins: DataFrame, upd: DataFrame, labels: list[str] | None = None,
+                    ids: list[int] | None = None) -> DataFrame:
         # fields the step can touch: from its fixed labels when it has them, else from the data
-        ids = (eav.field_ids_for_labels(fields, labels) if labels is not None
-               else eav.upsert_field_ids(ins, upd, fields, cfg.broadcast_max_rows))
+        if ids is None:
+            ids = (eav.field_ids_for_labels(fields, labels) if labels is not None
+                   else eav.upsert_field_ids(ins, upd, fields, cfg.broadcast_max_rows))
         return delta(values, ids, lambda t: eav.upsert(t, fields, ins, upd, entity_type=et, seq=value_ids,
                                                        field_ids=ids))
 
@@ -99,7 +101,7 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
     # Q2 + Q3 history: insert every (item, state) lacking a row, then the latest date per state
     entries = hold(history.history_entries(items, inp.history, cfg))
     ins, upd = history.history_datos(entries)
-    values = upsert_step(values, ins, upd)
+    values = upsert_step(values, ins, upd, ids=eav.label_field_ids(ins, fields, cfg.broadcast_max_rows))
     clock("q02_q03_history")
 
     # Q4 + Q5 capacity attributes (one computation feeds insert and update)
