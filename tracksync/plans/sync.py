@@ -92,9 +92,9 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
         return delta(values, ids, lambda t: eav.upsert(t, fields, ins, upd, entity_type=et, seq=value_ids,
                                                        field_ids=ids))
 
-    # Q1 seed items
-    items = _cut(items_ops.append_items(inp.items, items_ops.seed_rows(inp.registry, inp.items, cfg, run_ts),
-                                        item_ids), checkpoint)
+    # Q1 seed items (the new rows are checkpointed by the id assignment; the union with the
+    # input needs no rewrite of the whole table)
+    items = items_ops.append_items(inp.items, items_ops.seed_rows(inp.registry, inp.items, cfg, run_ts), item_ids)
     values, relations = inp.values, inp.relations
     clock("q01_seed")
 
