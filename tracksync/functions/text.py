@@ -17,12 +17,10 @@ def clean_text(col: Column | str) -> Column:
 
 def clean_string_columns(df: DataFrame) -> DataFrame:
     """Apply :func:`clean_text` to every string column in one ``select``; others pass through."""
-    return df.select(
-        *[
-            clean_text(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+    return df.select(*[
+        clean_text(df[f.name]).alias(f.name) if isinstance(f.dataType, T.StringType) else df[f.name]
+        for f in df.schema.fields
+    ])
 
 
 def decimal_comma_to_dot(col: Column | str) -> Column:

@@ -10,7 +10,9 @@ Reading keeps what the sequential client keeps: pages 1, 2, ... up to and
 including the first short page (fewer than ``page_size`` elements), stopping
 before the first malformed page, the first page without ``_embedded.elements``
 and the first missing page number.  The cut-offs are three minima over a table
-with one row per page; only those three numbers reach the driver.
+with one row per page; only those three numbers reach the driver.  A page number
+comes from the envelope's ``offset`` or else from the digits of the file name; a
+record with neither cannot be placed in the sequence and is not read.
 """
 
 from __future__ import annotations
