@@ -38,7 +38,3 @@ def duck():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     return con
 
-
-@pytest.fixture
-def tmpdir_spark(tmp_path):
-    return str(tmp_path)
