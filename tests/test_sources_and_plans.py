@@ -169,3 +169,33 @@ def test_prefix_predicate_reaches_the_scan(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "StringStartsWith(num,907)" in plan
     assert [r.num for r in df.collect()] == ["907001"]
+
+
+def test_cli_sync_then_exports(spark, tmp_path):
+    from conftest import SMALL
+
+    from tracksync.__main__ import cmd_export_all, cmd_export_filtered, cmd_sync
+    from tracksync.sources.fixtures import fixtures
+
+    names = {"items": "fx_items", "values": "fx_values", "fields": "fx_fields", "projects": "fx_projects",
+             "relations": "fx_relations", "state_days": "fx_state_days", "history": "fx_history",
+             "registry": "fx_registry", "element": "fx_element", "conduct": "fx_conduct", "md": "fx_md",
+             "points": "fx_points", "area_area": "fx_area_edges"}
+    fx = fixtures(spark, SMALL, *names.values())
+    tables = str(tmp_path / "tables")
+    for t, n in names.items():
+        fx[n].write.parquet(f"{tables}/{t}")
+    out = str(tmp_path / "out")
+    run_id = cmd_sync(spark, tables, out, None, CFG)
+    assert publish.current_run(spark, out) == run_id
+    assert publish.read_current(spark, out, "items").count() > fx["fx_items"].count()
+    dest = str(tmp_path / "export")
+    cmd_export_all(spark, out, dest, "parquet", CFG)
+    assert spark.read.parquet(dest).count() == publish.read_current(spark, out, "items").count()
+
+    pages_dir = str(tmp_path / "pages")
+    os.makedirs(pages_dir)
+    _write(pages_dir, "page-1.json", json.dumps(_page(1, 2)))
+    dest2 = str(tmp_path / "filtered")
+    cmd_export_filtered(spark, pages_dir, '{"subject": ["s1"]}', '{"1": "x"}', dest2, "parquet", 5)
+    assert [r.subject for r in spark.read.parquet(dest2).collect()] == ["s1"]
