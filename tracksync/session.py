@@ -32,7 +32,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Set a private one only where the session has none (tests on one machine).
+    Set a private one only where the session has none and runs in local mode (tests
+    on one machine); on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -40,6 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(a machine-local folder would not survive a lost executor)")
         conf_dir = tempfile.mkdtemp(prefix="tracksync-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
