@@ -199,3 +199,15 @@ def test_cli_sync_then_exports(spark, tmp_path):
     dest2 = str(tmp_path / "filtered")
     cmd_export_filtered(spark, pages_dir, '{"subject": ["s1"]}', '{"1": "x"}', dest2, "parquet", 5)
     assert [r.subject for r in spark.read.parquet(dest2).collect()] == ["s1"]
+
+
+def test_spatial_result_does_not_depend_on_cell_size(spark):
+    rnd = random.Random(11)
+    P = spark.createDataFrame([(i, float(rnd.randint(0, 50)), float(rnd.randint(0, 50))) for i in range(300)],
+                              "gid_element long, x double, y double")
+    vs = [(3, 3), (40, 8), (25, 45)]
+    E = spark.createDataFrame([("t", k, float(a[0]), float(a[1]), float(b[0]), float(b[1]))
+                               for k, (a, b) in enumerate(zip(vs, vs[1:] + vs[:1]))],
+                              "name string, seq int, x1 double, y1 double, x2 double, y2 double")
+    results = [{tuple(r) for r in spatial.points_in_areas(P, E, c).collect()} for c in (1.0, 4.0, 100.0, None)]
+    assert all(r == results[0] for r in results) and len(results[0]) > 20

@@ -114,7 +114,7 @@ class SyncConfig:
         ("pedestal", "n_pedestal"),
     )
     vocab: ElementVocabulary = field(default_factory=ElementVocabulary)
-    # spatial grid cell edge (same unit as the point coordinates)
-    grid_cell: float = 10.0
+    # spatial grid cell edge (same unit as the point coordinates); None = derived from the polygons
+    grid_cell: float | None = 10.0
     # broadcast only a side with at most this many rows (checked at run time)
     broadcast_max_rows: int = 2_000_000

@@ -63,9 +63,23 @@ def contains(edges: Column, x: Column, y: Column) -> Column:
     return F.exists(edges, on_edge(x, y)) | (F.size(F.filter(edges, crosses(x, y))) % 2 == 1)
 
 
-def points_in_areas(points: DataFrame, edges: DataFrame, cell: float = 10.0,
+def suggest_cell(edges: DataFrame, cells_per_polygon: int = 16) -> float:
+    """A grid cell edge from the polygons: about ``cells_per_polygon`` cells over the median
+    bounding box.  One aggregate over the polygon dimension (bounded)."""
+    p = polygons(edges).select(((F.col("maxx") - F.col("minx")) * (F.col("maxy") - F.col("miny"))).alias("a"))
+    med = p.agg(F.percentile_approx("a", 0.5)).first()[0]
+    return max(float(med or 0.0) / cells_per_polygon, 1e-9) ** 0.5
+
+
+def points_in_areas(points: DataFrame, edges: DataFrame, cell: float | None = 10.0,
                     max_rows: int = 2_000_000) -> DataFrame:
-    """(gid_element, name) for every point inside or on the boundary of an area (bag over areas)."""
+    """(gid_element, name) for every point inside or on the boundary of an area (bag over areas).
+
+    ``cell=None`` derives the grid from the polygons (:func:`suggest_cell`); the result
+    never depends on the cell size, only the number of candidate pairs does.
+    """
+    if cell is None:
+        cell = suggest_cell(edges)
     polys = polygons(edges)
     cells = broadcast_if_small(polygon_cells(polys, cell), max_rows)
     # the shapes' size is their total edge count, whatever the number of polygons
