@@ -5,7 +5,7 @@ Tables (column names):
   fields  (id, name, field_format)                  -- a small dictionary
   datos   (item_id, attr, value)                    -- long source rows, attr = a field label
 
-Rules kept from the reference semantics:
+Rules kept from the original job:
   * inserts are a bag: no DISTINCT, NOT EXISTS is tested against the table as it
     was before the statement (``distinct_keys=True`` for a set);
   * an insert writes NULL, the update then fills it (upsert);
