@@ -185,3 +185,15 @@ def test_json_arrays_by_group_chunked_equals_single_pass(spark):
                                                                       chunk=7).collect()}
     want = {k: [v for (g2, _, v) in sorted(rows, key=lambda r: r[1]) if g2 == k] for k in range(3)}
     assert got == want
+
+
+def test_strict_json_fails_on_broken_history(spark):
+    from dataclasses import replace
+
+    import pytest
+
+    items = spark.createDataFrame([(1, "A")], "id long, subject string")
+    h = spark.createDataFrame([("A", '[{"estado":"x"')], "num string, hist string")
+    assert history.history_entries(items, h, CFG).count() == 0
+    with pytest.raises(Exception):
+        history.history_entries(items, h, replace(CFG, strict_json=True)).collect()

@@ -56,6 +56,8 @@ class SyncConfig:
     # JSON keys of one state-history entry
     history_state_key: str = "estado"
     history_date_key: str = "fecha"
+    # True: malformed history JSON fails the run (as the original transaction did); False: NULL
+    strict_json: bool = False
     # routing
     partner_label: str = "PARTNER"
     partner_field_id: int = 71

@@ -13,10 +13,13 @@ def history_schema(state_key: str, date_key: str) -> str:
     return f"array<struct<`{state_key}`: string, `{date_key}`: string>>"
 
 
-def parse_history(col: Column | str, state_key: str, date_key: str) -> Column:
-    """JSON array of {state, date} objects -> ``array<struct>`` (NULL / broken JSON -> NULL)."""
+def parse_history(col: Column | str, state_key: str, date_key: str, strict: bool = False) -> Column:
+    """JSON array of {state, date} objects -> ``array<struct>``.
+
+    NULL text gives NULL; broken JSON gives NULL, or fails the job when ``strict``.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    return F.from_json(c, history_schema(state_key, date_key))
+    return F.from_json(c, history_schema(state_key, date_key), {"mode": "FAILFAST"} if strict else {})
 
 
 def json_array_keep_nulls(value: Column | str, order_by: Column | str) -> Column:

@@ -18,7 +18,8 @@ def history_entries(items: DataFrame, history: DataFrame, cfg: SyncConfig = Sync
     Histories are bounded per dossier, so the explode is bounded per row.
     """
     h = (history.filter(starts_with("num", cfg.history_prefix))
-         .select("num", parse_history("hist", cfg.history_state_key, cfg.history_date_key).alias("h")))
+         .select("num", parse_history("hist", cfg.history_state_key, cfg.history_date_key,
+                                      cfg.strict_json).alias("h")))
     joined = items.select(F.col("id").alias("item_id"), F.col("subject").alias("num")).join(h, "num")
     # posexplode_outer + "pos is not null" = explode (NULL / empty arrays vanish, NULL
     # elements stay), but the optimizer infers no size(h) > 0 filter from it, which it
