@@ -96,16 +96,19 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
     # input needs no rewrite of the whole table)
     items = items_ops.append_items(inp.items, items_ops.seed_rows(inp.registry, inp.items, cfg, run_ts), item_ids)
     values, relations = inp.values, inp.relations
+    # (id, subject) never change after seeding; hash-partitioned on subject once, it serves the
+    # four subject joins below (history, capacity, registry, buckets) without re-shuffling items
+    keyed = hold(items.select("id", "subject").repartition("subject"))
     clock("q01_seed")
 
     # Q2 + Q3 history: insert every (item, state) lacking a row, then the latest date per state
-    entries = hold(history.history_entries(items, inp.history, cfg))
+    entries = hold(history.history_entries(keyed, inp.history, cfg))
     ins, upd = history.history_datos(entries)
     values = upsert_step(values, ins, upd, ids=eav.label_field_ids(ins, fields, cfg.broadcast_max_rows))
     clock("q02_q03_history")
 
     # Q4 + Q5 capacity attributes (one computation feeds insert and update)
-    cap = hold(registry.attach_items(registry.capacity_long(inp.registry, inp.element, inp.conduct, cfg), items))
+    cap = hold(registry.attach_items(registry.capacity_long(inp.registry, inp.element, inp.conduct, cfg), keyed))
     values = upsert_step(values, cap, cap, [lab for _, lab in cfg.capacity_labels])
     clock("q04_q05_capacity")
 
@@ -113,7 +116,7 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
     layers = [(label, spatial.points_in_areas(inp.points, edges, cfg.grid_cell, cfg.broadcast_max_rows))
               for label, edges in inp.area_layers]
     reg = hold(registry.attach_items(registry.registry_attributes(inp.registry, inp.element, inp.md, layers, cfg),
-                                     items))
+                                     keyed))
     values = upsert_step(values, reg, reg, registry.registry_labels(cfg))
     clock("q06_q07_registry")
 
@@ -122,7 +125,7 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
     clock("q08_q09_rewrites")
 
     # Q10 + Q11 bucket attributes
-    bk = hold(registry.attach_items(registry.bucket_attributes(inp.registry, inp.element, cfg), items))
+    bk = hold(registry.attach_items(registry.bucket_attributes(inp.registry, inp.element, cfg), keyed))
     values = upsert_step(values, bk, bk, [lab for _, lab in cfg.bucket_labels])
     clock("q10_q11_buckets")
 
