@@ -211,3 +211,26 @@ def test_spatial_result_does_not_depend_on_cell_size(spark):
                               "name string, seq int, x1 double, y1 double, x2 double, y2 double")
     results = [{tuple(r) for r in spatial.points_in_areas(P, E, c).collect()} for c in (1.0, 4.0, 100.0, None)]
     assert all(r == results[0] for r in results) and len(results[0]) > 20
+
+
+def test_hot_owner_is_aggregated_before_the_join(spark):
+    from tracksync.functions import ElementClasses
+
+    n = 3000
+    # owner 0 holds a third of all elements
+    el = spark.createDataFrame([(g, 0 if g % 3 == 0 else g % 50, ["cr-1", "OTROS", "Poste", None][g % 4],
+                                 ["x CR", None][g % 2], ["0", "1", None][g % 3]) for g in range(n)],
+                               "gid long, owner_id long, kind string, note string, uso string")
+    reg = spark.createDataFrame([(i, str(i % 20), 1, "m", "s") for i in range(50)],
+                                "id long, num string, operator_id int, miga string, state string")
+    got = {r.num: r.asDict() for r in registry.bucket_counts(reg, el, CFG).collect()}
+    c = ElementClasses(CFG.vocab)
+    naive = (reg.join(el, reg["id"] == el["owner_id"]).groupBy("num")
+             .agg(F.count_if(c.cr_unused()).alias("num_cr0"), F.count_if(c.rest()).alias("pedestal"),
+                  F.count(F.lit(1)).alias("total")).collect())
+    for r in naive:
+        g = got[r.num]
+        assert (g["num_cr0"], g["pedestal"], g["total"]) == (r.num_cr0, r.pedestal, r.total)
+    plan = _plan(registry.bucket_counts(reg, el, CFG))
+    agg_at = plan.find("HashAggregate(keys=[owner_id")
+    assert agg_at != -1 and "partial_count" in plan
