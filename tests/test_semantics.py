@@ -197,3 +197,17 @@ def test_strict_json_fails_on_broken_history(spark):
     assert history.history_entries(items, h, CFG).count() == 0
     with pytest.raises(Exception):
         history.history_entries(items, h, replace(CFG, strict_json=True)).collect()
+
+
+def test_label_projection_subject_forms_and_strict(spark):
+    import pytest
+
+    rows = [('{"id":1,"subject":"plain"}',), ('{"id":2,"subject":{"raw":"r"}}',)]
+    items = spark.createDataFrame(rows, "j string").select(F.from_json("j", "map<string,string>").alias("item"))
+    got = sorted(r.subject for r in export.label_projection(items, {}, strict=True).collect())
+    assert got == ["plain", "r"]
+    bad = spark.createDataFrame([('{"id":3,"subject":{"x":1}}',)], "j string").select(
+        F.from_json("j", "map<string,string>").alias("item"))
+    assert export.label_projection(bad, {}).first().subject is None
+    with pytest.raises(Exception):
+        export.label_projection(bad, {}, strict=True).collect()

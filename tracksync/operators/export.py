@@ -40,14 +40,24 @@ def filter_and(items: DataFrame, filters: Mapping[str, Sequence[object]], item_c
 
 def label_projection(items: DataFrame, labels: Mapping[int, str], item_col: str = "item",
                      key_format: str = "customField{}", base: Sequence[tuple[str, str]] = (
-                         ("id", "id"), ("subject", "subject"), ("status", "status"), ("type", "type"))) -> DataFrame:
+                         ("id", "id"), ("subject", "subject"), ("status", "status"), ("type", "type")),
+                     strict: bool = False) -> DataFrame:
     """O-16, O-17: one ``select``: id, subject (text or ``{raw}``), status / type names, then
-    one column per labelled custom field (missing key -> NULL)."""
+    one column per labelled custom field (missing key -> NULL).
+
+    ``strict``: a subject object without ``raw`` fails the job (as the original export
+    did) instead of giving NULL.
+    """
     m = F.col(item_col)
     out: list[Column] = []
     for key, name in base:
         if key == "subject":
-            out.append(raw_or_self(m[key]).alias(name))
+            subject = raw_or_self(m[key])
+            if strict:
+                missing_raw = m[key].startswith("{") & F.get_json_object(m[key], "$.raw").isNull()
+                subject = F.when(missing_raw, F.raise_error(F.lit("subject object without 'raw'"))) \
+                    .otherwise(subject)
+            out.append(subject.alias(name))
         elif key in ("status", "type"):
             out.append(name_of(m[key]).alias(name))
         else:
