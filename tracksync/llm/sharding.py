@@ -73,7 +73,7 @@ def assign_shards(df: DataFrame, shards: int, key: str = "doc_id", text: str = "
     total = total or 0
     ranges = max(8 * shards, -(-rows // 1_000_000))
     bounds = splitters(keyed, ranges, total)
-    placed = keyed.withColumn("_range", F.struct(_range_of(F.col("_key"), bounds).cast("long").alias("r0")))
+    placed = materialise(keyed.withColumn("_range", F.struct(_range_of(F.col("_key"), bounds).cast("long").alias("r0"))), "shard-placed")
 
     count = lambda d: materialise(d.groupBy("_range").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_bytes"), F.min("_key").alias("_least"), F.max("_key").alias("_most")), "shard-ranges")
@@ -98,8 +98,8 @@ def assign_shards(df: DataFrame, shards: int, key: str = "doc_id", text: str = "
             .when(F.col("_least") == F.col("_most"), F.pmod(F.xxhash64("_row"), F.col("_parts"))) \
             .otherwise(F.size(F.filter("_cuts", lambda c: c <= F.col("_key")))).cast("long")
         old = [f"r{i}" for i in range(depth)]
-        placed = placed.join(F.broadcast(cuts), "_range", "left") \
-            .withColumn("_range", F.struct(*[F.col(f"_range.{c}").alias(c) for c in old], sub.alias(name))).drop("_parts", "_cuts", "_least", "_most")
+        placed = materialise(placed.join(F.broadcast(cuts), "_range", "left").withColumn(
+            "_range", F.struct(*[F.col(f"_range.{c}").alias(c) for c in old], sub.alias(name))).drop("_parts", "_cuts", "_least", "_most"), "shard-placed")
         totals = count(placed)
     line = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     before = totals.select("_range", F.coalesce(F.sum("_bytes").over(line), F.lit(0)).alias("_bytes_before"), F.coalesce(F.sum("_n").over(line), F.lit(0)).alias("_rows_before"))
