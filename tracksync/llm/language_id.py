@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import quoted, read_table, register
+from .common import filter_rows, quoted, read_table, register
 
 RUN = re.compile(r"[^\W\d_]+")
 LONGEST = 64
@@ -303,17 +303,12 @@ def identify(df: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
 def keep_identified(df: DataFrame, model: bytes, least_score: float = 0.3, text_col: str = "text") -> DataFrame:
     """The rows of ``df`` whose language is decided with at least ``least_score``, all columns as they are."""
     held = df.sparkSession.sparkContext.broadcast(model)
-    at_text = df.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        identifier = loaded(held.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                langs, scores = identifier.predict(part.column(at_text).to_pylist())
-                yield part.filter(pa.array([k != UNDECIDED and s >= least_score for k, s in zip(langs, scores, strict=True)], pa.bool_()))
+    def keep(texts: list) -> list[bool]:
+        langs, scores = loaded(held.value).predict(texts)
+        return [k != UNDECIDED and s >= least_score for k, s in zip(langs, scores, strict=True)]
 
-    return df.mapInArrow(run, df.schema)
+    return filter_rows(df, text_col, keep)
 
 
 @register("op10_language_id")

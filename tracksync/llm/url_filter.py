@@ -13,7 +13,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read_table, register
+from .common import filter_rows, read_table, register
 
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
@@ -112,14 +112,12 @@ def judge_urls(df: DataFrame, entries: Iterable[tuple[str, str]], id_col: str, u
 def keep_allowed(df: DataFrame, entries: Iterable[tuple[str, str]], url_col: str = "url", default: str = "allow") -> DataFrame:
     """The rows of ``df`` whose URL is allowed, all columns as they are."""
     trie = df.sparkSession.sparkContext.broadcast(UrlTrie(entries))
-    at = df.columns.index(url_col)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hits = [trie.value.match(*split_url(u)) for u in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array([(h[1] if h else default) == "allow" for h in hits], pa.bool_()))
+    def keep(urls: list) -> list[bool]:
+        hits = [trie.value.match(*split_url(u)) for u in urls]
+        return [(h[1] if h else default) == "allow" for h in hits]
 
-    return df.mapInArrow(keep, df.schema)
+    return filter_rows(df, url_col, keep)
 
 
 ENTRIES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
