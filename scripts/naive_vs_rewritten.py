@@ -18,12 +18,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from tracksync.config import SyncConfig  # noqa: E402
+sys.path.insert(1, str(Path(__file__).resolve().parents[1] / "tests"))
+
+import naive  # noqa: E402
 from tracksync.operators import links, registry, spatial  # noqa: E402
 from tracksync.session import local_session  # noqa: E402
-from tracksync.sources.fixtures import fixtures  # noqa: E402
+from tracksync.sources.fixtures import FIXTURE_CONFIG as CFG, fixtures  # noqa: E402
 
-CFG = SyncConfig()
 
 
 def timed(df, reps=3):
@@ -46,7 +47,7 @@ def main() -> None:
 
     # fan-out counts: registry x element x conduct
     out["fanout_rewritten"] = timed(registry.capacity(fx["fx_registry"], fx["fx_element"], fx["fx_conduct"], CFG))
-    out["fanout_naive"] = timed(registry.capacity_naive(fx["fx_registry"], fx["fx_element"], fx["fx_conduct"], CFG))
+    out["fanout_naive"] = timed(naive.capacity_naive(fx["fx_registry"], fx["fx_element"], fx["fx_conduct"], CFG))
 
     # symmetric-pair anti join
     cand = links.link_candidates(fx["fx_items"], fx["fx_values"], CFG)
@@ -57,14 +58,14 @@ def main() -> None:
     out["anti_join_naive_or"] = timed(p.join(e, cond, "left_anti"))
 
     # spatial: grid equi-join vs a bounding-box theta join (nested loop)
-    out["spatial_grid"] = timed(spatial.points_in_areas(fx["fx_points"], fx["fx_area_edges"], CFG.grid_cell))
+    out["spatial_grid"] = timed(spatial.points_in_areas(fx["fx_points"], fx["fx_area_edges"]))
     polys = spatial.polygons(fx["fx_area_edges"])
     pts = fx["fx_points"]
     bbox = ((pts["x"] >= polys["minx"]) & (pts["x"] <= polys["maxx"])
             & (pts["y"] >= polys["miny"]) & (pts["y"] <= polys["maxy"]))
-    naive = pts.join(polys, bbox).filter(spatial.contains(F.col("edges"), F.col("x"), F.col("y"))).select(
+    theta = pts.join(polys, bbox).filter(spatial.contains(F.col("edges"), F.col("x"), F.col("y"))).select(
         "gid_element", "name")
-    out["spatial_naive_theta"] = timed(naive)
+    out["spatial_naive_theta"] = timed(theta)
     print(json.dumps({"sf_dir": sf, "cpus": int(cpus), "seconds": out}))
 
 

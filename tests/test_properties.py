@@ -5,10 +5,10 @@ from __future__ import annotations
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tracksync.config import SyncConfig
+import naive
 from tracksync.operators import eav, registry
+from tracksync.sources.fixtures import FIXTURE_CONFIG as CFG
 
-CFG = SyncConfig()
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
 kinds = st.sampled_from(["POSTE 9", "cr", "Arq", None, "x", "OTROS"])
@@ -25,8 +25,8 @@ def test_capacity_pre_aggregated_equals_fan_out(spark, reg, el, co):
                               "gid long, owner_id long, kind string")
     c = spark.createDataFrame([(o, v) for o, v in co] or [(-1, None)], "owner_id long, length_dm double")
     fast = sorted(tuple(x) for x in registry.capacity(r, e, c, CFG).collect())
-    naive = sorted(tuple(x) for x in registry.capacity_naive(r, e, c, CFG).collect())
-    assert fast == naive
+    slow = sorted(tuple(x) for x in naive.capacity_naive(r, e, c, CFG).collect())
+    assert fast == slow
 
 
 @SETTINGS

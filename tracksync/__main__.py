@@ -1,12 +1,12 @@
 """Command line: run the sync and the exports over a folder of parquet tables.
 
-  python -m tracksync sync   --tables DIR --out ROOT [--run-id ID]
-  python -m tracksync export-all      --out ROOT --dest PATH [--format csv|parquet]
+  python -m tracksync sync       --config FILE --tables DIR --out ROOT [--run-id ID]
+  python -m tracksync export-all --config FILE --out ROOT --dest PATH [--format csv|parquet]
   python -m tracksync export-filtered --pages DIR --filters JSON --labels JSON --dest PATH
 
 ``sync`` reads DIR/<name> for items, values, fields, projects, relations,
 state_days, history, registry, element, conduct, md, points and area_<label>
-(edge tables, one per area layer), runs the twenty steps and publishes items,
+(edge tables with area_id, one per area layer), runs the twenty steps and publishes items,
 values and relations (with the field dictionary it used) as one run under ROOT.
 ``export-all`` widens the custom fields of the last published run;
 ``export-filtered`` reads saved API pages.
@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from .config import SyncConfig
-from .operators import eav, export
+from .operators import export
 from .plans.publish import publish, read_current
 from .plans.sync import SyncInputs, run_sync
 from .sources.pages import read_pages
@@ -49,9 +49,7 @@ def cmd_sync(spark: SparkSession, tables: str, out: str, run_id: str | None, cfg
 def cmd_export_all(spark: SparkSession, out: str, dest: str, fmt: str, cfg: SyncConfig) -> None:
     items, values = read_current(spark, out, "items"), read_current(spark, out, "values")
     fields = read_current(spark, out, "fields")
-    obj = eav.json_object_per_item(values, fields, entity_type=cfg.entity_type)
-    view = items.join(obj, items["id"] == obj["customized_id"], "left").select("subject", "custom_fields")
-    export.write_table(export.export_all(view), dest, fmt)
+    export.write_table(export.export_all(items, values, fields, cfg.entity_type), dest, fmt)
 
 
 def cmd_export_filtered(spark: SparkSession, pages: str, filters: str, labels: str, dest: str, fmt: str,
@@ -66,10 +64,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="tracksync")
     sub = p.add_subparsers(dest="cmd", required=True)
     s = sub.add_parser("sync")
+    s.add_argument("--config", required=True, help="JSON file of SyncConfig")
     s.add_argument("--tables", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--run-id")
     a = sub.add_parser("export-all")
+    a.add_argument("--config", required=True, help="JSON file of SyncConfig")
     a.add_argument("--out", required=True)
     a.add_argument("--dest", required=True)
     a.add_argument("--format", default="csv")
@@ -82,7 +82,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     f.add_argument("--page-size", type=int, default=1000)
     args = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"tracksync-{args.cmd}").getOrCreate()
-    cfg = SyncConfig()
+    cfg = SyncConfig.from_file(args.config) if "config" in args else None
     if args.cmd == "sync":
         print(cmd_sync(spark, args.tables, args.out, args.run_id, cfg))
     elif args.cmd == "export-all":

@@ -1,14 +1,15 @@
 """Run configuration: every id, label and code of the sync is a parameter.
 
-Defaults are the neutral values of the fixtures (FIXTURES.md), so the same
-operators run on the fixtures and, with another ``SyncConfig``, on a real
-tracker.  Nothing here is a credential or a connection string; those come from
-the caller.
+Ids, labels and codes of a tracker have no defaults here: the caller gives them, from a
+JSON file on the command line (:func:`SyncConfig.from_file`).  The values the fixtures
+use are ``sources.fixtures.FIXTURE_CONFIG``.  Nothing here is a credential or a
+connection string.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import dataclass, field, fields
 
 
 @dataclass(frozen=True)
@@ -28,95 +29,90 @@ class ElementVocabulary:
     uso_zero: str = "0"
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, kw_only=True)
 class SeedDefaults:
     """Constant columns of an item seeded from the registry."""
 
-    type_id: int = 8
-    project_id: int = 44
+    type_id: int
+    project_id: int
+    status_id: int
+    priority_id: int
+    author_id: int
+    lock_version: int = 0
     description: str = ""
-    status_id: int = 18
-    priority_id: int = 8
-    author_id: int = 4
-    lock_version: int = 2
     schedule_manually: bool = False
     ignore_non_working_days: bool = False
 
 
-@dataclass(frozen=True)
+def _tuples(value):
+    return tuple(map(_tuples, value)) if isinstance(value, list) else value
+
+
+@dataclass(frozen=True, kw_only=True)
 class SyncConfig:
-    entity_type: str = "WorkPackage"
-    dossier_type: int = 8
-    request_type: int = 9
-    seed: SeedDefaults = field(default_factory=SeedDefaults)
+    entity_type: str
+    dossier_type: int
+    request_type: int
+    seed: SeedDefaults
+    operator_id: int
     # key prefixes: excluded from seeding / required for the history read (None = no filter)
-    seed_exclude_prefix: str | None = "33"
+    seed_exclude_prefix: str | None = None
     history_prefix: str | None = None
-    operator_id: int = 1
     # JSON keys of one state-history entry
-    history_state_key: str = "estado"
-    history_date_key: str = "fecha"
-    # True: malformed history JSON fails the run (as the original transaction did); False: NULL
-    strict_json: bool = False
+    history_state_key: str
+    history_date_key: str
+    # True: malformed JSON fails the run (as the original transaction did); False: NULL
+    strict_json: bool = True
     # routing
-    partner_label: str = "PARTNER"
-    partner_field_id: int = 71
-    request_suffix: str = " PETICIONES"
-    suffix_word: str = "PETICIONES"
-    ref_field_id: int = 90
-    relation_type: str = "relates"
+    partner_label: str
+    partner_field_id: int
+    request_suffix: str
+    suffix_word: str
+    ref_field_id: int
+    relation_type: str
     # due date
-    state_field_id: int = 136
-    due_label: str = "due_date"
+    state_field_id: int
+    due_label: str
     # value rewrites
-    float_format: str = "float"
-    recode_field_id: int = 131
-    recode_map: tuple[tuple[str, str], ...] = (("SI", "33"), ("NO", "34"))
+    float_format: str
+    recode_field_id: int
+    recode_map: tuple[tuple[str, str], ...]
     # classification by presence of two fields
-    class_field_id: int = 139
-    probe_a_field_id: int = 85
-    probe_b_field_id: int = 10
-    code_only_a: str = "57"
-    code_only_b: str = "56"
-    code_none: str = "93"
-    code_both: str = "58"
-    # capacity attributes (pre-aggregated fan-out)
-    pole_yes: str = "33"
-    pole_no: str = "34"
-    capacity_labels: tuple[tuple[str, str], ...] = (
-        ("installed", "installed_m"),
-        ("used", "used_m"),
-        ("cable_count", "mesh_m"),
-        ("has_pole", "has_pole"),
-    )
+    class_field_id: int
+    probe_a_field_id: int
+    probe_b_field_id: int
+    code_only_a: str
+    code_only_b: str
+    code_none: str
+    code_both: str
+    # capacity attributes (pre-aggregated fan-out): (column, label)
+    pole_yes: str
+    pole_no: str
+    capacity_labels: tuple[tuple[str, str], ...]
     # tri-state labels of a nullable boolean
-    tri_true: str = "SI"
-    tri_false: str = "NO"
-    tri_null: str = "DESCONOCIDO"
+    tri_true: str
+    tri_false: str
+    tri_null: str
     # registry attributes: plain casts (label, column), tri-state, doc count, areas, classes
-    registry_scalars: tuple[tuple[str, str], ...] = (
-        ("installed_m", "installed"),
-        ("used_m", "used"),
-        ("current_state", "state"),
-        ("miga_code", "miga"),
-    )
-    registry_tristate: tuple[str, str] = ("hidden_flag", "hidden")
-    registry_doc_count_label: str = "final_docs"
-    registry_area_labels: tuple[str, ...] = ("area",)
-    registry_class_labels: tuple[tuple[str, str], ...] = (
-        ("cr", "n_cr"),
-        ("arq", "n_arq"),
-        ("arm", "n_arm"),
-        ("pole", "n_pole"),
-    )
+    registry_scalars: tuple[tuple[str, str], ...]
+    registry_tristate: tuple[str, str]
+    registry_doc_count_label: str
+    registry_area_labels: tuple[str, ...]
+    registry_class_labels: tuple[tuple[str, str], ...]
     # bucket attributes emitted downstream (bucket column, label)
-    bucket_labels: tuple[tuple[str, str], ...] = (
-        ("num_cr0", "n_cr_uso0"),
-        ("canalizado", "n_isolated"),
-        ("pedestal", "n_pedestal"),
-    )
+    bucket_labels: tuple[tuple[str, str], ...]
     vocab: ElementVocabulary = field(default_factory=ElementVocabulary)
-    # spatial grid cell edge (same unit as the point coordinates); None = derived from the polygons
-    grid_cell: float | None = 10.0
-    # broadcast only a side with at most this many rows (checked at run time)
-    broadcast_max_rows: int = 2_000_000
+
+    @classmethod
+    def from_file(cls, path: str) -> SyncConfig:
+        """Read a JSON object of these names; ``seed`` and ``vocab`` are objects, pairs are lists."""
+        with open(path, encoding="utf-8") as f:
+            given = json.load(f)
+        unknown = sorted(set(given) - {x.name for x in fields(cls)})
+        if unknown:
+            raise ValueError(f"unknown settings: {', '.join(unknown)}")
+        given = {k: _tuples(v) for k, v in given.items()}
+        given["seed"] = SeedDefaults(**given["seed"])
+        if "vocab" in given:
+            given["vocab"] = ElementVocabulary(**given["vocab"])
+        return cls(**given)

@@ -13,7 +13,7 @@ def history_schema(state_key: str, date_key: str) -> str:
     return f"array<struct<`{state_key}`: string, `{date_key}`: string>>"
 
 
-def parse_history(col: Column | str, state_key: str, date_key: str, strict: bool = False) -> Column:
+def parse_history(col: Column | str, state_key: str, date_key: str, strict: bool = True) -> Column:
     """JSON array of {state, date} objects -> ``array<struct>``.
 
     NULL text gives NULL; broken JSON gives NULL, or fails the job when ``strict``.
@@ -39,8 +39,9 @@ def json_arrays_by_group(df: DataFrame, group_cols: Sequence[str], values: Seque
     """Several ``json_agg(value ORDER BY order_col)`` per group, NULLs kept, built in two levels.
 
     Level 1 serialises sorted partial arrays per (group, order_col range of width
-    ``chunk``); with a unique integer order key a partial holds at most ``chunk``
-    elements, so a group holding a third of all rows is spread over many tasks.
+    ``chunk``); where the integer order key is unique and dense, a partial holds at most
+    ``chunk`` elements and a group holding a third of all rows is spread over many tasks.
+    ``chunk`` never changes the result.
     Level 2 only joins the partial texts of a group in range order.  The final
     value is one array per group by definition, so its size is the group's size.
     ``values`` lists (column, output name).
@@ -61,29 +62,44 @@ def json_arrays_by_group(df: DataFrame, group_cols: Sequence[str], values: Seque
     return merged.select(*group_cols, *[joined(n).alias(n) for _, n in values])
 
 
-def raw_or_self(col: Column | str) -> Column:
+def value_text(v: Column | str) -> Column:
+    """Text of a JSON value (variant): strings as they are, objects and lists as JSON, JSON null as NULL."""
+    return F.variant_get(F.col(v) if isinstance(v, str) else v, "$", "string")
+
+
+def is_object(v: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+
+
+def raw_or_self(v: Column | str) -> Column:
     """A field that is either text or an object ``{"raw": text}``: return the text."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.when(c.startswith("{"), F.get_json_object(c, "$.raw")).otherwise(c)
+    c = F.col(v) if isinstance(v, str) else v
+    return F.when(is_object(c), F.variant_get(c, "$.raw", "string")).otherwise(value_text(c))
 
 
-def name_of(col: Column | str) -> Column:
-    """``obj.name`` of a link object given as raw JSON text; NULL when absent."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.get_json_object(c, "$.name")
+def name_of(v: Column | str) -> Column:
+    """``obj.name`` of a link object; NULL when absent."""
+    c = F.col(v) if isinstance(v, str) else v
+    return F.when(is_object(c), F.variant_get(c, "$.name", "string"))
 
 
-def python_str(raw: Column) -> Column:
-    """Python ``str()`` of a value taken from a JSON object as raw text.
+def python_str(v: Column) -> Column:
+    """Python ``str()`` of a JSON value (variant).
 
-    ``raw`` comes from ``map<string,string>`` parsing: NULL for JSON null, the
-    JSON text for nested objects.  Missing keys are handled by the caller.
-    An object yields its ``raw`` member or ''.
+    An object yields its ``raw`` member or ''; JSON null is 'None', a boolean 'True' or
+    'False', a text itself (also the text "true"); a list prints its items as Python does,
+    items that are lists or objects as JSON.  Missing keys are handled by the caller.
     """
-    return (
-        F.when(raw.isNull(), F.lit("None"))
-        .when(raw.startswith("{"), F.coalesce(F.get_json_object(raw, "$.raw"), F.lit("")))
-        .when(raw == F.lit("true"), F.lit("True"))
-        .when(raw == F.lit("false"), F.lit("False"))
-        .otherwise(raw)
-    )
+    def scalar(x: Column, kind: Column, quote: bool) -> Column:
+        text = value_text(x)
+        quoted = F.when(text.contains("'") & ~text.contains('"'), F.concat(F.lit('"'), text, F.lit('"'))) \
+            .otherwise(F.concat(F.lit("'"), F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")), F.lit("'")))
+        return (F.when(F.is_variant_null(x), F.lit("None"))
+                .when(kind == F.lit("BOOLEAN"), F.initcap(text))
+                .when(kind == F.lit("STRING"), quoted if quote else text).otherwise(text))
+
+    kind = F.schema_of_variant(v)
+    items = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: scalar(x, F.schema_of_variant(x), True))
+    return (F.when(is_object(v), F.coalesce(F.variant_get(v, "$.raw", "string"), F.lit("")))
+            .when(kind.startswith("ARRAY"), F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]")))
+            .otherwise(scalar(v, kind, False)))

@@ -22,38 +22,44 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
 from .ids import IdSequence
 
 VALUE_COLUMNS = ["id", "customized_type", "customized_id", "custom_field_id", "value"]
 KEYS = ["customized_id", "custom_field_id"]
-DEFAULT_MAX_DIM_ROWS = 2_000_000
 
 
-def field_lookup(fields: DataFrame, label_col: str = "attr", max_rows: int = DEFAULT_MAX_DIM_ROWS) -> DataFrame:
-    """(field_id, <label_col>) from the dictionary, broadcast behind a size check."""
+def field_lookup(fields: DataFrame, label_col: str = "attr") -> DataFrame:
+    """(field_id, <label_col>) from the dictionary."""
     f = fields.select(F.col("id").alias("field_id"), F.col("name").alias(label_col))
-    return broadcast_if_small(f, max_rows, basis=fields)
+    return f
 
 
-def resolve_labels(datos: DataFrame, fields: DataFrame, label_col: str = "attr",
-                   max_rows: int = DEFAULT_MAX_DIM_ROWS) -> DataFrame:
+def resolve_labels(datos: DataFrame, fields: DataFrame, label_col: str = "attr") -> DataFrame:
     """Inner join on label = field name; unknown labels drop silently (see :func:`unmatched_labels`)."""
-    return datos.join(field_lookup(fields, label_col, max_rows), label_col, "inner")
+    return datos.join(field_lookup(fields, label_col), label_col, "inner")
 
 
-def field_ids_of(df: DataFrame, col: str = "field_id", max_ids: int = DEFAULT_MAX_DIM_ROWS) -> list[int]:
-    """Distinct field ids a step touches.  Bounded by the field dictionary (an error past
-    ``max_ids``, never a silent cut); a small driver action that lets the step shuffle only
-    the rows of those fields instead of the whole EAV table."""
-    rows = df.select(col).distinct().limit(max_ids + 1).collect()
-    if len(rows) > max_ids:
-        raise ValueError(f"more than {max_ids} distinct field ids")
-    return sorted(r[0] for r in rows if r[0] is not None)
+Fields = DataFrame | Sequence[int]
 
 
-def _in_fields(field_ids: Sequence[int]):
-    return F.coalesce(F.col("custom_field_id").isin(list(field_ids)), F.lit(False))
+def fields_labelled(fields: DataFrame, labels: DataFrame | Sequence[str]) -> DataFrame:
+    """(custom_field_id) of the dictionary fields that carry one of ``labels`` (a list, or a frame with ``attr``)."""
+    named = (fields.filter(F.col("name").isin(list(labels))) if not isinstance(labels, DataFrame)
+             else fields.join(labels.select(F.col("attr").alias("name")).distinct(), "name", "left_semi"))
+    return named.select(F.col("id").alias("custom_field_id")).distinct()
+
+
+def of_fields(values: DataFrame, fields: Fields) -> DataFrame:
+    """Rows of the given fields: a semi join with the dictionary, or the few ids of the configuration."""
+    if isinstance(fields, DataFrame):
+        return values.join(fields.select("custom_field_id"), "custom_field_id", "left_semi").select(*values.columns)
+    return values.filter(F.col("custom_field_id").isin(list(fields)))
+
+
+def not_of_fields(values: DataFrame, fields: Fields) -> DataFrame:
+    if isinstance(fields, DataFrame):
+        return values.join(fields.select("custom_field_id"), "custom_field_id", "left_anti").select(*values.columns)
+    return values.filter(~F.coalesce(F.col("custom_field_id").isin(list(fields)), F.lit(False)))
 
 
 def unmatched_labels(datos: DataFrame, fields: DataFrame, label_col: str = "attr") -> DataFrame:
@@ -63,19 +69,18 @@ def unmatched_labels(datos: DataFrame, fields: DataFrame, label_col: str = "attr
 
 
 def missing_rows(datos: DataFrame, fields: DataFrame, values: DataFrame, *, entity_type: str,
-                 item_col: str = "item_id", label_col: str = "attr", distinct_keys: bool = False,
-                 max_rows: int = DEFAULT_MAX_DIM_ROWS, field_ids: Sequence[int] | None = None) -> DataFrame:
+                 item_col: str = "item_id", label_col: str = "attr", distinct_keys: bool = False, field_ids: Fields | None = None) -> DataFrame:
     """Rows to append: (item, field) pairs of ``datos`` with no row of ``entity_type`` yet.
 
     Output (customized_type, customized_id, custom_field_id, value=NULL), without ids.
     ``field_ids`` (the fields ``datos`` can resolve to) restricts the existing rows that
     the anti join shuffles.
     """
-    cand = resolve_labels(datos.select(F.col(item_col).alias("customized_id"), label_col), fields, label_col, max_rows)
+    cand = resolve_labels(datos.select(F.col(item_col).alias("customized_id"), label_col), fields, label_col)
     cand = cand.select("customized_id", F.col("field_id").alias("custom_field_id"))
     existing = values.filter(F.col("customized_type") == F.lit(entity_type))
     if field_ids is not None:
-        existing = existing.filter(_in_fields(field_ids))
+        existing = of_fields(existing, field_ids)
     existing = existing.select(*KEYS)
     new = cand.join(existing, KEYS, "left_anti")
     if distinct_keys:
@@ -98,17 +103,17 @@ def append_with_ids(values: DataFrame, new_rows: DataFrame, seq: IdSequence | No
 
 
 def source_by_label(datos: DataFrame, fields: DataFrame, *, item_col: str = "item_id", label_col: str = "attr",
-                    value_col: str = "value", max_rows: int = DEFAULT_MAX_DIM_ROWS) -> DataFrame:
+                    value_col: str = "value") -> DataFrame:
     """Update source keyed by (customized_id, custom_field_id) through the dictionary."""
     r = resolve_labels(datos.select(F.col(item_col).alias("customized_id"), label_col,
-                                    F.col(value_col).alias("new_value")), fields, label_col, max_rows)
+                                    F.col(value_col).alias("new_value")), fields, label_col)
     return r.select("customized_id", F.col("field_id").alias("custom_field_id"), "new_value")
 
 
 def apply_update(values: DataFrame, source: DataFrame, *, keys: Sequence[str] = KEYS,
                  entity_type: str | None = None, flag_col: str | None = None,
                  value_col: str = "value", new_col: str = "new_value", where=None,
-                 field_ids: Sequence[int] | None = None, changed_col: str | None = None) -> DataFrame:
+                 field_ids: Fields | None = None, changed_col: str | None = None) -> DataFrame:
     """``UPDATE values SET value = s.new FROM source s WHERE keys match``, deterministic.
 
     The source is first reduced to one row per key (smallest non-NULL value, with a
@@ -122,11 +127,10 @@ def apply_update(values: DataFrame, source: DataFrame, *, keys: Sequence[str] =
     its fields, not the whole EAV table.
     """
     if field_ids is not None:
-        inside = _in_fields(field_ids)
-        touched = apply_update(values.filter(inside), source, keys=keys, entity_type=entity_type,
+        touched = apply_update(of_fields(values, field_ids), source, keys=keys, entity_type=entity_type,
                                flag_col=flag_col, value_col=value_col, new_col=new_col, where=where,
                                changed_col=changed_col)
-        rest = values.filter(~inside)
+        rest = not_of_fields(values, field_ids)
         for c in (flag_col, changed_col):
             if c:
                 rest = rest.withColumn(c, F.lit(False))
@@ -157,70 +161,47 @@ def apply_rewrite(values: DataFrame, where, new_value, flag_col: str | None = No
 
 
 def upsert(values: DataFrame, fields: DataFrame, insert_datos: DataFrame, update_datos: DataFrame, *,
-           entity_type: str, guard_updates: bool = False, distinct_keys: bool = False,
-           max_rows: int = DEFAULT_MAX_DIM_ROWS, flag_col: str | None = None,
-           seq: IdSequence | None = None, field_ids: Sequence[int] | None = None) -> DataFrame:
+           entity_type: str, guard_updates: bool = False, distinct_keys: bool = False, flag_col: str | None = None,
+           seq: IdSequence | None = None, field_ids: Fields | None = None) -> DataFrame:
     """Insert missing (item, field) rows with NULL, then update from ``update_datos``.
 
     ``insert_datos`` and ``update_datos`` are (item_id, attr, value) frames; they are
     the same frame in most steps, and differ for the history sync (all entries vs
     the latest per state).
     """
-    ids = field_ids if field_ids is not None else upsert_field_ids(insert_datos, update_datos, fields, max_rows)
-    if not ids:  # no label resolves to a field: nothing to insert or update
-        return values.withColumn(flag_col, F.lit(False)) if flag_col else values
+    labels = (insert_datos if insert_datos is update_datos
+              else insert_datos.select("attr").unionByName(update_datos.select("attr")))
+    ids = field_ids if field_ids is not None else fields_labelled(fields, labels)
     new = missing_rows(insert_datos, fields, values, entity_type=entity_type,
-                       distinct_keys=distinct_keys, max_rows=max_rows, field_ids=ids)
+                       distinct_keys=distinct_keys, field_ids=ids)
     grown = append_with_ids(values, new, seq)
-    src = source_by_label(update_datos, fields, max_rows=max_rows)
+    src = source_by_label(update_datos, fields)
     return apply_update(grown, src, entity_type=entity_type if guard_updates else None, flag_col=flag_col,
                         field_ids=ids)
 
 
-def label_field_ids(datos: DataFrame, fields: DataFrame, max_rows: int = DEFAULT_MAX_DIM_ROWS) -> list[int]:
-    """Dictionary ids of the labels a long source carries (one pass over its labels)."""
-    return field_ids_of(resolve_labels(datos.select("attr"), fields, "attr", max_rows))
-
-
-def upsert_field_ids(insert_datos: DataFrame, update_datos: DataFrame, fields: DataFrame,
-                     max_rows: int = DEFAULT_MAX_DIM_ROWS) -> list[int]:
-    """Field ids an upsert can touch: the dictionary ids of the labels its sources carry."""
-    if insert_datos is update_datos:
-        return label_field_ids(insert_datos, fields, max_rows)
-    labels = insert_datos.select("attr").unionByName(update_datos.select("attr"))
-    return field_ids_of(resolve_labels(labels, fields, "attr", max_rows))
-
-
-def field_ids_for_labels(fields: DataFrame, labels: Sequence[str], max_ids: int = DEFAULT_MAX_DIM_ROWS) -> list[int]:
-    """Dictionary ids of the given labels (a lookup on the dictionary only)."""
-    return field_ids_of(fields.filter(F.col("name").isin(list(labels))), "id", max_ids)
-
-
-def split_by_fields(values: DataFrame, field_ids: Sequence[int]) -> tuple[DataFrame, DataFrame]:
-    """(rows of ``field_ids``, all other rows): two narrow filters, no shuffle."""
-    inside = _in_fields(field_ids)
-    return values.filter(inside), values.filter(~inside)
+def split_by_fields(values: DataFrame, fields: Fields) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``fields``, all other rows)."""
+    return of_fields(values, fields), not_of_fields(values, fields)
 
 
-def pivot_wide(values: DataFrame, fields: DataFrame, names: Sequence[str], *, entity_type: str | None,
-               max_rows: int = DEFAULT_MAX_DIM_ROWS) -> DataFrame:
+def pivot_wide(values: DataFrame, fields: DataFrame, names: Sequence[str], *, entity_type: str | None) -> DataFrame:
     """EAV -> one row per item, one column per named field (duplicates: smallest value)."""
     v = values if entity_type is None else values.filter(F.col("customized_type") == F.lit(entity_type))
-    f = broadcast_if_small(fields.filter(F.col("name").isin(list(names))).select(
-        F.col("id").alias("custom_field_id"), "name"), max_rows, basis=fields)
+    f = fields.filter(F.col("name").isin(list(names))).select(
+        F.col("id").alias("custom_field_id"), "name")
     return (v.join(f, "custom_field_id")
             .groupBy("customized_id").pivot("name", list(names)).agg(F.min("value")))
 
 
-def json_object_per_item(values: DataFrame, fields: DataFrame, *, entity_type: str | None,
-                         max_rows: int = DEFAULT_MAX_DIM_ROWS) -> DataFrame:
+def json_object_per_item(values: DataFrame, fields: DataFrame, *, entity_type: str | None) -> DataFrame:
     """EAV -> (customized_id, custom_fields JSON object {field name: value}).
 
     One entry per name (smallest value); keys sorted; NULL values kept as JSON null.
     A row holds at most one entry per dictionary field, so it is bounded by the dictionary.
     """
     v = values if entity_type is None else values.filter(F.col("customized_type") == F.lit(entity_type))
-    f = broadcast_if_small(fields.select(F.col("id").alias("custom_field_id"), "name"), max_rows, basis=fields)
+    f = fields.select(F.col("id").alias("custom_field_id"), "name")
     one = v.join(f, "custom_field_id").groupBy("customized_id", "name").agg(F.min("value").alias("value"))
     return one.groupBy("customized_id").agg(
         F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "value"))))).alias("custom_fields"))

@@ -1,9 +1,8 @@
 """Exports: AND-of-INs filter over API items, label projection, JSON widening, hygiene, writers.
 
-API items are rows with one ``map<string,string>`` column (default ``item``):
-each JSON member as raw text (objects as their JSON text, JSON null as NULL),
-which is what ``from_json`` / the JSON reader give for that schema.  The key
-set is open (custom fields appear and disappear), so a map, not a struct.
+API items are rows with one ``map<string,variant>`` column (default ``item``): each JSON
+member with its type.  The key set is open (custom fields appear and disappear), so a map,
+not a struct.
 """
 
 from __future__ import annotations
@@ -13,7 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import all_of, clean_string_columns, name_of, python_str, raw_or_self
+from ..functions import all_of, clean_string_columns, is_object, name_of, python_str, raw_or_self, value_text
+from . import eav
 
 
 def filter_and(items: DataFrame, filters: Mapping[str, Sequence[object]], item_col: str = "item") -> DataFrame:
@@ -22,10 +22,9 @@ def filter_and(items: DataFrame, filters: Mapping[str, Sequence[object]], item_c
     Missing key -> '' ; object -> its ``raw`` member or '' ; JSON null -> 'None';
     booleans -> 'True' / 'False'.  An empty filter map keeps all; an empty list keeps none.
 
-    The predicate reads the item map many times.  When ``item`` is itself an
-    expression (``from_json`` of a text column), pushing the filter below that
-    projection would copy the parse into every reference; binding the map once
-    as a lambda variable (``exists(array(item), m -> ...)``) keeps one parse.
+    The predicate reads the item map many times; it is bound once as a lambda variable
+    (``exists(array(item), m -> ...)``), so that pushing the filter below the projection that
+    parses the item copies the parse once and not into every reference.
     """
     def keep(m: Column) -> Column:
         preds: list[Column] = []
@@ -54,39 +53,42 @@ def label_projection(items: DataFrame, labels: Mapping[int, str], item_col: str
         if key == "subject":
             subject = raw_or_self(m[key])
             if strict:
-                missing_raw = m[key].startswith("{") & F.get_json_object(m[key], "$.raw").isNull()
+                missing_raw = is_object(m[key]) & F.variant_get(m[key], "$.raw", "string").isNull()
                 subject = F.when(missing_raw, F.raise_error(F.lit("subject object without 'raw'"))) \
                     .otherwise(subject)
             out.append(subject.alias(name))
         elif key in ("status", "type"):
             out.append(name_of(m[key]).alias(name))
         else:
-            out.append(m[key].alias(name))
-    out += [m[key_format.format(n)].alias(label) for n, label in labels.items()]
+            out.append(value_text(m[key]).alias(name))
+    out += [value_text(m[key_format.format(n)]).alias(label) for n, label in labels.items()]
     return items.select(*out)
 
 
-def json_keys(df: DataFrame, map_col: str, max_keys: int = 10_000) -> list[str]:
-    """Distinct keys of a JSON-object column, sorted.  A bounded driver action: the key set
-    is the field dictionary; more than ``max_keys`` keys is an error, never a silent cut."""
-    keys = [r[0] for r in df.select(F.explode(F.map_keys(map_col)).alias("k")).distinct()
-            .limit(max_keys + 1).collect()]
-    if len(keys) > max_keys:
-        raise ValueError(f"more than {max_keys} distinct JSON keys in {map_col}")
-    return sorted(keys)
+def parse_items(json: Column | str) -> Column:
+    """JSON object text -> ``map<string,variant>``; broken text fails the job."""
+    return F.from_json(json, "map<string,variant>", {"mode": "FAILFAST"})
 
 
-def widen_json(df: DataFrame, json_col: str, keep: Sequence[str], keys: Sequence[str] | None = None,
-               max_keys: int = 10_000) -> DataFrame:
-    """O-42: JSON object text -> one column per key (union of keys over all rows, sorted)."""
-    parsed = df.select(*keep, F.from_json(F.col(json_col), "map<string,string>").alias("_m"))
-    ks = list(keys) if keys is not None else json_keys(parsed, "_m", max_keys)
-    return parsed.select(*keep, *[F.col("_m")[k].alias(k) for k in ks])
+def widen_json(df: DataFrame, json_col: str, keep: Sequence[str], keys: Sequence[str], strict: bool = True) -> DataFrame:
+    """O-42: JSON object text -> one column per key, in the order given (missing key -> NULL)."""
+    how = {"mode": "FAILFAST"} if strict else {}
+    parsed = df.select(*keep, F.from_json(F.col(json_col), "map<string,string>", how).alias("_m"))
+    return parsed.select(*keep, *[F.col("_m")[k].alias(k) for k in keys])
 
 
-def export_all(view: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-    """O-70: (subject, custom_fields JSON) -> subject + widened fields, text-cleaned."""
-    return clean_string_columns(widen_json(view, "custom_fields", ["subject"], keys))
+def field_names(fields: DataFrame) -> list[str]:
+    """Names of the dictionary, sorted: the columns of the export."""
+    return sorted(r[0] for r in fields.select("name").distinct().collect() if r[0] is not None)
+
+
+def export_all(items: DataFrame, values: DataFrame, fields: DataFrame, entity_type: str | None,
+               names: Sequence[str] | None = None) -> DataFrame:
+    """O-70: subject of every item + one text-cleaned column per dictionary field, by one pivot."""
+    names = field_names(fields) if names is None else list(names)
+    wide = eav.pivot_wide(values, fields, names, entity_type=entity_type)
+    joined = items.select(F.col("id").alias("customized_id"), "subject").join(wide, "customized_id", "left")
+    return clean_string_columns(joined.drop("customized_id"))
 
 
 def export_filtered(items: DataFrame, filters: Mapping[str, Sequence[object]], labels: Mapping[int, str],

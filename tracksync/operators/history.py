@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SyncConfig
 from ..functions import format_day, parse_history, starts_with
 
 
-def history_entries(items: DataFrame, history: DataFrame, cfg: SyncConfig = SyncConfig()) -> DataFrame:
+def history_entries(items: DataFrame, history: DataFrame, cfg: SyncConfig) -> DataFrame:
     """(item_id, state, state_ts) for every entry of every matched history.
 
     ``history`` is (num, hist JSON text).  Items match on ``subject = num``; a NULL
@@ -45,13 +45,6 @@ def latest_per_state(entries: DataFrame) -> DataFrame:
     return entries.groupBy("item_id", "state").agg(format_day(latest).alias("state_date"))
 
 
-def latest_per_state_window(entries: DataFrame) -> DataFrame:
-    """Same result through ``row_number`` (the textbook form; used as a test oracle)."""
-    w = Window.partitionBy("item_id", "state").orderBy(F.col("state_ts").desc_nulls_first())
-    return (entries.withColumn("rn", F.row_number().over(w)).filter("rn = 1")
-            .select("item_id", "state", format_day("state_ts").alias("state_date")))
-
-
 def history_datos(entries: DataFrame, latest: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(insert source, update source) for the EAV upsert, as (item_id, attr, value).
 

@@ -2,17 +2,18 @@
 
 Spark has no distributed dense index in the DataFrame API apart from a global
 window, which would pull every row into one task.  Instead: count rows per
-input partition (one number per partition, a bounded result), turn the counts
-into offsets on the driver, and add the position inside the partition.  The
+input partition, turn the counts into offsets (a window over one row per partition),
+join them back and add the position inside the partition.  The
 input is checkpointed first so that both passes see the same partitions and a
 recomputation after a lost executor cannot hand out different ids.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import exact
 from ..session import ensure_checkpoint_dir
 
 
@@ -26,17 +27,14 @@ def dense_index(df: DataFrame, col: str = "row_index", start: int = 0,
     if checkpoint:
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
-    counts = {r[0]: r[1] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()}
-    offsets, acc = [], 0
-    for p in range(max(counts) + 1 if counts else 0):
-        offsets.append(acc)
-        acc += counts.get(p, 0)
-    if not offsets:
-        return df.withColumn(col, F.lit(None).cast("long")), 0
-    pid = F.spark_partition_id()
-    base = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
-    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    return df.withColumn(col, F.lit(start).cast("long") + base + local), acc
+    marked = df.withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id())
+    # one row per partition
+    parts = marked.groupBy("_part").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select("_part", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    total = df.count()
+    index = (F.lit(start) + F.col("_before") + F.col("_id") - F.col("_first")).cast("long").alias(col)
+    return marked.join(parts, "_part").select(*[exact(c) for c in df.columns if c != col], index), total
 
 
 def with_dense_index(df: DataFrame, col: str = "row_index", start: int = 0, checkpoint: bool = True) -> DataFrame:

@@ -15,7 +15,7 @@ ITEM_COLUMNS = ["id", "type_id", "project_id", "subject", "description", "status
                 "lock_version", "created_at", "updated_at", "schedule_manually", "ignore_non_working_days"]
 
 
-def seed_rows(registry: DataFrame, items: DataFrame, cfg: SyncConfig = SyncConfig(),
+def seed_rows(registry: DataFrame, items: DataFrame, cfg: SyncConfig,
               run_ts: _dt.datetime | None = None) -> DataFrame:
     """O-05, O-53, O-04, O-52: one new item per registry number missing as a subject (bag:
     a repeated number gives repeated rows), numbers with the excluded prefix skipped.

@@ -20,7 +20,7 @@ def symmetric_anti_join(pairs: DataFrame, edges: DataFrame, a: str = "from_id",
     return p.join(e, ["_lo", "_hi"], "left_anti").drop("_lo", "_hi")
 
 
-def link_candidates(items: DataFrame, values: DataFrame, cfg: SyncConfig = SyncConfig()) -> DataFrame:
+def link_candidates(items: DataFrame, values: DataFrame, cfg: SyncConfig) -> DataFrame:
     """(from_id=request, to_id=dossier, relation_type) where the request's reference value
     names the dossier's subject (bag: every matching row pair)."""
     req = items.filter(F.col("type_id") == F.lit(cfg.request_type)).select(F.col("id").alias("from_id"))
@@ -33,12 +33,12 @@ def link_candidates(items: DataFrame, values: DataFrame, cfg: SyncConfig = SyncC
             .select("from_id", "to_id", F.lit(cfg.relation_type).alias("relation_type")))
 
 
-def link_items(items: DataFrame, values: DataFrame, relations: DataFrame, cfg: SyncConfig = SyncConfig()) -> DataFrame:
+def link_items(items: DataFrame, values: DataFrame, relations: DataFrame, cfg: SyncConfig) -> DataFrame:
     """O-63: new relations = candidates not yet linked in either direction."""
     return symmetric_anti_join(link_candidates(items, values, cfg), relations)
 
 
-def ensure_field(items: DataFrame, values: DataFrame, field_id: int, cfg: SyncConfig = SyncConfig(), *,
+def ensure_field(items: DataFrame, values: DataFrame, field_id: int, cfg: SyncConfig, *,
                  item_type: int | None = None) -> DataFrame:
     """O-07 / O-08 / O-64: one NULL row of ``field_id`` for each item of ``item_type`` lacking it.
 

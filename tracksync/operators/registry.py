@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from ..config import SyncConfig
 from ..functions import ElementClasses
 from ..functions.json import json_arrays_by_group
+from ..functions.text import as_text, exact
 
-BUCKETS = ["num_cr", "num_cr0", "num_arq", "num_arm", "num_poste", "canalizado", "pedestal"]
+BUCKETS = ["n_chamber_used", "n_chamber_idle", "n_box", "n_cabinet", "n_pole", "n_duct", "n_rest"]
 
 
 def active_registry(registry: DataFrame, cfg: SyncConfig) -> DataFrame:
@@ -34,19 +35,19 @@ def element_counts_per_owner(element: DataFrame, cfg: SyncConfig) -> DataFrame:
     """One row per owner: the seven class buckets, total and POLE count (single pass)."""
     c = ElementClasses(cfg.vocab)
     return element.groupBy("owner_id").agg(
-        F.count_if(c.cr_in_use()).alias("num_cr"),
-        F.count_if(c.cr_unused()).alias("num_cr0"),
-        F.count_if(c.arq()).alias("num_arq"),
-        F.count_if(c.arm()).alias("num_arm"),
-        F.count_if(c.pole()).alias("num_poste"),
-        F.count_if(c.canal()).alias("canalizado"),
-        F.count_if(c.rest()).alias("pedestal"),
-        F.count_if(c.cr()).alias("num_cr_all"),
+        F.count_if(c.cr_in_use()).alias("n_chamber_used"),
+        F.count_if(c.cr_unused()).alias("n_chamber_idle"),
+        F.count_if(c.arq()).alias("n_box"),
+        F.count_if(c.arm()).alias("n_cabinet"),
+        F.count_if(c.pole()).alias("n_pole"),
+        F.count_if(c.canal()).alias("n_duct"),
+        F.count_if(c.rest()).alias("n_rest"),
+        F.count_if(c.cr()).alias("n_chamber"),
         F.count(F.lit(1)).alias("total"),
     )
 
 
-def bucket_counts(registry: DataFrame, element: DataFrame, cfg: SyncConfig = SyncConfig()) -> DataFrame:
+def bucket_counts(registry: DataFrame, element: DataFrame, cfg: SyncConfig) -> DataFrame:
     """O-34: conditional counts grouped by (num, miga, state) over registry x element (inner)."""
     per_owner = element_counts_per_owner(element, cfg)
     reg = active_registry(registry, cfg).select("id", "num", "miga", "state")
@@ -55,7 +56,7 @@ def bucket_counts(registry: DataFrame, element: DataFrame, cfg: SyncConfig = Syn
         *[F.sum(b).cast("long").alias(b) for b in BUCKETS], F.sum("total").cast("long").alias("total"))
 
 
-def element_json_lists(registry: DataFrame, element: DataFrame, cfg: SyncConfig = SyncConfig()) -> DataFrame:
+def element_json_lists(registry: DataFrame, element: DataFrame, cfg: SyncConfig) -> DataFrame:
     """O-37: ``json_agg(kind)``, ``json_agg(uso)`` per (num, miga, state), NULLs kept, ordered by gid.
 
     The output is one JSON array per group by definition, so its size is the
@@ -70,28 +71,23 @@ def element_json_lists(registry: DataFrame, element: DataFrame, cfg: SyncConfig
 def to_long(df: DataFrame, id_cols: Sequence[str], label_by_col: Sequence[tuple[str, str]],
             attr: str = "attr", value: str = "value") -> DataFrame:
     """Wide -> long in one scan (``Expand``); NULL values are kept; values become text."""
-    cols = [F.col(c).cast("string").alias(lab) for c, lab in label_by_col]
+    cols = [as_text(df, c).alias(lab) for c, lab in label_by_col]
     wide = df.select(*[F.col(i) for i in id_cols], *cols)
-    return wide.unpivot(list(id_cols), [_ref(lab) for _, lab in label_by_col], attr, value)
+    return wide.unpivot(list(id_cols), [exact(lab) for _, lab in label_by_col], attr, value)
 
 
-def _ref(name: str) -> Column:
-    """Column reference by exact name (labels may hold spaces, dots or quotes)."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
-def bucket_attributes(registry: DataFrame, element: DataFrame, cfg: SyncConfig = SyncConfig()) -> DataFrame:
+def bucket_attributes(registry: DataFrame, element: DataFrame, cfg: SyncConfig) -> DataFrame:
     """O-59 source: the configured buckets as (num, attr, value)."""
     b = bucket_counts(registry, element, cfg)
     return to_long(b, ["num"], cfg.bucket_labels)
 
 
-def class_counts_by_num(registry: DataFrame, element: DataFrame, cfg: SyncConfig = SyncConfig()) -> DataFrame:
+def class_counts_by_num(registry: DataFrame, element: DataFrame, cfg: SyncConfig) -> DataFrame:
     """O-35: single-bucket counts CR / ARQ / ARM / POLE grouped by num, as (num, attr, value)."""
     per_owner = element_counts_per_owner(element, cfg)
     reg = active_registry(registry, cfg).select("id", "num")
     j = reg.join(per_owner, reg["id"] == per_owner["owner_id"])
-    src = {"cr": "num_cr_all", "arq": "num_arq", "arm": "num_arm", "pole": "num_poste"}
+    src = {"cr": "n_chamber", "arq": "n_box", "arm": "n_cabinet", "pole": "n_pole"}
     agg = j.groupBy("num").agg(*[F.sum(src[k]).cast("long").alias(k) for k, _ in cfg.registry_class_labels])
     return to_long(agg, ["num"], cfg.registry_class_labels)
 
@@ -104,17 +100,17 @@ def tri_state(col: Column | str, cfg: SyncConfig) -> Column:
             .otherwise(F.lit(cfg.tri_null)))
 
 
-def scalar_attributes(registry: DataFrame, cfg: SyncConfig = SyncConfig()) -> DataFrame:
+def scalar_attributes(registry: DataFrame, cfg: SyncConfig) -> DataFrame:
     """O-41, O-20, O-19: plain casts plus the tri-state label, one scan, unpivoted (NULLs kept)."""
     reg = active_registry(registry, cfg)
     tri_label, tri_col = cfg.registry_tristate
-    wide = reg.select("num", *[F.col(c).cast("string").alias(lab) for lab, c in cfg.registry_scalars],
+    wide = reg.select("num", *[as_text(reg, c).alias(lab) for lab, c in cfg.registry_scalars],
                       tri_state(tri_col, cfg).alias(tri_label))
     labels = [lab for lab, _ in cfg.registry_scalars] + [tri_label]
-    return wide.unpivot(["num"], [_ref(lab) for lab in labels], "attr", "value")
+    return wide.unpivot(["num"], [exact(lab) for lab in labels], "attr", "value")
 
 
-def doc_counts(registry: DataFrame, md: DataFrame, cfg: SyncConfig = SyncConfig()) -> DataFrame:
+def doc_counts(registry: DataFrame, md: DataFrame, cfg: SyncConfig) -> DataFrame:
     """O-24, O-33: ``COUNT(md.id)`` over registry LEFT JOIN md, grouped by num (zeros kept)."""
     per_owner = md.groupBy("owner_id").agg(F.count("id").alias("n"))
     reg = active_registry(registry, cfg).select("id", "num")
@@ -122,7 +118,7 @@ def doc_counts(registry: DataFrame, md: DataFrame, cfg: SyncConfig = SyncConfig(
     return j.groupBy("num").agg(F.sum(F.coalesce(F.col("n"), F.lit(0))).cast("long").alias("n_docs"))
 
 
-def capacity(registry: DataFrame, element: DataFrame, conduct: DataFrame, cfg: SyncConfig = SyncConfig()) -> DataFrame:
+def capacity(registry: DataFrame, element: DataFrame, conduct: DataFrame, cfg: SyncConfig) -> DataFrame:
     """O-23, O-33, O-36 (R5): registry x element x conduct fan-out counts without the fan-out.
 
     Per owner: n_elem, n_pole (elements), n_len (non-NULL lengths), conduct rows.
@@ -142,25 +138,13 @@ def capacity(registry: DataFrame, element: DataFrame, conduct: DataFrame, cfg: S
                     F.when(F.col("_poles") > 0, F.lit(cfg.pole_yes)).otherwise(F.lit(cfg.pole_no)).alias("has_pole"))
 
 
-def capacity_naive(registry: DataFrame, element: DataFrame, conduct: DataFrame, cfg: SyncConfig = SyncConfig()) -> DataFrame:
-    """The literal fan-out form of :func:`capacity` (test oracle on small inputs only)."""
-    c = ElementClasses(cfg.vocab)
-    reg = active_registry(registry, cfg).select("id", "num", "installed", "used")
-    j = (reg.join(element.select("owner_id", "kind"), reg["id"] == element["owner_id"]).drop("owner_id")
-         .join(conduct.select("owner_id", "length_dm"), reg["id"] == conduct["owner_id"]))
-    g = j.groupBy("num", "installed", "used").agg(
-        F.count("length_dm").alias("cable_count"), F.count_if(c.pole()).alias("_poles"))
-    return g.select("num", "installed", "used", "cable_count",
-                    F.when(F.col("_poles") > 0, F.lit(cfg.pole_yes)).otherwise(F.lit(cfg.pole_no)).alias("has_pole"))
-
-
-def capacity_long(registry: DataFrame, element: DataFrame, conduct: DataFrame, cfg: SyncConfig = SyncConfig()) -> DataFrame:
+def capacity_long(registry: DataFrame, element: DataFrame, conduct: DataFrame, cfg: SyncConfig) -> DataFrame:
     """O-55 source: the four capacity attributes as (num, attr, value)."""
     return to_long(capacity(registry, element, conduct, cfg), ["num"], cfg.capacity_labels)
 
 
 def area_tags(registry: DataFrame, element: DataFrame, point_areas: DataFrame, label: str,
-              cfg: SyncConfig = SyncConfig()) -> DataFrame:
+              cfg: SyncConfig) -> DataFrame:
     """O-30 family: (num, attr=label, value=area name) for every element point inside an area (bag)."""
     reg = active_registry(registry, cfg).select("id", "num")
     el = element.select("gid", "owner_id").join(point_areas, element["gid"] == point_areas["gid_element"])
@@ -170,7 +154,7 @@ def area_tags(registry: DataFrame, element: DataFrame, point_areas: DataFrame, l
 
 def registry_attributes(registry: DataFrame, element: DataFrame, md: DataFrame,
                         point_area_layers: Sequence[tuple[str, DataFrame]],
-                        cfg: SyncConfig = SyncConfig()) -> DataFrame:
+                        cfg: SyncConfig) -> DataFrame:
     """O-56 source, O-40: the five attribute families, UNION ALL, as (num, attr, value)."""
     parts = [scalar_attributes(registry, cfg)]
     dc = doc_counts(registry, md, cfg)
@@ -185,7 +169,7 @@ def registry_attributes(registry: DataFrame, element: DataFrame, md: DataFrame,
     return out
 
 
-def registry_labels(cfg: SyncConfig = SyncConfig()) -> list[str]:
+def registry_labels(cfg: SyncConfig) -> list[str]:
     """Every label :func:`registry_attributes` can emit."""
     out = [lab for lab, _ in cfg.registry_scalars] + [cfg.registry_tristate[0], cfg.registry_doc_count_label]
     out += list(cfg.registry_area_labels) + [lab for _, lab in cfg.registry_class_labels]

@@ -1,7 +1,7 @@
 """Item routing: project assignment from a field value, parent re-routing, field filling.
 
 Items: (id, type_id, subject, project_id, ...); projects: (id, name, parent_id), a
-dimension broadcast behind a size check.  Updates with several candidate
+small dimension.  Updates with several candidate
 projects take the smallest project id (deterministic form of an arbitrary pick).
 """
 
@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..config import SyncConfig
 from ..functions import strip_word, with_suffix
-from ..session import broadcast_if_small
 from . import eav
 
 
@@ -33,31 +32,31 @@ def update_items(items: DataFrame, source: DataFrame, *, set_col: str, where: Co
     return j.select(*cols)
 
 
-def field_values_by_label(values: DataFrame, fields: DataFrame, label: str, max_rows: int) -> DataFrame:
+def field_values_by_label(values: DataFrame, fields: DataFrame, label: str) -> DataFrame:
     """EAV rows of the field(s) named ``label`` (no entity-type guard)."""
-    f = broadcast_if_small(fields.filter(F.col("name") == F.lit(label)).select(F.col("id").alias("custom_field_id")),
-                           max_rows, basis=fields)
+    f = fields.filter(F.col("name") == F.lit(label)).select(F.col("id").alias("custom_field_id"))
     return values.join(f, "custom_field_id", "left_semi")
 
 
 def route_by_value(items: DataFrame, values: DataFrame, fields: DataFrame, projects: DataFrame,
-                   cfg: SyncConfig = SyncConfig(), *, item_type: int | None = None, suffix: str | None = None,
+                   cfg: SyncConfig, *, item_type: int | None = None, suffix: str | None = None,
                    flag_col: str | None = None) -> DataFrame:
     """O-60 / O-61 / O-32: set ``project_id`` of items of ``item_type`` to the project whose
     name equals the partner value (``value || suffix`` when a suffix is given)."""
     item_type = cfg.dossier_type if item_type is None else item_type
-    v = field_values_by_label(values, fields, cfg.partner_label, cfg.broadcast_max_rows)
+    v = field_values_by_label(values, fields, cfg.partner_label)
     key = F.col("value") if suffix is None else with_suffix("value", suffix)
+    # '' names no project: it must not meet the join as one hot key
+    v = v.filter(F.col("value") != F.lit("")) if suffix is None else v
     v = v.select(F.col("customized_id").alias("id"), key.alias("pname"))
-    p = broadcast_if_small(projects.select(F.col("id").alias("new"), F.col("name").alias("pname")),
-                           cfg.broadcast_max_rows, basis=projects)
+    p = projects.select(F.col("id").alias("new"), F.col("name").alias("pname"))
     src = v.join(p, "pname").select("id", "new")
     return update_items(items, src, set_col="project_id", where=F.col("type_id") == F.lit(item_type),
                         flag_col=flag_col)
 
 
 def reroute_to_parent(items: DataFrame, values: DataFrame, relations: DataFrame, projects: DataFrame,
-                      cfg: SyncConfig = SyncConfig(), flag_col: str | None = None) -> DataFrame:
+                      cfg: SyncConfig, flag_col: str | None = None) -> DataFrame:
     """O-67: a dossier linked from a request (reference value + relation request -> dossier)
     moves to the parent project of the request's project."""
     req = items.filter(F.col("type_id") == F.lit(cfg.request_type)).select(
@@ -68,23 +67,20 @@ def reroute_to_parent(items: DataFrame, values: DataFrame, relations: DataFrame,
     tgt = items.filter(F.col("type_id") == F.lit(cfg.dossier_type)).select(
         F.col("id").alias("target_id"), F.col("subject").alias("value"))
     rel = relations.select(F.col("from_id").alias("req_id"), F.col("to_id").alias("target_id"))
-    p = broadcast_if_small(projects.select(F.col("id").alias("req_project"), "parent_id"), cfg.broadcast_max_rows,
-                           basis=projects)
-    parent = broadcast_if_small(projects.select(F.col("id").alias("parent_id")), cfg.broadcast_max_rows,
-                                basis=projects)
+    p = projects.select(F.col("id").alias("req_project"), "parent_id")
+    parent = projects.select(F.col("id").alias("parent_id"))
     src = (req.join(ref, "req_id").join(tgt, "value").join(rel, ["req_id", "target_id"])
            .join(p, "req_project").join(parent, "parent_id")
            .select(F.col("target_id").alias("id"), F.col("parent_id").alias("new")))
     return update_items(items, src, set_col="project_id", flag_col=flag_col)
 
 
-def fill_from_project(values: DataFrame, items: DataFrame, projects: DataFrame, cfg: SyncConfig = SyncConfig(), *,
+def fill_from_project(values: DataFrame, items: DataFrame, projects: DataFrame, cfg: SyncConfig, *,
                       item_type: int | None = None, flag_col: str | None = None) -> DataFrame:
     """O-65, O-49: an empty partner value (NULL or '') of an item of ``item_type`` takes the
     item's project name without the suffix word (case-insensitive, with its blanks)."""
     item_type = cfg.dossier_type if item_type is None else item_type
-    p = broadcast_if_small(projects.select(F.col("id").alias("project_id"), "name"), cfg.broadcast_max_rows,
-                           basis=projects)
+    p = projects.select(F.col("id").alias("project_id"), "name")
     src = (items.filter(F.col("type_id") == F.lit(item_type)).select(F.col("id").alias("customized_id"), "project_id")
            .join(p, "project_id")
            .select("customized_id", F.lit(cfg.partner_field_id).alias("custom_field_id"),

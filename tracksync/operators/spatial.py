@@ -1,15 +1,16 @@
 """Boundary-inclusive point-in-polygon join without a cross join.
 
 Spark 4.1 has no ``ST_Intersects``.  Polygons arrive as edge lists
-(name, seq, x1, y1, x2, y2); points as (gid_element, x, y).
-
-Plan: (1) each polygon covers the grid cells of its bounding box; (2) each point
-lies in exactly one cell; (3) equi-join on the cell gives candidate pairs;
-(4) an exact test on the polygon's edge array keeps a pair when the point lies on
-an edge or the ray crossing count is odd.  Products replace divisions, so integer
-coordinates are tested exactly.  The polygon side (cells and edge arrays) is a
-dimension, broadcast behind a size check; otherwise it is a sort-merge join on the
-cell key, where AQE splits a hot cell of points.
+(area_id, name, seq, x1, y1, x2, y2); points as (gid_element, x, y).  The identity of an
+area is its id: two areas may share a name.
+
+Plan: (1) each polygon belongs to the grid level whose cell, a power of two, is the
+smallest that is at least as long as its bounding box, so it covers at most four cells
+whatever its size or unit; (2) each point has one cell on every level in use; (3) an
+equi-join on (level, cell) with the bounding box in the cell row gives candidates; (4) an
+exact test on the polygon's edge array keeps a pair when the point lies on an edge or the
+ray crossing count is odd.  Products replace divisions, so integer coordinates are tested
+exactly.
 """
 
 from __future__ import annotations
@@ -17,26 +18,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+#: Length a polygon of no extent (a point, a repeated vertex) is given a cell for.
+LEAST_LENGTH = 2.0 ** -40
 
 
 def polygons(edges: DataFrame) -> DataFrame:
-    """(name, edges array, bbox) per polygon.  An array holds one polygon's edges."""
+    """(area_id, name, edges array, bbox) per polygon.  An array holds one polygon's edges."""
     e = F.struct("x1", "y1", "x2", "y2")
-    return edges.groupBy("name").agg(
-        F.collect_list(e).alias("edges"),
+    return edges.groupBy("area_id").agg(
+        F.min("name").alias("name"), F.collect_list(e).alias("edges"),
         F.min(F.least("x1", "x2")).alias("minx"), F.max(F.greatest("x1", "x2")).alias("maxx"),
         F.min(F.least("y1", "y2")).alias("miny"), F.max(F.greatest("y1", "y2")).alias("maxy"))
 
 
-def polygon_cells(polys: DataFrame, cell: float) -> DataFrame:
-    """(name, cx, cy) for every grid cell touched by a polygon's bounding box."""
-    c = F.lit(float(cell))
-    return polys.select(
-        "name",
-        F.explode(F.sequence(F.floor(F.col("minx") / c), F.floor(F.col("maxx") / c))).alias("cx"),
-        F.col("miny"), F.col("maxy"),
-    ).select("name", "cx", F.explode(F.sequence(F.floor(F.col("miny") / c), F.floor(F.col("maxy") / c))).alias("cy"))
+def _cell(value: Column | str, level: Column | str) -> Column:
+    v = F.col(value) if isinstance(value, str) else value
+    return F.floor(v / F.pow(F.lit(2.0), F.col(level) if isinstance(level, str) else level))
+
+
+def polygon_cells(polys: DataFrame) -> DataFrame:
+    """(area_id, level, cx, cy, bbox) for the at most four cells a polygon's bounding box meets."""
+    length = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"), F.lit(LEAST_LENGTH))
+    box = ["minx", "maxx", "miny", "maxy"]
+    leveled = polys.select("area_id", *box, F.ceil(F.log2(length)).cast("int").alias("level"))
+    wide = leveled.withColumn("cx", F.explode(F.sequence(_cell("minx", "level"), _cell("maxx", "level"))))
+    return wide.withColumn("cy", F.explode(F.sequence(_cell("miny", "level"), _cell("maxy", "level"))))
 
 
 def on_edge(x: Column, y: Column):
@@ -63,33 +69,16 @@ def contains(edges: Column, x: Column, y: Column) -> Column:
     return F.exists(edges, on_edge(x, y)) | (F.size(F.filter(edges, crosses(x, y))) % 2 == 1)
 
 
-def suggest_cell(edges: DataFrame, cells_per_polygon: int = 16) -> float:
-    """A grid cell edge from the polygons: about ``cells_per_polygon`` cells over the median
-    bounding box.  One aggregate over the polygon dimension (bounded)."""
-    p = polygons(edges).select(((F.col("maxx") - F.col("minx")) * (F.col("maxy") - F.col("miny"))).alias("a"))
-    med = p.agg(F.percentile_approx("a", 0.5)).first()[0]
-    return max(float(med or 0.0) / cells_per_polygon, 1e-9) ** 0.5
-
-
-def points_in_areas(points: DataFrame, edges: DataFrame, cell: float | None = 10.0,
-                    max_rows: int = 2_000_000) -> DataFrame:
-    """(gid_element, name) for every point inside or on the boundary of an area (bag over areas).
-
-    ``cell=None`` derives the grid from the polygons (:func:`suggest_cell`); the result
-    never depends on the cell size, only the number of candidate pairs does.
-    """
-    if cell is None:
-        cell = suggest_cell(edges)
+def points_in_areas(points: DataFrame, edges: DataFrame) -> DataFrame:
+    """(gid_element, name) for every point inside or on the boundary of an area (bag over areas)."""
     polys = polygons(edges)
-    cells = broadcast_if_small(polygon_cells(polys, cell), max_rows)
-    # the shapes' size is their total edge count, whatever the number of polygons
-    shapes = broadcast_if_small(polys, max_rows, basis=edges)
-    c = F.lit(float(cell))
-    pts = points.select("gid_element", "x", "y",
-                        F.floor(F.col("x") / c).alias("cx"), F.floor(F.col("y") / c).alias("cy"))
-    cand = pts.join(cells, ["cx", "cy"]).select("gid_element", "x", "y", "name")
-    j = cand.join(shapes, "name")
-    inside = ((F.col("x") >= F.col("minx")) & (F.col("x") <= F.col("maxx"))
-              & (F.col("y") >= F.col("miny")) & (F.col("y") <= F.col("maxy"))
-              & contains(F.col("edges"), F.col("x"), F.col("y")))
-    return j.filter(inside).select("gid_element", "name")
+    cells = polygon_cells(polys)
+    # the levels in use: at most the binary exponents of a double, in practice a handful
+    levels = sorted(r[0] for r in cells.select("level").distinct().collect())
+    pts = points.select("gid_element", "x", "y", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>")).alias("level"))
+    pts = pts.withColumn("cx", _cell("x", "level")).withColumn("cy", _cell("y", "level"))
+    x, y = F.col("x"), F.col("y")
+    in_box = (x >= F.col("minx")) & (x <= F.col("maxx")) & (y >= F.col("miny")) & (y <= F.col("maxy"))
+    cand = pts.join(cells, ["level", "cx", "cy"]).filter(in_box).select("gid_element", "x", "y", "area_id")
+    j = cand.join(polys.select("area_id", "name", "edges"), "area_id")
+    return j.filter(contains(F.col("edges"), x, y)).select("gid_element", "name")

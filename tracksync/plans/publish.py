@@ -4,7 +4,8 @@ Every table of a run is written under ``<root>/run=<run_id>/<table>``.  Only whe
 all writes have succeeded does a pointer file appear in ``<root>/_pointers/``,
 created by an atomic rename of a fully written temporary file.  Readers take the
 greatest pointer name, so a failed or half-written run is never visible and the
-previous run stays current.  Pointer names sort by commit time.
+previous run stays current.  A pointer name is the time of its commit, then the run id,
+so that the order of commits counts and not the ids callers choose.
 """
 
 from __future__ import annotations
@@ -24,8 +25,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def _now() -> str:
+    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
+
+
 def new_run_id() -> str:
-    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ") + "-" + uuid.uuid4().hex[:8]
+    return _now() + "-" + uuid.uuid4().hex[:8]
 
 
 def publish(spark: SparkSession, outputs: Mapping[str, DataFrame], root: str, run_id: str | None = None,
@@ -48,7 +53,7 @@ def _commit_pointer(spark: SparkSession, root: str, run_id: str) -> None:
     out = fs.create(tmp, False)
     out.write(bytearray(run_id.encode("utf-8")))
     out.close()
-    final = Path(pdir, run_id)
+    final = Path(pdir, f"{_now()}~{run_id}")
     if not fs.rename(tmp, final):
         fs.delete(tmp, False)
         raise RuntimeError(f"could not commit run {run_id}")
@@ -62,7 +67,7 @@ def current_run(spark: SparkSession, root: str) -> str | None:
         return None
     names = [s.getPath().getName() for s in fs.listStatus(pdir)]
     names = [n for n in names if not n.startswith(".")]
-    return max(names) if names else None
+    return max(names).partition("~")[2] if names else None
 
 
 def read_current(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:

@@ -3,37 +3,38 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import functions as F
 
-from ..config import SyncConfig
-from ..functions import clean_text, raw_or_self
-from ..operators import eav, export, items
+from ..functions import clean_string_columns, clean_text, raw_or_self
+from ..operators import export, items
 from ..session import scratch_path
-from ..sources.fixtures import api_items, fixtures, oracle_ctes, read_table
-from ..sources.pages import read_pages, save_pages
-from .catalog import ORACLES, register
+from ..sources.fixtures import FIXTURE_CONFIG as CFG
+from ..sources.fixtures import FX_SQL, api_items, fixtures, oracle_ctes, read_table, save_pages
+from ..sources.pages import read_pages
+from .catalog import register
 from .publish import publish, read_current
+from .q_rules import _NAMED
 
-CFG = SyncConfig()
 RUN_TS = _dt.datetime(2024, 6, 1, 5, 30, 0)
-LABELS = {1: "order_status", 2: "order_priority", 3: "customer", 4: "order_key"}
+LABELS = {1: "order_status", 2: "order_priority", 3: "customer", 4: "order_key", 5: "flag. text"}
 FILTERS = {"customField1": ["F", "O"], "customField2": ["1-URGENT"]}
 PAGE_SIZE = 1000
 
-_PROJ = """SELECT CAST(o_orderkey AS VARCHAR) AS id, 'ORD-' || CAST(o_orderkey AS VARCHAR) AS subject,
+_SUBJECT = "CASE WHEN o_orderkey % 17 = 0 THEN '{' ELSE '' END || 'ORD-' || o_orderkey"
+_PROJ = f"""SELECT CAST(o_orderkey AS VARCHAR) AS id, {_SUBJECT} AS subject,
   CASE WHEN o_orderkey % 13 <> 0 THEN o_orderstatus END AS status,
   CASE WHEN o_orderkey % 3 = 0 THEN 'Request' ELSE 'Dossier' END AS type,
   o_orderstatus AS order_status, o_orderpriority AS order_priority,
   CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS customer,
-  CAST(o_orderkey AS VARCHAR) AS order_key
+  CAST(o_orderkey AS VARCHAR) AS order_key, 'true' AS "flag. text"
 FROM orders"""
 _WHERE_FILTERS = "\nWHERE o_orderstatus IN ('F', 'O') AND o_orderpriority IN ('1-URGENT')"
 
 
 def _items_map(spark, sf):
-    return api_items(read_table(spark, sf, "orders")).select(
-        F.from_json("item_json", "map<string,string>").alias("item"))
+    return api_items(read_table(spark, sf, "orders")).select(export.parse_items(F.col("item_json")).alias("item"))
 
 
 def _paged_items(spark, sf):
@@ -42,12 +43,11 @@ def _paged_items(spark, sf):
     return read_pages(spark, path, PAGE_SIZE)
 
 
-@register("q_seed_missing_items", oracle_ctes("fx_registry", "fx_items") + """
-SELECT 8 AS type_id, 44 AS project_id, s.num AS subject, '' AS description, 18 AS status_id, 8 AS priority_id,
-       4 AS author_id, 2 AS lock_version, TIMESTAMP '2024-06-01 05:30:00' AS created_at,
-       TIMESTAMP '2024-06-01 05:30:00' AS updated_at, FALSE AS schedule_manually, FALSE AS ignore_non_working_days
-FROM fx_registry s
-WHERE NOT EXISTS (SELECT 1 FROM fx_items w WHERE w.subject = s.num) AND s.num NOT LIKE '33%'""")
+@register("q_seed_missing_items", oracle_ctes("fx_registry", "fx_items") + f"""
+SELECT {CFG.seed.type_id} AS type_id, {CFG.seed.project_id} AS project_id, num AS subject, '' AS description, {CFG.seed.status_id} AS status_id,
+       {CFG.seed.priority_id} AS priority_id, {CFG.seed.author_id} AS author_id, {CFG.seed.lock_version} AS lock_version,
+       TIMESTAMP '{RUN_TS}' AS created_at, TIMESTAMP '{RUN_TS}' AS updated_at, FALSE AS schedule_manually, FALSE AS ignore_non_working_days
+FROM fx_registry ANTI JOIN (SELECT subject AS num FROM fx_items) USING (num) WHERE NOT starts_with(num, '{CFG.seed_exclude_prefix}')""")
 def q_seed_missing_items(spark, sf):
     """O-53, O-05, O-04, O-52: registry numbers missing as item subjects -> new items (bag)."""
     fx = fixtures(spark, sf, "fx_registry", "fx_items")
@@ -60,23 +60,29 @@ def q_filter_and(spark, sf):
     return export.export_filtered(_items_map(spark, sf), FILTERS, LABELS)
 
 
+@register("q_filter_types", _PROJ + "\nWHERE o_orderkey % 2 = 0")
+def q_filter_types(spark, sf):
+    """O-14: the text "true" is not the boolean: the filter value "true" finds texts alone."""
+    return export.export_filtered(_items_map(spark, sf), {"customField5": ["true"]}, LABELS)
+
+
 @register("q_label_projection", _PROJ)
 def q_label_projection(spark, sf):
     """O-16, O-17: every API item projected to fixed columns plus labelled custom fields."""
     return export.label_projection(_items_map(spark, sf), LABELS)
 
 
-@register("q_subject_coalesce", """
-SELECT o_orderkey AS id, 'ORD-' || CAST(o_orderkey AS VARCHAR) AS subject FROM orders""")
+@register("q_subject_coalesce", f"SELECT o_orderkey AS id, {_SUBJECT} AS subject FROM orders")
 def q_subject_coalesce(spark, sf):
     """O-17: subject given as text or as {"raw": text} -> text."""
     return api_items(read_table(spark, sf, "orders")).select(
-        "id", raw_or_self(F.get_json_object("item_json", "$.subject")).alias("subject"))
+        "id", raw_or_self(F.variant_get(F.parse_json("item_json"), "$.subject", "variant")).alias("subject"))
 
 
 @register("q_page_envelope", _PROJ)
 def q_page_envelope(spark, sf):
-    """O-03: items written as saved 1000-item pages by Spark, read back with the paging rules."""
+    """O-03: saved 1000-item pages, the last one short or none, then a broken one without a number
+    and one that must not be read."""
     return export.label_projection(_paged_items(spark, sf), LABELS)
 
 
@@ -97,40 +103,32 @@ def q_clean_text(spark, sf):
 SELECT CAST(event_id AS VARCHAR) AS subject,
        regexp_replace(json_extract_string(props, '$.k'), '[^\x20-\x7E]', '', 'g') AS k FROM events""")
 def q_json_widen(spark, sf):
-    """O-42, O-50: JSON object column -> one column per key (union of keys), text-cleaned."""
-    view = read_table(spark, sf, "events").select(F.col("event_id").cast("string").alias("subject"),
-                                                  F.col("props").alias("custom_fields"))
-    return export.export_all(view)
-
-
-_EXPORT_KEYS = ["PARTNER", "current_state", "due_date", "hidden_flag", "installed_m", "pending", "proposed",
-                "ref_id", "replan_kind", "click", "view", "purchase", "signup", "error"]
-
-
-@register("q_export_all", oracle_ctes("fx_items", "fx_values", "fx_fields") + """,
-one AS (SELECT v.customized_id, f.name, MIN(v.value) AS value
-        FROM fx_values v JOIN fx_fields f ON f.id = v.custom_field_id
-        WHERE v.customized_type = 'WorkPackage' GROUP BY 1, 2),
-wide AS (SELECT customized_id, """ + ",\n  ".join(
-    f"MIN(value) FILTER (WHERE name = '{k}') AS \"{k}\"" for k in _EXPORT_KEYS) + """
-  FROM one GROUP BY customized_id)
-SELECT regexp_replace(i.subject, '[^\\x20-\\x7E]', '', 'g') AS subject, """ + ",\n  ".join(
-    f"regexp_replace(w.\"{k}\", '[^\\x20-\\x7E]', '', 'g') AS \"{k}\"" for k in _EXPORT_KEYS) + """
-FROM fx_items i LEFT JOIN wide w ON w.customized_id = i.id""")
+    """O-42, O-50: JSON object column -> one column per key, text-cleaned."""
+    view = read_table(spark, sf, "events").select(F.col("event_id").cast("string").alias("subject"), F.col("props").alias("custom_fields"))
+    return clean_string_columns(export.widen_json(view, "custom_fields", ["subject"], ["k"]))
+
+
+_EXPORT = ("fx_items", "fx_values", "fx_fields")
+_FIELD_NAMES = sorted(re.findall(r"\(\d+,'([^']+)'", FX_SQL["fx_fields"]))
+_CLEAN = r"regexp_replace({0}, '[^\x20-\x7E]', '', 'g')"
+
+
+@register("q_export_all", oracle_ctes(*_EXPORT) + ", " + _NAMED + """,
+wide AS (PIVOT named ON name IN (""" + ", ".join(f"'{n}'" for n in _FIELD_NAMES) + """) USING any_value(value) GROUP BY customized_id)
+SELECT """ + ", ".join(_CLEAN.format(c) + " AS " + c for c in ["subject", *(f'"{n}"' for n in _FIELD_NAMES)]) + """
+FROM fx_items LEFT JOIN wide ON wide.customized_id = fx_items.id""")
 def q_export_all(spark, sf):
-    """O-70, O-43, O-42, O-50: items + JSON object of custom fields (the export view), widened
-    over the union of keys and text-cleaned."""
-    fx = fixtures(spark, sf, "fx_items", "fx_values", "fx_fields")
-    obj = eav.json_object_per_item(fx["fx_values"], fx["fx_fields"], entity_type=CFG.entity_type)
-    view = fx["fx_items"].join(obj, fx["fx_items"]["id"] == obj["customized_id"], "left").select(
-        "subject", "custom_fields")
-    return export.export_all(view)
+    """O-70, O-43, O-50: every item with one column per dictionary field (a dotted label among
+    them), one pivot, text-cleaned."""
+    fx = fixtures(spark, sf, *_EXPORT)
+    return export.export_all(fx["fx_items"], fx["fx_values"], fx["fx_fields"], CFG.entity_type)
 
 
-@register("q_publish_export", ORACLES["q_export_all"])
+@register("q_publish_export", oracle_ctes("fx_registry") + "\nSELECT id, num, remark FROM fx_registry")
 def q_publish_export(spark, sf):
-    """O-12, O-13: the full export written under a new run folder, committed by an atomic
-    pointer, and read back through the pointer (what a downstream reader sees)."""
+    """O-12, O-13: two runs whose ids sort against their order; a reader finds the later commit."""
     root = scratch_path(spark, "published")
-    publish(spark, {"export_all": q_export_all(spark, sf)}, root)
-    return read_current(spark, root, "export_all")
+    table = fixtures(spark, sf, "fx_registry")["fx_registry"].select("id", "num", "remark")
+    publish(spark, {"registry": table.limit(0)}, root, "zz-first")
+    publish(spark, {"registry": table}, root, "aa-second")
+    return read_current(spark, root, "registry")

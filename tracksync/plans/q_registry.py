@@ -4,273 +4,171 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from ..config import SyncConfig
 from ..operators import eav, registry, spatial
+from ..sources.fixtures import FIXTURE_CONFIG as CFG
 from ..sources.fixtures import fixtures, oracle_ctes
+from . import oracles
 from .catalog import register
 
-CFG = SyncConfig()
-
-# -- oracle fragments (DuckDB, naive forms) --------------------------------------------
-_CAP = """cap AS (
-  SELECT r.num, r.installed, r.used, COUNT(c.length_dm) AS cable_count,
-         CASE WHEN COUNT(*) FILTER (WHERE e.kind ILIKE '%POSTE%') > 0 THEN '33' ELSE '34' END AS has_pole
-  FROM fx_registry r JOIN fx_element e ON r.id = e.owner_id JOIN fx_conduct c ON r.id = c.owner_id
-  WHERE r.operator_id = 1 GROUP BY r.num, r.installed, r.used),
-caplong AS (
-  SELECT num, 'installed_m' AS attr, CAST(installed AS VARCHAR) AS value FROM cap
-  UNION ALL SELECT num, 'used_m', CAST(used AS VARCHAR) FROM cap
-  UNION ALL SELECT num, 'mesh_m', CAST(cable_count AS VARCHAR) FROM cap
-  UNION ALL SELECT num, 'has_pole', has_pole FROM cap)"""
-
-_CR = "(e.kind ILIKE '%CR%' OR (e.kind ILIKE 'OTROS' AND e.note LIKE '%CR%'))"
-_ARQ = "(e.kind ILIKE '%Arq%' OR (e.kind ILIKE 'OTROS' AND e.note NOT LIKE '%CR%'))"
-_BUCKETS = f"""buckets AS (
-  SELECT r.num, r.miga, r.state,
-    COUNT(*) FILTER (WHERE {_CR} AND e.uso <> '0') AS num_cr,
-    COUNT(*) FILTER (WHERE {_CR} AND e.uso = '0') AS num_cr0,
-    COUNT(*) FILTER (WHERE {_ARQ}) AS num_arq,
-    COUNT(*) FILTER (WHERE e.kind ILIKE '%ARM%') AS num_arm,
-    COUNT(*) FILTER (WHERE e.kind ILIKE '%POSTE%') AS num_poste,
-    COUNT(*) FILTER (WHERE e.kind ILIKE '%CANAL%' OR e.kind IS NULL) AS canalizado,
-    COUNT(*) FILTER (WHERE NOT ({_CR} OR {_ARQ} OR e.kind ILIKE '%ARM%' OR e.kind ILIKE '%POSTE%'
-                               OR e.kind ILIKE '%CANAL%' OR e.kind IS NULL)) AS pedestal,
-    COUNT(*) AS total
-  FROM fx_registry r JOIN fx_element e ON r.id = e.owner_id
-  WHERE r.operator_id = 1 GROUP BY r.num, r.miga, r.state)"""
-
-_PIA = """pia AS (
-  SELECT p.gid_element, a.name FROM fx_points p, fx_area_edges a
-  GROUP BY p.gid_element, p.x, p.y, a.name
-  HAVING bool_or((a.x2 - a.x1) * (p.y - a.y1) - (a.y2 - a.y1) * (p.x - a.x1) = 0
-                 AND p.x BETWEEN least(a.x1, a.x2) AND greatest(a.x1, a.x2)
-                 AND p.y BETWEEN least(a.y1, a.y2) AND greatest(a.y1, a.y2))
-      OR SUM(CASE WHEN (a.y1 > p.y) <> (a.y2 > p.y)
-                   AND p.x < (a.x2 - a.x1) * (p.y - a.y1) / (a.y2 - a.y1) + a.x1 THEN 1 ELSE 0 END) % 2 = 1)"""
-
-_CLASSES = f"""classes AS (
-  SELECT r.num,
-    COUNT(*) FILTER (WHERE {_CR}) AS cr, COUNT(*) FILTER (WHERE {_ARQ}) AS arq,
-    COUNT(*) FILTER (WHERE e.kind ILIKE '%ARM%') AS arm, COUNT(*) FILTER (WHERE e.kind ILIKE '%POSTE%') AS pole
-  FROM fx_registry r JOIN fx_element e ON r.id = e.owner_id WHERE r.operator_id = 1 GROUP BY r.num),
-classlong AS (
-  SELECT num, 'n_cr' AS attr, CAST(cr AS VARCHAR) AS value FROM classes
-  UNION ALL SELECT num, 'n_arq', CAST(arq AS VARCHAR) FROM classes
-  UNION ALL SELECT num, 'n_arm', CAST(arm AS VARCHAR) FROM classes
-  UNION ALL SELECT num, 'n_pole', CAST(pole AS VARCHAR) FROM classes)"""
-
-_SCALARS = """scalars AS (
-  SELECT num, 'installed_m' AS attr, CAST(installed AS VARCHAR) AS value FROM fx_registry WHERE operator_id = 1
-  UNION ALL SELECT num, 'used_m', CAST(used AS VARCHAR) FROM fx_registry WHERE operator_id = 1
-  UNION ALL SELECT num, 'current_state', CAST(state AS VARCHAR) FROM fx_registry WHERE operator_id = 1
-  UNION ALL SELECT num, 'miga_code', CAST(miga AS VARCHAR) FROM fx_registry WHERE operator_id = 1
-  UNION ALL SELECT num, 'hidden_flag', CASE WHEN hidden = TRUE THEN 'SI' WHEN hidden = FALSE THEN 'NO'
-                                            ELSE 'DESCONOCIDO' END FROM fx_registry WHERE operator_id = 1)"""
-
-_DOCS = """docs AS (
-  SELECT r.num, COUNT(m.id) AS n_docs FROM fx_registry r LEFT JOIN fx_md m ON m.owner_id = r.id
-  WHERE r.operator_id = 1 GROUP BY r.num)"""
-
-_AREA_TAGS = """areatags AS (
-  SELECT r.num, 'area' AS attr, pia.name AS value
-  FROM fx_registry r JOIN fx_element e ON r.id = e.owner_id JOIN pia ON e.gid = pia.gid_element
-  WHERE r.operator_id = 1)"""
-
-_REGATTR = """regattr AS (
-  SELECT * FROM scalars
-  UNION ALL SELECT num, 'final_docs', CAST(n_docs AS VARCHAR) FROM docs
-  UNION ALL SELECT * FROM areatags
-  UNION ALL SELECT * FROM classlong)"""
-
-
-def upsert_oracle(long_cte: str) -> str:
-    """Trailing CTEs + SELECT of an EAV upsert fed by ``long_cte(num, attr, value)``."""
-    return f""",
-datos AS (SELECT i.id AS item_id, d.attr, d.value FROM {long_cte} d JOIN fx_items i ON i.subject = d.num),
-inserted AS (
-  SELECT 'WorkPackage' AS customized_type, d.item_id AS customized_id, f.id AS custom_field_id, CAST(NULL AS VARCHAR) AS value
-  FROM datos d JOIN fx_fields f ON f.name = d.attr
-  WHERE NOT EXISTS (SELECT 1 FROM fx_values v WHERE v.customized_type = 'WorkPackage'
-                    AND v.customized_id = d.item_id AND v.custom_field_id = f.id)),
-grown AS (SELECT customized_type, customized_id, custom_field_id, value FROM fx_values UNION ALL SELECT * FROM inserted),
-src AS (SELECT d.item_id AS customized_id, f.id AS custom_field_id, MIN(d.value) AS new_value
-        FROM datos d JOIN fx_fields f ON f.name = d.attr GROUP BY 1, 2)
-SELECT g.customized_type, g.customized_id, g.custom_field_id,
-       CASE WHEN s.customized_id IS NOT NULL THEN s.new_value ELSE g.value END AS value
-FROM grown g LEFT JOIN src s ON g.customized_id = s.customized_id AND g.custom_field_id = s.custom_field_id"""
-
-
-_REG_ALL = ("fx_registry", "fx_element", "fx_md", "fx_points", "fx_area_edges")
-
-
-def _fx(spark, sf, *names):
-    return fixtures(spark, sf, *names)
-
-
-def _point_areas(fx):
-    return spatial.points_in_areas(fx["fx_points"], fx["fx_area_edges"], CFG.grid_cell, CFG.broadcast_max_rows)
-
-
-def _regattr(spark, sf):
-    fx = _fx(spark, sf, *_REG_ALL)
-    return registry.registry_attributes(fx["fx_registry"], fx["fx_element"], fx["fx_md"],
-                                        [(CFG.registry_area_labels[0], _point_areas(fx))], CFG)
+_ELEMENTS = ("fx_registry", "fx_element")
+_FAN = (*_ELEMENTS, "fx_conduct")
+_ALL = (*_ELEMENTS, "fx_md", "fx_points", "fx_area_edges", "fx_zone_edges")
+_TABLES = ("fx_items", "fx_fields", "fx_values")
+
+
+def _sql(views: tuple[str, ...], *ctes: str, select: str) -> str:
+    return oracle_ctes(*views) + ", " + ", ".join((oracles.ACTIVE, *ctes)) + "\n" + select
+
+
+def _upsert_sql(views: tuple[str, ...], *ctes: str, long_rows: str) -> str:
+    return _sql((*views, *_TABLES), *ctes, oracles.attached(long_rows, "fx_items", "told"), oracles.upsert("fx_values", "told", "told", "grown"), select="FROM grown")
+
+
+def layers(fx) -> list:
+    edges = (fx["fx_area_edges"], fx["fx_zone_edges"])
+    return [(label, spatial.points_in_areas(fx["fx_points"], e)) for label, e in zip(CFG.registry_area_labels, edges, strict=True)]
+
+
+def _registry_rows(spark, sf):
+    fx = fixtures(spark, sf, *_ALL)
+    return registry.registry_attributes(fx["fx_registry"], fx["fx_element"], fx["fx_md"], layers(fx), CFG)
 
 
 def _upsert(spark, sf, long_rows, labels):
-    fx = _fx(spark, sf, "fx_items", "fx_fields", "fx_values")
+    fx = fixtures(spark, sf, *_TABLES)
     datos = registry.attach_items(long_rows, fx["fx_items"])
-    ids = eav.field_ids_for_labels(fx["fx_fields"], labels)
-    out = eav.upsert(fx["fx_values"], fx["fx_fields"], datos, datos, entity_type=CFG.entity_type, field_ids=ids)
+    out = eav.upsert(fx["fx_values"], fx["fx_fields"], datos, datos, entity_type=CFG.entity_type,
+                     field_ids=eav.fields_labelled(fx["fx_fields"], labels))
     return out.select("customized_type", "customized_id", "custom_field_id", "value")
 
 
-@register("q_capacity_long", oracle_ctes("fx_registry", "fx_element", "fx_conduct") + ", " + _CAP
-          + "\nSELECT num, attr, value FROM caplong")
+@register("q_capacity_long", _sql(_FAN, oracles.CAPACITY, select="SELECT num, attr, value FROM capacity_long"))
 def q_capacity_long(spark, sf):
     """O-23, O-33, O-36, O-41 (R5): fan-out counts pre-aggregated per owner, unpivoted."""
-    fx = _fx(spark, sf, "fx_registry", "fx_element", "fx_conduct")
+    fx = fixtures(spark, sf, *_FAN)
     return registry.capacity_long(fx["fx_registry"], fx["fx_element"], fx["fx_conduct"], CFG)
 
 
-@register("q_has_class_flag", oracle_ctes("fx_registry", "fx_element", "fx_conduct") + ", " + _CAP
-          + "\nSELECT num, installed, used, has_pole FROM cap")
+@register("q_has_class_flag", _sql(_FAN, oracles.CAPACITY, select="SELECT num, installed, used, has_pole FROM capacity"))
 def q_has_class_flag(spark, sf):
     """O-36, O-19: any POLE element in the fan-out -> yes / no code."""
-    fx = _fx(spark, sf, "fx_registry", "fx_element", "fx_conduct")
-    return registry.capacity(fx["fx_registry"], fx["fx_element"], fx["fx_conduct"], CFG).select(
-        "num", "installed", "used", "has_pole")
+    fx = fixtures(spark, sf, *_FAN)
+    return registry.capacity(fx["fx_registry"], fx["fx_element"], fx["fx_conduct"], CFG).select("num", "installed", "used", "has_pole")
 
 
-@register("q_count_left_join", oracle_ctes("fx_registry", "fx_md") + ", " + _DOCS + "\nSELECT num, n_docs FROM docs")
+@register("q_count_left_join", _sql(("fx_registry", "fx_md"), oracles.DOCS, select="SELECT num, n_docs FROM docs"))
 def q_count_left_join(spark, sf):
     """O-24, O-33: COUNT of matches over a left join, zeros kept."""
-    fx = _fx(spark, sf, "fx_registry", "fx_md")
+    fx = fixtures(spark, sf, "fx_registry", "fx_md")
     return registry.doc_counts(fx["fx_registry"], fx["fx_md"], CFG)
 
 
-@register("q_bucket_counts", oracle_ctes("fx_registry", "fx_element") + ", " + _BUCKETS + "\nSELECT * FROM buckets")
+@register("q_bucket_counts", _sql(_ELEMENTS, oracles.MARKED, oracles.BUCKETS, select="FROM buckets"))
 def q_bucket_counts(spark, sf):
     """O-34, O-18: seven overlapping conditional buckets plus total, one pass, 3VL kept."""
-    fx = _fx(spark, sf, "fx_registry", "fx_element")
+    fx = fixtures(spark, sf, *_ELEMENTS)
     return registry.bucket_counts(fx["fx_registry"], fx["fx_element"], CFG)
 
 
-@register("q_class_counts_long", oracle_ctes("fx_registry", "fx_element") + ", " + _CLASSES
-          + "\nSELECT num, attr, value FROM classlong")
+@register("q_class_counts_long", _sql(_ELEMENTS, oracles.MARKED, oracles.CLASSES, select="SELECT num, attr, value FROM classes_long"))
 def q_class_counts_long(spark, sf):
-    """O-35: CR / ARQ / ARM / POLE counts by num, unpivoted."""
-    fx = _fx(spark, sf, "fx_registry", "fx_element")
+    """O-35: four class counts by num, unpivoted."""
+    fx = fixtures(spark, sf, *_ELEMENTS)
     return registry.class_counts_by_num(fx["fx_registry"], fx["fx_element"], CFG)
 
 
-@register("q_unpivot_attributes", oracle_ctes("fx_registry") + ", " + _SCALARS + "\nSELECT num, attr, value FROM scalars")
+@register("q_unpivot_attributes", _sql(("fx_registry",), oracles.SCALARS, select="SELECT num, attr, value FROM scalars"))
 def q_unpivot_attributes(spark, sf):
-    """O-41, O-20, O-21: one scan of the registry unpivoted to (num, attr, value), NULLs kept."""
-    fx = _fx(spark, sf, "fx_registry")
+    """O-41, O-20, O-21: one scan of the registry unpivoted to (num, attr, value), NULLs kept;
+    doubles as the source database writes them, a label with a dot."""
+    fx = fixtures(spark, sf, "fx_registry")
     return registry.scalar_attributes(fx["fx_registry"], CFG)
 
 
-@register("q_bool_label", oracle_ctes("fx_registry") + """
-SELECT id, num, CASE WHEN hidden = TRUE THEN 'SI' WHEN hidden = FALSE THEN 'NO' ELSE 'DESCONOCIDO' END AS hidden_label
-FROM fx_registry WHERE operator_id = 1""")
+@register("q_bool_label", _sql(("fx_registry",), select=f"SELECT id, num, {oracles.TRI_STATE} AS hidden_label FROM active"))
 def q_bool_label(spark, sf):
     """O-19: searched CASE over a three-valued boolean."""
-    fx = _fx(spark, sf, "fx_registry")
-    reg = registry.active_registry(fx["fx_registry"], CFG)
+    reg = registry.active_registry(fixtures(spark, sf, "fx_registry")["fx_registry"], CFG)
     return reg.select("id", "num", registry.tri_state("hidden", CFG).alias("hidden_label"))
 
 
-@register("q_json_agg", oracle_ctes("fx_registry", "fx_element") + """
-SELECT r.num, r.miga, r.state, CAST(to_json(list(e.kind ORDER BY e.gid)) AS VARCHAR) AS kinds,
-       CAST(to_json(list(e.uso ORDER BY e.gid)) AS VARCHAR) AS usos
-FROM fx_registry r JOIN fx_element e ON r.id = e.owner_id WHERE r.operator_id = 1 GROUP BY r.num, r.miga, r.state""")
+@register("q_json_agg", _sql(_ELEMENTS, select="""
+SELECT num, miga, state, CAST(to_json(list(kind ORDER BY gid)) AS VARCHAR) AS kinds, CAST(to_json(list(uso ORDER BY gid)) AS VARCHAR) AS usos
+FROM fx_element JOIN active ON active.id = owner_id GROUP BY ALL"""))
 def q_json_agg(spark, sf):
     """O-37: JSON arrays per group that keep NULL elements, ordered by gid."""
-    fx = _fx(spark, sf, "fx_registry", "fx_element")
+    fx = fixtures(spark, sf, *_ELEMENTS)
     return registry.element_json_lists(fx["fx_registry"], fx["fx_element"], CFG)
 
 
-@register("q_spatial_point_in_area", oracle_ctes("fx_points", "fx_area_edges") + ", " + _PIA
-          + "\nSELECT gid_element, name FROM pia")
+@register("q_spatial_point_in_area", oracle_ctes("fx_points", "fx_area_edges") + ", " + oracles.points_in("fx_area_edges", "in_area") + "\nFROM in_area")
 def q_spatial_point_in_area(spark, sf):
-    """O-30 (R10): grid-cell equi-join + exact boundary-inclusive test; oracle is brute force."""
-    fx = _fx(spark, sf, "fx_points", "fx_area_edges")
-    return _point_areas(fx)
+    """O-30 (R10): grid equi-join + exact boundary-inclusive test over areas of which two share a
+    name; the oracle is brute force."""
+    fx = fixtures(spark, sf, "fx_points", "fx_area_edges")
+    return spatial.points_in_areas(fx["fx_points"], fx["fx_area_edges"])
 
 
-@register("q_spatial_tag_registry", oracle_ctes(*_REG_ALL) + ", " + _PIA + ", " + _AREA_TAGS
-          + "\nSELECT num, attr, value FROM areatags")
+@register("q_spatial_tag_registry", _sql(_ALL, oracles.AREAS, select="FROM tags_area UNION ALL FROM tags_zone"))
 def q_spatial_tag_registry(spark, sf):
-    """O-30, O-22: registry x element x point-in-area -> (num, 'area', name), bag."""
-    fx = _fx(spark, sf, *_REG_ALL)
-    return registry.area_tags(fx["fx_registry"], fx["fx_element"], _point_areas(fx),
-                              CFG.registry_area_labels[0], CFG)
+    """O-30, O-22: registry x element x point-in-area -> (num, layer, name), bag, two layers."""
+    fx = fixtures(spark, sf, *_ALL)
+    parts = [registry.area_tags(fx["fx_registry"], fx["fx_element"], found, label, CFG) for label, found in layers(fx)]
+    return parts[0].unionByName(parts[1])
 
 
-@register("q_registry_attributes", oracle_ctes(*_REG_ALL) + ", " + ", ".join(
-    [_PIA, _CLASSES, _SCALARS, _DOCS, _AREA_TAGS, _REGATTR]) + "\nSELECT num, attr, value FROM regattr")
+@register("q_registry_attributes", oracle_ctes(*_ALL) + ", " + oracles.REGISTRY + "\nSELECT num, attr, value FROM registry_long")
 def q_registry_attributes(spark, sf):
-    """O-56 source, O-40: five attribute families in one UNION ALL."""
-    return _regattr(spark, sf)
+    """O-56 source, O-40: five attribute families, 22 attributes, in one UNION ALL."""
+    return _registry_rows(spark, sf)
+
+
+_BUCKETS = (oracles.MARKED, oracles.BUCKETS, oracles.buckets_long(*[lab for _, lab in CFG.bucket_labels]))
 
 
-@register("q_bucket_attributes", oracle_ctes("fx_registry", "fx_element") + ", " + _BUCKETS + """,
-bl AS (SELECT num, 'n_cr_uso0' AS attr, CAST(num_cr0 AS VARCHAR) AS value FROM buckets
-       UNION ALL SELECT num, 'n_isolated', CAST(canalizado AS VARCHAR) FROM buckets
-       UNION ALL SELECT num, 'n_pedestal', CAST(pedestal AS VARCHAR) FROM buckets)
-SELECT num, attr, value FROM bl""")
+@register("q_bucket_attributes", _sql(_ELEMENTS, *_BUCKETS, select="SELECT num, attr, value FROM buckets_long"))
 def q_bucket_attributes(spark, sf):
     """O-59 source: three of the seven buckets, unpivoted."""
-    fx = _fx(spark, sf, "fx_registry", "fx_element")
+    fx = fixtures(spark, sf, *_ELEMENTS)
     return registry.bucket_attributes(fx["fx_registry"], fx["fx_element"], CFG)
 
 
-@register("q_eav_update_from", oracle_ctes("fx_registry", "fx_element", "fx_conduct", "fx_items", "fx_fields",
-                                           "fx_values") + ", " + _CAP + """,
-src AS (SELECT i.id AS customized_id, f.id AS custom_field_id, MIN(d.value) AS new_value
-        FROM caplong d JOIN fx_items i ON i.subject = d.num JOIN fx_fields f ON f.name = d.attr GROUP BY 1, 2)
-SELECT v.id, v.customized_type, v.customized_id, v.custom_field_id,
-       CASE WHEN s.customized_id IS NOT NULL THEN s.new_value ELSE v.value END AS value,
-       s.customized_id IS NOT NULL AND v.value IS DISTINCT FROM s.new_value AS changed
-FROM fx_values v LEFT JOIN src s ON v.customized_id = s.customized_id AND v.custom_field_id = s.custom_field_id""")
+@register("q_eav_update_from", _sql((*_FAN, *_TABLES), oracles.CAPACITY, oracles.attached("capacity_long", "fx_items", "told"), """
+source AS MATERIALIZED (SELECT item_id, f.id AS field_id, min(value) AS fresh, TRUE AS met FROM told JOIN fx_fields f ON f.name = attr GROUP BY ALL)""", select="""
+SELECT id, customized_type, customized_id, custom_field_id, if(coalesce(met, FALSE), fresh, value) AS value,
+       coalesce(met, FALSE) AND value IS DISTINCT FROM fresh AS changed
+FROM fx_values LEFT JOIN source ON (item_id, field_id) = (customized_id, custom_field_id)"""))
 def q_eav_update_from(spark, sf):
     """O-09: UPDATE ... FROM through the dictionary; duplicates reduced by min, hit flag,
     no entity-type guard (rows of another entity sharing the id are updated too)."""
-    fx = _fx(spark, sf, "fx_registry", "fx_element", "fx_conduct", "fx_items", "fx_fields", "fx_values")
+    fx = fixtures(spark, sf, *_FAN, *_TABLES)
     long_rows = registry.capacity_long(fx["fx_registry"], fx["fx_element"], fx["fx_conduct"], CFG)
     src = eav.source_by_label(registry.attach_items(long_rows, fx["fx_items"]), fx["fx_fields"])
-    return eav.apply_update(fx["fx_values"], src, changed_col="changed")
+    return eav.apply_update(fx["fx_values"], src, changed_col="changed",
+                            field_ids=eav.fields_labelled(fx["fx_fields"], [lab for _, lab in CFG.capacity_labels]))
 
 
-@register("q_capacity_upsert", oracle_ctes("fx_registry", "fx_element", "fx_conduct", "fx_items", "fx_fields",
-                                           "fx_values") + ", " + _CAP + upsert_oracle("caplong"))
+@register("q_capacity_upsert", _upsert_sql(_FAN, oracles.CAPACITY, long_rows="capacity_long"))
 def q_capacity_upsert(spark, sf):
     """O-55, O-10: capacity attributes inserted (NULL) then updated on the EAV table."""
-    fx = _fx(spark, sf, "fx_registry", "fx_element", "fx_conduct")
-    return _upsert(spark, sf, registry.capacity_long(fx["fx_registry"], fx["fx_element"], fx["fx_conduct"], CFG),
-                   [lab for _, lab in CFG.capacity_labels])
+    fx = fixtures(spark, sf, *_FAN)
+    return _upsert(spark, sf, registry.capacity_long(fx["fx_registry"], fx["fx_element"], fx["fx_conduct"], CFG), [lab for _, lab in CFG.capacity_labels])
 
 
-@register("q_registry_upsert", oracle_ctes(*_REG_ALL, "fx_items", "fx_fields", "fx_values") + ", " + ", ".join(
-    [_PIA, _CLASSES, _SCALARS, _DOCS, _AREA_TAGS, _REGATTR]) + upsert_oracle("regattr"))
+@register("q_registry_upsert", oracle_ctes(*_ALL, *_TABLES) + ", " + ", ".join(
+    [oracles.REGISTRY, oracles.attached("registry_long", "fx_items", "told"), oracles.upsert("fx_values", "told", "told", "grown")]) + "\nFROM grown")
 def q_registry_upsert(spark, sf):
-    """O-56, O-10: registry attributes (22-attribute family set) upserted on the EAV table."""
-    return _upsert(spark, sf, _regattr(spark, sf), registry.registry_labels(CFG))
+    """O-56, O-10: the 22 registry attributes upserted on the EAV table (two areas of one item
+    insert two rows)."""
+    return _upsert(spark, sf, _registry_rows(spark, sf), registry.registry_labels(CFG))
 
 
-# two buckets mapped onto dictionary fields, one left unmatched (dropped silently)
-CFG_BUCKETS = replace(CFG, bucket_labels=(("num_cr0", "used_m"), ("canalizado", "has_pole"),
-                                          ("pedestal", "n_pedestal")))
+# two buckets mapped onto fields that hold values already, one left unmatched (dropped silently)
+CFG_BUCKETS = replace(CFG, bucket_labels=(("n_chamber_idle", "used_m"), ("n_duct", "has_pole"), ("n_rest", "nowhere")))
 
 
-@register("q_bucket_upsert", oracle_ctes("fx_registry", "fx_element", "fx_items", "fx_fields", "fx_values") + ", "
-          + _BUCKETS + """,
-bl AS (SELECT num, 'used_m' AS attr, CAST(num_cr0 AS VARCHAR) AS value FROM buckets
-       UNION ALL SELECT num, 'has_pole', CAST(canalizado AS VARCHAR) FROM buckets
-       UNION ALL SELECT num, 'n_pedestal', CAST(pedestal AS VARCHAR) FROM buckets)""" + upsert_oracle("bl"))
+@register("q_bucket_upsert", _upsert_sql(_ELEMENTS, oracles.MARKED, oracles.BUCKETS, oracles.buckets_long("used_m", "has_pole", "nowhere"), long_rows="buckets_long"))
 def q_bucket_upsert(spark, sf):
     """O-59, O-10: bucket attributes upserted on the EAV table."""
-    fx = _fx(spark, sf, "fx_registry", "fx_element")
-    return _upsert(spark, sf, registry.bucket_attributes(fx["fx_registry"], fx["fx_element"], CFG_BUCKETS),
-                   [lab for _, lab in CFG_BUCKETS.bucket_labels])
+    fx = fixtures(spark, sf, *_ELEMENTS)
+    return _upsert(spark, sf, registry.bucket_attributes(fx["fx_registry"], fx["fx_element"], CFG_BUCKETS), [lab for _, lab in CFG_BUCKETS.bucket_labels])

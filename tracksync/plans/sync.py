@@ -57,14 +57,27 @@ class _Clock:
             self.t = now
 
 
-def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.datetime | None = None,
+def fields_used(inp: SyncInputs, entries: DataFrame, cfg: SyncConfig) -> DataFrame:
+    """(custom_field_id) of every field a step reads or writes: by label, by format, by configured id."""
+    labels = [lab for _, lab in cfg.capacity_labels] + registry.registry_labels(cfg) + [lab for _, lab in cfg.bucket_labels]
+    by_label = eav.fields_labelled(inp.fields, labels + [cfg.partner_label, cfg.due_label])
+    states = entries.select(F.col("state").alias("attr")).unionByName(inp.state_days.select(F.col("state").alias("attr")))
+    floats = inp.fields.filter(F.col("field_format") == F.lit(cfg.float_format)).select(F.col("id").alias("custom_field_id"))
+    ids = [cfg.partner_field_id, cfg.ref_field_id, cfg.state_field_id, cfg.recode_field_id, cfg.class_field_id,
+           cfg.probe_a_field_id, cfg.probe_b_field_id]
+    kind = inp.fields.schema["id"].dataType
+    fixed = inp.fields.sparkSession.createDataFrame([(i,) for i in ids], "i long").select(F.col("i").cast(kind).alias("custom_field_id"))
+    return by_label.unionByName(eav.fields_labelled(inp.fields, states)).unionByName(floats).unionByName(fixed).distinct()
+
+
+def run_sync(inp: SyncInputs, cfg: SyncConfig, run_ts: _dt.datetime | None = None,
              checkpoint: bool = True, log=None) -> Mapping[str, DataFrame]:
     """Run Q1..Q20; returns the new ``items``, ``values`` and ``relations`` tables.
 
-    The EAV table is never rewritten whole: each step splits it by the field ids it
-    can touch (bounded by the dictionary), rewrites and checkpoints only that
-    subset, and unions the untouched rows back through a narrow filter.  ``values``
-    is thus a union of a few materialised deltas and filters over the input.
+    The EAV input is scanned once: the rows of all fields that any step reads or writes are
+    split off and checkpointed, and the steps work on those; the rest joins the result at the
+    end untouched.  Each step shuffles the rows of its own fields and checkpoints the working
+    set, so that no plan reaches back over more than one step.
     ``log(step, seconds)`` is called after each step when given.
     """
     ensure_checkpoint_dir(inp.items.sparkSession)
@@ -79,23 +92,20 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
         held.append(df.persist())
         return df
 
-    def delta(values: DataFrame, ids: list[int], step) -> DataFrame:
+    def delta(values: DataFrame, ids: eav.Fields, step) -> DataFrame:
         touched, rest = eav.split_by_fields(values, ids)
-        return _cut(step(touched), checkpoint).unionByName(rest)
-
-    def upsert_step(values: DataFrame, ins: DataFrame, upd: DataFrame, labels: list[str] | None = None,
-                    ids: list[int] | None = None) -> DataFrame:
-        # fields the step can touch: from its fixed labels when it has them, else from the data
-        if ids is None:
-            ids = (eav.field_ids_for_labels(fields, labels) if labels is not None
-                   else eav.upsert_field_ids(ins, upd, fields, cfg.broadcast_max_rows))
+        # a union adds up partitions: without this their number would double with every step
+        return _cut(step(touched).unionByName(rest).coalesce(partitions), checkpoint)
+
+    def upsert_step(values: DataFrame, ins: DataFrame, upd: DataFrame, labels) -> DataFrame:
+        ids = _cut(eav.fields_labelled(fields, labels), checkpoint)
         return delta(values, ids, lambda t: eav.upsert(t, fields, ins, upd, entity_type=et, seq=value_ids,
                                                        field_ids=ids))
 
     # Q1 seed items (the new rows are checkpointed by the id assignment; the union with the
     # input needs no rewrite of the whole table)
     items = items_ops.append_items(inp.items, items_ops.seed_rows(inp.registry, inp.items, cfg, run_ts), item_ids)
-    values, relations = inp.values, inp.relations
+    relations = inp.relations
     # (id, subject) never change after seeding; hash-partitioned on subject once, it serves the
     # four subject joins below (history, capacity, registry, buckets) without re-shuffling items
     keyed = hold(items.select("id", "subject").repartition("subject"))
@@ -104,7 +114,11 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
     # Q2 + Q3 history: insert every (item, state) lacking a row, then the latest date per state
     entries = hold(history.history_entries(keyed, inp.history, cfg))
     ins, upd = history.history_datos(entries)
-    values = upsert_step(values, ins, upd, ids=eav.label_field_ids(ins, fields, cfg.broadcast_max_rows))
+    used = _cut(fields_used(inp, entries, cfg), checkpoint)
+    values, untouched = eav.split_by_fields(inp.values, used)
+    values = _cut(values, checkpoint)
+    partitions = max(values.rdd.getNumPartitions(), int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    values = upsert_step(values, ins, upd, ins)
     clock("q02_q03_history")
 
     # Q4 + Q5 capacity attributes (one computation feeds insert and update)
@@ -113,7 +127,7 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
     clock("q04_q05_capacity")
 
     # Q6 + Q7 registry attributes (five families)
-    layers = [(label, spatial.points_in_areas(inp.points, edges, cfg.grid_cell, cfg.broadcast_max_rows))
+    layers = [(label, spatial.points_in_areas(inp.points, edges))
               for label, edges in inp.area_layers]
     reg = hold(registry.attach_items(registry.registry_attributes(inp.registry, inp.element, inp.md, layers, cfg),
                                      keyed))
@@ -139,7 +153,7 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
     # Q14 due dates (computed from the whole table, written into the due-date field rows)
     target = rules.due_dates(values, fields, inp.state_days, cfg).select(
         "customized_id", F.col("due_date").alias("new_value"))
-    values = delta(values, rules.due_field_ids(fields, cfg),
+    values = delta(values, eav.fields_labelled(fields, [cfg.due_label]),
                    lambda t: eav.apply_update(t, target, keys=["customized_id"]))
     clock("q14_due_dates")
 
@@ -165,4 +179,4 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig = SyncConfig(), run_ts: _dt.dateti
     clock("q20_reroute")
     for df in held:
         df.unpersist()
-    return {"items": items, "values": values, "relations": relations}
+    return {"items": items, "values": values.unionByName(untouched), "relations": relations}

@@ -1,13 +1,11 @@
-"""Session helpers: sane local defaults, checkpoint directory, size-checked broadcast."""
+"""Session helpers: sane local defaults, checkpoint directory."""
 
 from __future__ import annotations
 
 import os
 import tempfile
-import weakref
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tracksync") -> SparkSession:
@@ -56,23 +54,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
-
-
-_SIZE_CHECKS: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded action: reads at most ``max_rows + 1`` rows; remembered per DataFrame object."""
-    seen = _SIZE_CHECKS.setdefault(df, {})
-    if max_rows not in seen:
-        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    return seen[max_rows]
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int, basis: DataFrame | None = None) -> DataFrame:
-    """Broadcast hint only behind a checked size; otherwise leave it to AQE / sort-merge.
-
-    ``basis`` is a frame with at least as many rows as ``df`` (the dimension a
-    projection or filter was taken from); checking it once serves every derived frame.
-    """
-    return F.broadcast(df) if has_at_most(basis if basis is not None else df, max_rows) else df
