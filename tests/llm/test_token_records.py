@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from tracksync.llm.token_records import DamagedRecord, WordEncoder, frame, pack, read_at, read_frame, read_records, tokenizer_config, unpack, write_records
 
-ALPHABET = [" ", "\n", "\x0b", "\x1c", "\x85", "\xa0", "a", "B", "the", "'s", "é", "é", "́", "Σ", "İ", "1", "!", "<|endoftext|>", "中", "🙂", "\x00"]
+ALPHABET = [" ", "\n", "\x0b", "\x1c", "\x85", "\xa0", "a", "B", "the", "'s", "é", "é", "́", "Σ", "İ", "1", "!", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", ".", ",", "x.", "中", "🙂", "\x00"]
 
 
 def test_word_by_word_like_the_library():

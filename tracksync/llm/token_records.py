@@ -35,7 +35,7 @@ MASK_DELTA = 0xA282EAD8
 INDEX = np.dtype([("offset", "<u8"), ("doc_id", "<i8"), ("n", "<u4"), ("flags", "<u4")])
 _HEAD, _NULL, _TWO_BYTES = struct.Struct("<Bq"), 1, 2
 #: Words an encoder remembers, in two generations of this size.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 600_000
 
 
 class DamagedRecord(ValueError):
@@ -79,7 +79,15 @@ def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
 
 class WordEncoder:
     """The library's ids of whole texts, word by word: its normaliser turns every run of white
-    space into one blank, which its splitter drops, so no token spans two words."""
+    space into one blank, which its splitter drops, so no token spans two words.  It also
+    lower-cases, and splits a stop from the letter before it; so words that differ only in
+    that share what is remembered.  Texts that hold the opening of an added token are not
+    lower-cased here.
+    """
+
+    #: Marks that the splitter parts from an ASCII letter before them.
+    STOPS = frozenset(b".,;:!?")
+    LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
 
     def __init__(self, config: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -87,26 +95,46 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(config)
         self.two_bytes = self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
+        self.openings = {t.content.encode()[:2] for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
+    def _words(self, text: str) -> list[bytes]:
+        data = text.encode()
+        return (data if any(o in data for o in self.openings) else data.lower()).split()
+
+    def _add(self, words: set[bytes]) -> None:
+        """Remember the ids of these words."""
+        known, older, stopped, new = self.known, self.older, [], set()
+        for w in words:
+            if w in older:
+                known[w] = older[w]
+            elif len(w) > 1 and w[-1] in self.STOPS and w[-2] in self.LETTERS:
+                stopped.append(w)
+                new.update(x for x in (w[:-1], w[-1:]) if x not in known)
+            else:
+                new.add(w)
+        for w in [w for w in new if w in older]:
+            known[w] = older[w]
+            new.discard(w)
+        listed = list(new)
+        for at in range(0, len(listed), 4096):
+            some = listed[at:at + 4096]
+            made = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
+            for w, e in zip(some, made, strict=True):
+                ids = e.ids
+                known[w] = struct.pack(f"<{len(ids)}I", *ids)
+        for w in stopped:
+            known[w] = known[w[:-1]] + known[w[-1:]]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > CACHE_ENTRIES:  # what was not asked for since the last time goes
             self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        words = [t.encode().split() for t in texts]
+        known = self.known
+        words = [self._words(t) for t in texts]
         found = [list(map(known.get, ws)) for ws in words]
         lacking = [k for k, f in enumerate(found) if None in f]
-        new = []
-        for w in {w for k in lacking for w, f in zip(words[k], found[k], strict=True) if f is None}:
-            if w in older:
-                known[w] = older[w]
-            else:
-                new.append(w)
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            made = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, made, strict=True))
+        self._add({w for k in lacking for w, f in zip(words[k], found[k], strict=True) if f is None})
         for k in lacking:
             found[k] = list(map(known.__getitem__, words[k]))
         return [np.frombuffer(b"".join(f), "<u4") for f in found]
