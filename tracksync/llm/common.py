@@ -65,3 +65,18 @@ def filter_rows(df: DataFrame, column: str, keep: Callable[[list], list[bool]],
                 yield part.filter(pa.array(keep(part.column(at).to_pylist()), pa.bool_()))
 
     return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
+
+
+_HELD: dict = {}
+
+
+def held_by_worker(name: str, key: int, make: Callable):
+    """What ``make`` gives, kept by this Python worker for its next tasks of the same operator.
+
+    A worker keeps one such thing: what another operator left goes first, so the memory of a
+    pipeline's worker is that of its present stage.
+    """
+    if (name, key) not in _HELD:
+        _HELD.clear()
+        _HELD[name, key] = make()
+    return _HELD[name, key]

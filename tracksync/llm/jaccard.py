@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, quoted, read_table, register
+from .common import held_by_worker, materialise, quoted, read_table, register
 from .components import components
 
 #: One token in this many is in the space of the first order.
@@ -51,7 +51,7 @@ _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15
 _SALTS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
-_PIECE = 1 << 21
+_PIECE = 1 << 19
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -60,15 +60,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_POWERS: list[np.ndarray] = []
-
-
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        n = max(n, _PIECE + (1 << 16))
-        _POWERS[:] = [np.cumprod(np.r_[np.uint64(1), np.full(n, b, np.uint64)], dtype=np.uint64) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
-    return _POWERS[0], _POWERS[1]
+    """Powers of the base and of its inverse modulo 2**64, at least n of them."""
+    size = max(_PIECE + (1 << 12), 1 << n.bit_length())
+    make = lambda: [np.cumprod(np.r_[np.uint64(1), np.full(size, b, np.uint64)], dtype=np.uint64) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+    up, down = held_by_worker("powers", size, make)
+    return up, down
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:

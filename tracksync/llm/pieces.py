@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import quoted, read_table, register
+from .common import held_by_worker, quoted, read_table, register
 
 MARK = "▁"
 # Fixed values of the model format: piece kinds and the model kind.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -360,16 +360,9 @@ def encode_pieces(df: DataFrame, model: bytes, id_col: str = "doc_id", text_col:
     return source.mapInArrow(run, f"`{id_col}` {kind}, ids binary, spans binary, decoded string")
 
 
-_LOADED: dict[int, PieceModel] = {}
-
-
 def loaded(data: bytes) -> PieceModel:
     """One model a worker, with what it remembers, for all its tasks."""
-    key = hash(data)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = PieceModel(data)
-    return _LOADED[key]
+    return held_by_worker("pieces", hash(data), lambda: PieceModel(data))
 
 
 def model_bytes(name: str = "piece_bpe_32k.model") -> bytes:

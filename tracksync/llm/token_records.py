@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tracksync.session import scratch_path
 
-from .common import materialise, quoted, read_table, register
+from .common import held_by_worker, materialise, quoted, read_table, register
 
 #: Fixed value of the mask.
 MASK_DELTA = 0xA282EAD8
@@ -140,15 +140,9 @@ class WordEncoder:
         return [np.frombuffer(b"".join(f), "<u4") for f in found]
 
 
-_ENCODERS: dict[int, WordEncoder] = {}
-
-
 def encoder(config: str) -> WordEncoder:
-    key = hash(config)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = WordEncoder(config)
-    return _ENCODERS[key]
+    """One encoder a worker, with what it remembers, for all its tasks."""
+    return held_by_worker("words", hash(config), lambda: WordEncoder(config))
 
 
 def _open(folder: str):
