@@ -22,11 +22,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import filter_rows, quoted, read_table, register
+from .common import filter_rows, held_by_worker, quoted, read_table, register
 
 RUN = re.compile(r"[^\W\d_]+")
 LONGEST = 64
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 UNDECIDED = "und"
 
 #: Bounds of the training sample: documents of each language, letter runs of each document.
@@ -240,10 +240,13 @@ def train(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, runs_per_
     Identifier.  No labelled rows: an identifier that decides nothing.
     """
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()) \
-        .select("doc_id", "lang", "text", F.xxhash64("doc_id").alias("_h"))
-    best = usable.select("doc_id", "lang", "_h").distinct().withColumn("_k", F.row_number().over(W.partitionBy("lang").orderBy("_h", "doc_id"))) \
-        .filter(F.col("_k") <= docs_per_language).select("doc_id", "lang")
-    sample = usable.join(best, ["doc_id", "lang"], "left_semi").select("lang", "text", "_h")
+        .select("lang", "text", F.xxhash64("doc_id").alias("_h"))
+    # twice the bound by hash first, which any partition can tell, then the lowest hashes of those
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    drawn_share = F.pmod(F.col("_h"), F.lit(1 << 30)) * F.col("_n") < F.lit(2 * docs_per_language * (1 << 30))
+    near = usable.join(counts, "lang").filter(drawn_share)
+    lowest = W.partitionBy("lang").orderBy(F.pmod("_h", F.lit(1 << 30)), "_h", "text")
+    sample = near.withColumn("_k", F.row_number().over(lowest)).filter(F.col("_k") <= docs_per_language).select("lang", "text", "_h")
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,16 +271,9 @@ def train(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, runs_per_
     return bytes(drawn.repartition(1).mapInArrow(fit, "model binary").first()["model"])
 
 
-_LOADED: dict[int, Identifier] = {}
-
-
 def loaded(model: bytes) -> Identifier:
     """One identifier a worker, with what it remembers, for all its tasks."""
-    key = hash(model)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = pickle.loads(model)
-    return _LOADED[key]
+    return held_by_worker("language", hash(model), lambda: pickle.loads(model))
 
 
 def identify(df: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
