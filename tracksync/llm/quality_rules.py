@@ -186,7 +186,10 @@ def learn_from(statistics_of: DataFrame, labels: DataFrame, id_col: str = "doc_i
     """
     exprs = statistics()
     labelled = statistics_of.join(labels.filter(F.col(label_col).isNotNull()).select(F.col(id_col), (F.col(label_col) == bad_value).alias("_bad")), id_col)
-    rows = labelled.select(F.xxhash64(id_col).alias("_h"), "_bad", *[e.alias(f"_x_{n}") for n, e in exprs.items()]) \
+    labelled = labelled.withColumn("_h", F.pmod(F.xxhash64(id_col), F.lit(1 << 40)))
+    # twice the bound by hash first, so that no more than that is sent to the driver
+    share = min(1.0, 2 * max_rows / max(1, labelled.count()))
+    rows = labelled.filter(F.col("_h") < F.lit(int(share * (1 << 40)))).select("_h", "_bad", *[e.alias(f"_x_{n}") for n, e in exprs.items()]) \
         .orderBy("_h", "_bad", *[f"_x_{n}" for n in exprs]).limit(max_rows).collect()
     if not rows:
         return DecisionList()
