@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import filter_rows, held_by_worker, quoted, read_table, register
+from .common import filter_rows, held_by_worker, materialise, quoted, read_table, register
 
 RUN = re.compile(r"[^\W\d_]+")
 LONGEST = 64
@@ -32,6 +32,8 @@ UNDECIDED = "und"
 #: Bounds of the training sample: documents of each language, letter runs of each document.
 DOCS_PER_LANGUAGE = 500
 RUNS_PER_DOC = 60
+#: Most languages a network may tell apart: their counts are broadcast.
+MAX_LANGUAGES = 10_000
 
 
 def sequences(run: str) -> list[bytes]:
@@ -244,7 +246,10 @@ def train(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, runs_per_
     # twice the bound by hash first, which any partition can tell, then the lowest hashes of those
     counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
     drawn_share = F.pmod(F.col("_h"), F.lit(1 << 30)) * F.col("_n") < F.lit(2 * docs_per_language * (1 << 30))
-    near = usable.join(counts, "lang").filter(drawn_share)
+    counts = materialise(counts, "language-counts")
+    if counts.count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    near = usable.join(F.broadcast(counts), "lang").filter(drawn_share)
     lowest = W.partitionBy("lang").orderBy(F.pmod("_h", F.lit(1 << 30)), "_h", "text")
     sample = near.withColumn("_k", F.row_number().over(lowest)).filter(F.col("_k") <= docs_per_language).select("lang", "text", "_h")
 
