@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +20,23 @@ ORACLES: dict[str, str] = {}
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let the Python workers find this package where the driver has it, whatever its working folder."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = query
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
