@@ -19,8 +19,8 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a 3-word Jaccard similarity of 0.9 stays: that of the smallest doc_id."""
-    return jaccard.keep_one_of_each(docs)
+    """One document of each group linked by a 5-word Jaccard similarity of 0.8 stays: that of the smallest doc_id."""
+    return jaccard.keep_one_of_each(docs, words=5, percent=80)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,3 +85,19 @@ def test_stages_keep_the_columns_and_stand_empty_tables(spark):
             now = stage(spark, now, "")
             assert now.columns == docs.columns
         assert corpus_pipeline.STAGES[-1][1](spark, now, "").count() == now.count()
+
+
+def test_near_copies_by_five_words_and_four_fifths(spark):
+    src = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    long, short = [f"a{i}" for i in range(53)], [f"b{i}" for i in range(40)]
+    texts = [long, [*long[:26], "x", *long[27:]], short, [*short[:20], "x", *short[21:]]]  # 44/54 and 31/41 of five words, 48/54 and 35/41 of three
+    docs = src.unionByName(spark.createDataFrame([(9100 + i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)], src.schema))
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    got = sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect())
+    assert [d for d in got if d >= 9100] == [9100, 9102, 9103]
+    assert got == sorted(int(d) for d, n, c, _ in brute_groups(rows, 5, 80) if not n or d == c)
+
+
+def test_run_like_brute_force_of_five_words(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(globals(), "brute_groups", lambda rows, whole=brute_groups: whole(rows, 5, 80))
+    test_run_like_brute_force(spark, tmp_path, monkeypatch)
