@@ -4,6 +4,7 @@ import zlib
 
 import pytest
 
+from tracksync.llm import sharding
 from tracksync.llm.sharding import assign_shards, write_shards
 
 SCHEMA = "doc_id long, text string, size int, shard string, _row int"
@@ -53,3 +54,13 @@ def test_long_text_empty_table_and_files(spark, tmp_path):
     write_shards(df, str(tmp_path / "out"), 4)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 50 and back.select("shard").distinct().count() == 4
+
+
+def test_light_repeated_key_is_cut_until_no_range_is_overfull(spark, monkeypatch):
+    rows = [(None, None)] * 2000 + [(i, "z" * 1000) for i in range(200)]
+    seen: list = []
+    keep = sharding.materialise
+    monkeypatch.setattr(sharding, "materialise", lambda df, name: seen.append((name, keep(df, name))) or seen[-1][1])
+    check(rows, run(spark, rows, 1), 1)
+    last = [f for n, f in seen if n == "shard-ranges"][-1]
+    assert max(r["_n"] for r in last.collect()) <= sharding.OVERFULL * len(rows) / 8

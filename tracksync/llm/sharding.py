@@ -4,7 +4,8 @@
    splitters of the key ranges.
 2. Records are range-partitioned by the splitters (binary search in a literal array).  The
    exact rows and bytes of every range are counted, and overfull ranges are subdivided at
-   their own quantiles until none is left; a range of one repeated key is dealt out by row.
+   their own quantiles until none is left; a key that fills quantiles gets a range of its own,
+   and a range of one key is cut at quantiles of its rows.
 3. The ranges' running byte totals place every record on one line of bytes; shard ``s`` is the
    records whose middle lies in the ``s``-th of ``shards`` equal parts of that line, so shards
    are key ranges and differ by at most the size of one record.
@@ -81,25 +82,25 @@ def assign_shards(df: DataFrame, shards: int, key: str = "doc_id", text: str = "
     depth = 0
     while True:
         limit_n, limit_b = OVERFULL * max(1, rows / ranges), OVERFULL * max(1, total / ranges)
-        parts = F.ceil(F.greatest(F.col("_n") / F.lit(rows / ranges if rows else 1.0), F.col("_bytes") / F.lit(total / ranges if total else 1.0))).cast("int")
-        over = totals.filter((F.col("_n") > 1) & ((F.col("_n") > limit_n) | (F.col("_bytes") > limit_b))).withColumn("_parts", F.least(parts, F.col("_n").cast("int")))
         # a long record alone in a range is not overfull: it cannot be cut
-        over = over.filter("_parts > 1")
-        if depth == 4 or over.isEmpty():
+        over = totals.filter((F.col("_n") > 1) & ((F.col("_n") > limit_n) | (F.col("_bytes") > limit_b))).select("_range", "_least", "_most")
+        if over.isEmpty():
             break
         depth += 1
         name = f"r{depth}"
-        cuts = placed.join(F.broadcast(over.select("_range", "_parts")), "_range").groupBy("_range", "_parts") \
-            .agg(F.percentile_approx("_key", [i / 64 for i in range(1, 64)], 6400).alias("_cuts"))
-        cuts = cuts.withColumn("_cuts", F.array_distinct("_cuts")).join(over.select("_range", "_least", "_most"), "_range")
+        # one repeated key: at the quantiles of its rows; several keys: at their own.  Either way two
+        # different values come apart, so every round cuts every overfull range.
+        value = F.when(F.col("_least") == F.col("_most"), F.col("_row")).otherwise(F.col("_key"))
+        cuts = placed.join(F.broadcast(over), "_range").groupBy("_range", "_least", "_most") \
+            .agg(F.percentile_approx(value, [i / 64 for i in range(1, 64)], 6400).alias("_q"))
+        heavy = F.filter("_q", lambda c, i: (i > 0) & (c == F.get("_q", i - 1)) & (c < F.lit((1 << 63) - 1)))
+        cuts = cuts.withColumn("_cuts", F.array_distinct(F.concat("_q", F.transform(heavy, lambda c: c + 1)))).drop("_q")
         cuts = materialise(cuts, "shard-cuts")
-        # one repeated key: by row; several keys: at their quantiles, bounds <= key counted
-        sub = F.when(F.col("_cuts").isNull(), F.lit(0)) \
-            .when(F.col("_least") == F.col("_most"), F.pmod(F.xxhash64("_row"), F.col("_parts"))) \
-            .otherwise(F.size(F.filter("_cuts", lambda c: c <= F.col("_key")))).cast("long")
+        # bounds <= value counted
+        sub = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(F.size(F.filter("_cuts", lambda c: c <= value))).cast("long")
         old = [f"r{i}" for i in range(depth)]
         placed = materialise(placed.join(F.broadcast(cuts), "_range", "left").withColumn(
-            "_range", F.struct(*[F.col(f"_range.{c}").alias(c) for c in old], sub.alias(name))).drop("_parts", "_cuts", "_least", "_most"), "shard-placed")
+            "_range", F.struct(*[F.col(f"_range.{c}").alias(c) for c in old], sub.alias(name))).drop("_cuts", "_least", "_most"), "shard-placed")
         totals = count(placed)
     line = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     before = totals.select("_range", F.coalesce(F.sum("_bytes").over(line), F.lit(0)).alias("_bytes_before"), F.coalesce(F.sum("_n").over(line), F.lit(0)).alias("_rows_before"))
