@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from tracksync.llm import mixing
 from tracksync.llm.mixing import emit_copies, mix_sources
 
 SCHEMA = "doc_id long, text string, source string, size int, _row int, copies int"
@@ -69,3 +70,19 @@ def test_nulls_empties_repeats_and_extra_columns(spark):
     assert out.columns == df.columns
     assert {r["size"] for r in out.collect()} <= {7}
     assert mix_sources(df.filter("false")).count() == 0
+
+
+def test_repeated_ids_spread_over_cells(spark, monkeypatch):
+    rows = [(None, f"w{i} x y", "s") for i in range(900)] + [(7, "a b c", "s")] * 500 + [(i, f"v{i} x y", "s") for i in range(100, 1000)]
+    seen: list = []
+    keep = mixing.materialise
+    monkeypatch.setattr(mixing, "materialise", lambda df, name: seen.append((name, keep(df, name))) or seen[-1][1])
+    runs = []
+    for parts in (1, 5):
+        mixed = mix_sources(docs(spark, rows).repartition(parts), weights=(1,), budget=0.5, cell_rows=32)
+        got = mixed.select("_row.doc_id", "_row.text", "copies").collect()
+        assert len(got) == len(rows) and abs(sum(r["copies"] for r in got) - len(rows) / 2) <= 1
+        runs.append(sorted((r["doc_id"] or 0, r["text"], r["copies"]) for r in got))
+        cells = [f for n, f in seen if n == "mix-counts"][-1]
+        assert max(r["_n"] for r in cells.collect()) <= 3 * 32
+    assert runs[0] == runs[1]

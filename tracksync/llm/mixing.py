@@ -9,7 +9,8 @@ and a document is emitted once for each integer crossed in its step.
 
 The line is never one task: documents go to cells (source, size class, hash slice) of about
 ``cell_rows`` rows.  Cells are counted first, the cell counts give each cell its place in the
-line, and the place within the cell is a window over that cell alone.
+line, and the place within the cell is a window over that cell alone.  A cell that repeated
+ids overfill is cut at them, and the rows of one id are dealt over cells by their content.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from .common import WORD, materialise, quoted, read_table, register
 
 SEED = "mix-1"
+#: A cell of more than this many times ``cell_rows`` is looked through for repeated ids.
+OVERFULL = 2
 
 
 def _hex_fraction(col):
@@ -51,18 +54,53 @@ def source_targets(sizes: DataFrame, weights=(5, 2, 1), budget: float = 1.5, cap
         .select("source", "source_size", "n_docs", "target")
 
 
+def _same_cell(a: str, b: str):
+    return F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source")) & (F.col(f"{a}._class") == F.col(f"{b}._class")) & (F.col(f"{a}._slice") == F.col(f"{b}._slice"))
+
+
+def _counted(placed: DataFrame) -> DataFrame:
+    return materialise(placed.groupBy("source", "_class", "_slice").agg(F.count(F.lit(1)).alias("_n")), "mix-counts")
+
+
+def _overfull(counts: DataFrame, cell_rows: int) -> DataFrame:
+    return counts.filter(F.col("_n") > OVERFULL * cell_rows)
+
+
+def _cut_at_repeated(placed: DataFrame, counts: DataFrame, cell_rows: int, key: list[str], spread: str) -> DataFrame:
+    """Overfull cells are cut before and after each ``key`` of more than ``cell_rows`` rows; those rows are dealt by ``spread``.
+
+    ``_slice`` gets two fields, so cells stay in the order of the keys.
+    """
+    over = F.broadcast(_overfull(counts, cell_rows))
+    own = placed.alias("r").join(over.alias("o"), _same_cell("r", "o"), "left_semi")
+    hot = own.groupBy("source", "_class", "_slice", F.struct(*key).alias("k")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cell_rows) \
+        .groupBy("source", "_class", "_slice").agg(F.collect_list(F.struct("k", (F.floor((F.col("n") - 1) / cell_rows) + 1).alias("parts"))).alias("_hot"))
+    hot = materialise(hot, "mix-repeated")
+    fields = placed.schema["_slice"].dataType.names
+    here = F.struct(*[F.col(f"r.{c}") for c in key])
+    before = F.size(F.filter("_hot", lambda h: h["k"] < here))
+    parts = F.get(F.filter("_hot", lambda h: h["k"] == here), F.lit(0))["parts"]
+    cut = F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(2 * before + parts.isNotNull().cast("int"))
+    dealt = F.coalesce(F.pmod(F.xxhash64(F.col(f"r.{spread}")), parts), F.lit(0)).cast("long")
+    slices = F.struct(*[F.col(f"r._slice.{f}").alias(f) for f in fields], cut.alias(f"s{len(fields)}"), dealt.alias(f"s{len(fields) + 1}"))
+    return placed.alias("r").join(F.broadcast(hot).alias("o"), _same_cell("r", "o"), "left") \
+        .select(*[F.col(f"r.{c}") for c in placed.columns if c != "_slice"], slices.alias("_slice"))
+
+
 def mix_sources(docs: DataFrame, weights=(5, 2, 1), budget: float = 1.5, cap: float = 2.0, seed: str = SEED, cell_rows: int = 4096, carry: list[str] | None = None) -> DataFrame:
     """One row per document: ``_row`` (its ``carry`` columns, default all), size, source_size, target, copies (int).
 
     Null text has size 0, null source is a source of its own.  A source without words gets
     target 0 and no copies.  Repeated rows each take a place of their own.  Order within a
-    source: size class, hash slice, size, md5(seed, doc_id): the same on every run.
+    source: size class, hash slice, size, md5(seed, doc_id), hash of the content: the same on
+    every run but for rows that are equal in all of it.
     """
     kept = docs.columns if carry is None else carry
     base = docs.select(
         F.struct(*[quoted(c) for c in kept]).alias("_row"), F.col("source"),
         F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))).alias("_tie"))
+        F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))).alias("_tie"),
+        F.xxhash64("text", *[quoted(c) for c in kept if "map<" not in docs.schema[c].dataType.simpleString()]).alias("_check"))
     base = base.withColumn("_class", F.floor(F.sqrt(F.col("size").cast("double"))).cast("int"))
     cells = base.groupBy("source", "_class").agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_words"))
     cells = materialise(cells, "mix-cells")
@@ -73,19 +111,23 @@ def mix_sources(docs: DataFrame, weights=(5, 2, 1), budget: float = 1.5, cap: fl
         .select("c.source", "_class", (F.floor((F.col("_n") - 1) / cell_rows) + 1).cast("int").alias("_slices"), "source_size", "target", "_u")
     # size classes x sources rows: a dictionary, joined on both keys
     placed = base.alias("b").join(plan.alias("p"), F.col("b.source").eqNullSafe(F.col("p.source")) & (F.col("b._class") == F.col("p._class"))) \
-        .select("b._row", "b.source", "b.size", "b._tie", "b._class", "source_size", "target", "_u",
-                F.pmod(F.conv(F.substring("_tie", 9, 8), 16, 10).cast("long"), F.col("_slices")).cast("int").alias("_slice"))
+        .select("b._row", "b.source", "b.size", "b._tie", "b._check", "b._class", "source_size", "target", "_u",
+                F.struct(F.pmod(F.conv(F.substring("_tie", 9, 8), 16, 10).cast("long"), F.col("_slices")).cast("int").alias("s0")).alias("_slice"))
     cell = ["source", "_class", "_slice"]
-    counts = placed.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
+    counts = _counted(placed)
+    if not _overfull(counts, cell_rows).isEmpty():
+        placed = materialise(placed.withColumn("_salt", F.monotonically_increasing_id()), "mix-placed")
+        for key, spread in ((["size", "_tie"], "_check"), (["_check"], "_salt")):
+            placed = _cut_at_repeated(placed, counts, cell_rows, key, spread)
+            counts = _counted(placed)
     line = W.partitionBy("source").orderBy("_class", "_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(line), F.lit(0)))
-    own = W.partitionBy(*cell).orderBy("size", "_tie")
+    own = W.partitionBy(*cell).orderBy("size", "_tie", "_check")
     ranked = placed.withColumn("_k", F.row_number().over(own))
-    same = F.col("r.source").eqNullSafe(F.col("o.source")) & (F.col("r._class") == F.col("o._class")) & (F.col("r._slice") == F.col("o._slice"))
     k = F.col("_before") + F.col("_k")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     crossed = F.floor(rate * k + F.col("_u")) - F.floor(rate * (k - 1) + F.col("_u"))
-    return ranked.alias("r").join(offsets.alias("o"), same).select("r._row", "r.size", "r.source_size", "r.target", crossed.cast("int").alias("copies"))
+    return ranked.alias("r").join(offsets.alias("o"), _same_cell("r", "o")).select("r._row", "r.size", "r.source_size", "r.target", crossed.cast("int").alias("copies"))
 
 
 def emit_copies(mixed: DataFrame, columns: list[str]) -> DataFrame:
