@@ -9,6 +9,9 @@
    eigenvectors are found on the driver, which holds dims x dims numbers (``MAX_DIMS`` bounds it).
 4. Rows times the whitening matrix are the projections.  Those of the fit list give the
    covariance that ``identity_error`` reports, measured and not assumed.
+
+Blocks are read by several jobs and kept meanwhile (memory, then disk; lost ones are made again); Spark
+lets go of them when the matrices are out of use.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
@@ -159,18 +163,20 @@ def whiten(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", co
     fit = materialise(rows.groupBy("x").agg(F.min("row").alias("row")), "whitening-fit")
     count = rows.count()
     n, sums = exact_sums(fit, dims)
-    held = block_matrix(centred(fit, n, sums), count, dims)
+    held = block_matrix(centred(fit, n, sums), count, dims).persist(StorageLevel.MEMORY_AND_DISK)
     covariance = scatter(held) / n
     values, projection, vanish = whitening_matrix(covariance, components)
     width = projection.shape[1]
     block = DenseMatrix(dims, width, projection.ravel(order="F").tolist())
     whitener = BlockMatrix(df.sparkSession.sparkContext.parallelize([((0, 0), block)], 1), dims, width, dims, width)
-    found = scatter(held.multiply(whitener)) / n
+    turned = held.multiply(whitener).persist(StorageLevel.MEMORY_AND_DISK)
+    found = scatter(turned) / n
     there = np.flatnonzero(~vanish)
     error = float(np.abs(found[np.ix_(there, there)] - np.eye(len(there))).max(initial=0))
     trace = float(np.trace(covariance))
     whole = centred(rows, n, sums)
-    projected = block_matrix(whole, count, dims).multiply(whitener).toIndexedRowMatrix()
+    blocks = block_matrix(whole, count, dims).persist(StorageLevel.MEMORY_AND_DISK)  # listed, then multiplied
+    projected = blocks.multiply(whitener).toIndexedRowMatrix()
     vectors = callMLlibFunc("getIndexedRows", projected._java_matrix_wrapper._java_model).toDF("row", "w")
     masked = F.transform(vector_to_array("w"), lambda w, i: F.when(F.get(F.lit(vanish.tolist()), i), F.lit(None)).otherwise(w))
     explained = F.lit((values / trace).tolist()) if trace > 0 else F.lit(None).cast("array<double>")
