@@ -1,10 +1,11 @@
 """Command line: run the sync and the exports over a folder of parquet tables.
 
-  python -m tracksync sync       --config FILE --tables DIR --out ROOT [--run-id ID]
+  python -m tracksync sync       --config FILE --tables DIR --out ROOT [--run-id ID] [--restart]
   python -m tracksync export-all --config FILE --out ROOT --dest PATH [--format csv|parquet]
   python -m tracksync export-filtered --pages DIR --filters JSON --labels JSON --dest PATH
 
-``sync`` reads DIR/<name> for items, values, fields, projects, relations,
+``sync`` goes on from the items, values and relations of the last run published under ROOT; the first run
+(or one with ``--restart``) takes them from DIR.  It reads DIR/<name> for items, values, fields, projects, relations,
 state_days, history, registry, element, conduct, md, points and area_<label>
 (edge tables with area_id, one per area layer), runs the twenty steps and publishes items,
 values and relations (with the field dictionary it used) as one run under ROOT.
@@ -19,12 +20,13 @@ import argparse
 import json
 import os
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
 from .config import SyncConfig
 from .operators import export
-from .plans.publish import publish, read_current
+from .plans.publish import current_parts, current_run, publish, read_current
 from .plans.sync import SyncInputs, run_sync
 from .sources.pages import read_pages
 
@@ -39,9 +41,12 @@ def load_inputs(spark: SparkSession, tables_dir: str, cfg: SyncConfig) -> SyncIn
     return SyncInputs(area_layers=layers, **t)
 
 
-def cmd_sync(spark: SparkSession, tables: str, out: str, run_id: str | None, cfg: SyncConfig) -> str:
+def cmd_sync(spark: SparkSession, tables: str, out: str, run_id: str | None, cfg: SyncConfig, restart: bool = False) -> str:
     inputs = load_inputs(spark, tables, cfg)
-    result = run_sync(inputs, cfg)
+    if not restart and current_run(spark, out) is not None:
+        inputs = replace(inputs, items=read_current(spark, out, "items"), relations=read_current(spark, out, "relations"),
+                         values=current_parts(spark, out, "values") or read_current(spark, out, "values"))
+    result = run_sync(inputs, cfg, store=os.path.join(out, "_values"))
     # the dictionary the run resolved labels with is published with it, for the exports
     return publish(spark, {**result, "fields": inputs.fields}, out, run_id)
 
@@ -68,6 +73,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     s.add_argument("--tables", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--run-id")
+    s.add_argument("--restart", action="store_true", help="take items, values and relations from --tables again")
     a = sub.add_parser("export-all")
     a.add_argument("--config", required=True, help="JSON file of SyncConfig")
     a.add_argument("--out", required=True)
@@ -84,7 +90,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"tracksync-{args.cmd}").getOrCreate()
     cfg = SyncConfig.from_file(args.config) if "config" in args else None
     if args.cmd == "sync":
-        print(cmd_sync(spark, args.tables, args.out, args.run_id, cfg))
+        print(cmd_sync(spark, args.tables, args.out, args.run_id, cfg, args.restart))
     elif args.cmd == "export-all":
         cmd_export_all(spark, args.out, args.dest, args.format, cfg)
     else:

@@ -11,12 +11,17 @@ so that the order of commits counts and not the ids callers choose.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .eav_store import EavTable
+
 POINTERS = "_pointers"
+#: A table kept in buckets is published by the list of its parts, in a file of this name.
+PARTS = "parts.json"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -33,26 +38,37 @@ def new_run_id() -> str:
     return _now() + "-" + uuid.uuid4().hex[:8]
 
 
-def publish(spark: SparkSession, outputs: Mapping[str, DataFrame], root: str, run_id: str | None = None,
+def publish(spark: SparkSession, outputs: Mapping[str, DataFrame | EavTable], root: str, run_id: str | None = None,
             fmt: str = "parquet") -> str:
-    """Write all ``outputs`` of one run, then commit the pointer.  Returns the run id."""
+    """Write all ``outputs`` of one run, then commit the pointer.  Returns the run id.
+
+    Of an :class:`EavTable` only the list of its parts is written: its files are there already.
+    """
     run_id = run_id or new_run_id()
     run_dir = f"{root.rstrip('/')}/run={run_id}"
     for name, df in outputs.items():
+        if isinstance(df, EavTable):
+            _write_text(spark, f"{run_dir}/{name}/{PARTS}", json.dumps(df.described()))
+            continue
         df.write.mode("error").format(fmt).save(f"{run_dir}/{name}")
     _commit_pointer(spark, root, run_id)
     return run_id
 
 
+def _write_text(spark: SparkSession, path: str, text: str):
+    fs, p, _ = _fs(spark, path)
+    out = fs.create(p, False)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    return p
+
+
 def _commit_pointer(spark: SparkSession, root: str, run_id: str) -> None:
     fs, _, jvm = _fs(spark, root)
     Path = jvm.org.apache.hadoop.fs.Path
     pdir = Path(f"{root.rstrip('/')}/{POINTERS}")
     fs.mkdirs(pdir)
-    tmp = Path(pdir, f".tmp-{uuid.uuid4().hex}")
-    out = fs.create(tmp, False)
-    out.write(bytearray(run_id.encode("utf-8")))
-    out.close()
+    tmp = _write_text(spark, f"{pdir}/.tmp-{uuid.uuid4().hex}", run_id)
     final = Path(pdir, f"{_now()}~{run_id}")
     if not fs.rename(tmp, final):
         fs.delete(tmp, False)
@@ -70,8 +86,23 @@ def current_run(spark: SparkSession, root: str) -> str | None:
     return max(names).partition("~")[2] if names else None
 
 
-def read_current(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:
+def _run_dir(spark: SparkSession, root: str) -> str:
     run_id = current_run(spark, root)
     if run_id is None:
         raise FileNotFoundError(f"no committed run under {root}")
-    return spark.read.format(fmt).load(f"{root.rstrip('/')}/run={run_id}/{table}")
+    return f"{root.rstrip('/')}/run={run_id}"
+
+
+def current_parts(spark: SparkSession, root: str, table: str) -> EavTable | None:
+    """The bucketed table of the last committed run, or None if it was published as rows."""
+    path = f"{_run_dir(spark, root)}/{table}/{PARTS}"
+    fs, p, _ = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    text = "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+    return EavTable.of_description(spark, json.loads(text))
+
+
+def read_current(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:
+    parts = current_parts(spark, root, table)
+    return parts.read() if parts is not None else spark.read.format(fmt).load(f"{_run_dir(spark, root)}/{table}")
