@@ -5,6 +5,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 import naive
@@ -134,9 +135,24 @@ def test_clean_columns_and_export_take_dotted_labels(spark):
     items = spark.createDataFrame([(1, "s"), (2, "t")], "id long, subject string")
     fields = spark.createDataFrame([(1, "nº. a", "x"), (2, "b", "x")], FSCHEMA)
     values = spark.createDataFrame([(1, "WorkPackage", 1, 1, "v\u00e9")], VSCHEMA)
-    out = export.export_all(items, values, fields, "WorkPackage")
-    assert out.columns == ["subject", "b", "nº. a"]
-    assert sorted(map(tuple, out.collect())) == [("s", None, "v"), ("t", None, None)]
+    for by in (export.export_all, export.export_pivot):
+        out = by(items, values, fields, "WorkPackage")
+        assert out.columns == ["subject", "b", "nº. a"]
+        assert sorted(map(tuple, out.collect())) == [("s", None, "v"), ("t", None, None)]
+
+
+def test_key_union_of_json_objects(spark):
+    rows = [(1, '{"b": 1, "a.x": "t", "Ü": null}'), (2, '{"c": {"d": [1]}}'), (3, "{}"), (4, None), (5, '{"b": true}')]
+    df = spark.createDataFrame(rows, "id long, j string")
+    assert export.json_keys(df, "j") == ["a.x", "b", "c", "Ü"]
+    out = export.widen_json(df, "j", ["id"])
+    assert out.columns == ["id", "a.x", "b", "c", "Ü"]
+    assert sorted(map(tuple, out.collect())) == [(1, "t", "1", None, None), (2, None, None, '{"d":[1]}', None), (3, *[None] * 4), (4, *[None] * 4), (5, None, "true", None, None)]
+    assert export.widen_json(df.limit(0), "j", ["id"]).columns == ["id"]
+    many = spark.range(3000).select("id", F.to_json(F.create_map(F.concat(F.lit("k"), (F.col("id") % 700).cast("string")), F.lit("v"))).alias("j"))
+    assert len(export.json_keys(many, "j")) == 700  # no cap
+    with pytest.raises(Exception):
+        export.json_keys(spark.createDataFrame([("{broken",)], "j string"), "j")
 
 
 def test_doubles_as_the_source_database_writes_them(spark):

@@ -13,7 +13,7 @@ from tracksync.operators import links, registry, spatial
 from tracksync.plans import publish
 from tracksync.sources import jdbc, pages
 from tracksync.sources.fixtures import FIXTURE_CONFIG as CFG
-from tracksync.sources.fixtures import save_pages
+from tracksync.sources.fixtures import page_lines
 
 
 
@@ -55,10 +55,13 @@ def test_pages_stop_before_malformed_and_missing_key(spark, tmp_path):
 def test_pages_roundtrip_from_spark_writer(spark, tmp_path):
     items = spark.range(0, 2500).select(F.col("id"), F.to_json(F.struct(F.col("id"))).alias("item_json"))
     path = str(tmp_path / "pages")
-    save_pages(items, path, page_size=1000)
+    page_lines(items, 1000).orderBy("place").select("value").write.text(path)
     out = pages.read_pages(spark, path, page_size=1000)
     got = out.groupBy("page").count().orderBy("page").collect()
     assert [(r.page, r["count"]) for r in got] == [(1, 1000), (2, 1000), (3, 500)]
+    as_rows = pages.items_of_pages(page_lines(items, 1000), 1000)
+    key = lambda df: sorted((r.page, r.pos) for r in df.collect())
+    assert key(as_rows) == key(out)
 
 
 def test_broken_line_takes_its_place_among_the_lines(spark, tmp_path):

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import all_of, clean_string_columns, is_object, name_of, python_str, raw_or_self, value_text
+from ..session import scratch_path
 from . import eav
 
 
@@ -70,21 +71,57 @@ def parse_items(json: Column | str) -> Column:
     return F.from_json(json, "map<string,variant>", {"mode": "FAILFAST"})
 
 
-def widen_json(df: DataFrame, json_col: str, keep: Sequence[str], keys: Sequence[str], strict: bool = True) -> DataFrame:
-    """O-42: JSON object text -> one column per key, in the order given (missing key -> NULL)."""
+def json_keys(df: DataFrame, json_col: str, strict: bool = True) -> list[str]:
+    """O-42: the keys of all JSON objects of a column, each once, in order of name.
+
+    The distinct keys are found by a partial (map-side) aggregate; what reaches the driver is one
+    name for each column of the widened table, however many rows and whatever their key sets.
+    """
+    how = {"mode": "FAILFAST"} if strict else {}
+    keys = df.select(F.explode(F.map_keys(F.from_json(F.col(json_col), "map<string,string>", how))).alias("key"))
+    return [r["key"] for r in keys.distinct().orderBy("key").collect()]
+
+
+def widen_json(df: DataFrame, json_col: str, keep: Sequence[str], keys: Sequence[str] | None = None, strict: bool = True) -> DataFrame:
+    """O-42: JSON object text -> one column per key (missing key -> NULL).
+
+    ``keys`` in the order given, or all keys that occur (:func:`json_keys`, which reads ``df`` once more).
+    """
     how = {"mode": "FAILFAST"} if strict else {}
+    keys = json_keys(df, json_col, strict) if keys is None else keys
     parsed = df.select(*keep, F.from_json(F.col(json_col), "map<string,string>", how).alias("_m"))
     return parsed.select(*keep, *[F.col("_m")[k].alias(k) for k in keys])
 
 
 def field_names(fields: DataFrame) -> list[str]:
-    """Names of the dictionary, sorted: the columns of the export."""
+    """Names of the dictionary, sorted: the columns of the pivoted export."""
     return sorted(r[0] for r in fields.select("name").distinct().collect() if r[0] is not None)
 
 
-def export_all(items: DataFrame, values: DataFrame, fields: DataFrame, entity_type: str | None,
-               names: Sequence[str] | None = None) -> DataFrame:
-    """O-70: subject of every item + one text-cleaned column per dictionary field, by one pivot."""
+def export_view(items: DataFrame, values: DataFrame, fields: DataFrame, entity_type: str | None) -> DataFrame:
+    """(subject, custom_fields) of every item: its custom fields as one JSON object, NULL if it has none."""
+    objects = eav.json_object_per_item(values, fields, entity_type=entity_type)
+    return items.select(F.col("id").alias("customized_id"), "subject").join(objects, "customized_id", "left").select("subject", "custom_fields")
+
+
+def export_all(items: DataFrame, values: DataFrame, fields: DataFrame, entity_type: str | None) -> DataFrame:
+    """O-70: subject of every item + one text-cleaned column per custom field, in order of name: every
+    key that occurs, and every field of the dictionary (an empty column if no item has it).
+
+    The JSON view (O-43) is written once to the shared scratch folder, as both the union of its keys and the
+    widening (O-42) read it; hygiene (O-50) comes last.
+    """
+    view = export_view(items, values, fields, entity_type)
+    path = scratch_path(view.sparkSession, "export-view")
+    view.write.parquet(path)
+    view = view.sparkSession.read.schema(view.schema).parquet(path)
+    keys = sorted({*json_keys(view, "custom_fields"), *field_names(fields)})
+    return clean_string_columns(widen_json(view, "custom_fields", ["subject"], keys))
+
+
+def export_pivot(items: DataFrame, values: DataFrame, fields: DataFrame, entity_type: str | None,
+                 names: Sequence[str] | None = None) -> DataFrame:
+    """The export without the JSON view: one text-cleaned column per dictionary field, by one pivot."""
     names = field_names(fields) if names is None else list(names)
     wide = eav.pivot_wide(values, fields, names, entity_type=entity_type)
     joined = items.select(F.col("id").alias("customized_id"), "subject").join(wide, "customized_id", "left")

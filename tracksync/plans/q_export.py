@@ -11,8 +11,8 @@ from ..functions import clean_string_columns, clean_text, raw_or_self
 from ..operators import export, items
 from ..session import scratch_path
 from ..sources.fixtures import FIXTURE_CONFIG as CFG
-from ..sources.fixtures import FX_SQL, api_items, fixtures, oracle_ctes, read_table, save_pages
-from ..sources.pages import read_pages
+from ..sources.fixtures import FX_SQL, api_items, fixtures, oracle_ctes, page_lines, read_table
+from ..sources.pages import items_of_pages
 from .catalog import register
 from .publish import publish, read_current
 from .q_rules import _NAMED
@@ -38,9 +38,7 @@ def _items_map(spark, sf):
 
 
 def _paged_items(spark, sf):
-    path = scratch_path(spark, "pages")
-    save_pages(api_items(read_table(spark, sf, "orders")), path, PAGE_SIZE)
-    return read_pages(spark, path, PAGE_SIZE)
+    return items_of_pages(page_lines(api_items(read_table(spark, sf, "orders")), PAGE_SIZE), PAGE_SIZE)
 
 
 @register("q_seed_missing_items", oracle_ctes("fx_registry", "fx_items") + f"""
@@ -113,22 +111,55 @@ _FIELD_NAMES = sorted(re.findall(r"\(\d+,'([^']+)'", FX_SQL["fx_fields"]))
 _CLEAN = r"regexp_replace({0}, '[^\x20-\x7E]', '', 'g')"
 
 
-@register("q_export_all", oracle_ctes(*_EXPORT) + ", " + _NAMED + """,
+_EXPORT_ORACLE = oracle_ctes(*_EXPORT) + ", " + _NAMED + """,
 wide AS (PIVOT named ON name IN (""" + ", ".join(f"'{n}'" for n in _FIELD_NAMES) + """) USING any_value(value) GROUP BY customized_id)
 SELECT """ + ", ".join(_CLEAN.format(c) + " AS " + c for c in ["subject", *(f'"{n}"' for n in _FIELD_NAMES)]) + """
-FROM fx_items LEFT JOIN wide ON wide.customized_id = fx_items.id""")
+FROM fx_items LEFT JOIN wide ON wide.customized_id = fx_items.id"""
+
+
+@register("q_export_all", _EXPORT_ORACLE)
 def q_export_all(spark, sf):
-    """O-70, O-43, O-50: every item with one column per dictionary field (a dotted label among
-    them), one pivot, text-cleaned."""
+    """O-70, O-43, O-42, O-50: every item, its custom fields as one JSON object, widened over the keys
+    that occur and the dictionary's (a dotted label among them), text-cleaned."""
     fx = fixtures(spark, sf, *_EXPORT)
     return export.export_all(fx["fx_items"], fx["fx_values"], fx["fx_fields"], CFG.entity_type)
 
 
-@register("q_publish_export", oracle_ctes("fx_registry") + "\nSELECT id, num, remark FROM fx_registry")
+@register("q_export_pivot", _EXPORT_ORACLE)
+def q_export_pivot(spark, sf):
+    """O-43, O-50: the same rows from the EAV table by one pivot over the dictionary."""
+    fx = fixtures(spark, sf, *_EXPORT)
+    return export.export_pivot(fx["fx_items"], fx["fx_values"], fx["fx_fields"], CFG.entity_type)
+
+
+# a row of event k has the keys of its remainders: k, and one to four more; the columns come from the data
+_PROPS = """SELECT event_id, props, event_type, user_id,
+  CASE WHEN event_id % 2 = 0 THEN 'type_' || event_type END AS by_type, CASE WHEN event_id % 3 = 0 THEN 'user. ' || (user_id % 20) END AS by_user FROM events"""
+_PROPS_PAIRS = f"""WITH given AS ({_PROPS})
+  SELECT event_id, 'k' AS key, json_extract_string(props, '$.k') AS value FROM given
+  UNION ALL SELECT event_id, by_type, 'é' || user_id FROM given WHERE by_type IS NOT NULL
+  UNION ALL SELECT event_id, by_user, event_type FROM given WHERE by_user IS NOT NULL"""
+
+
+@register("q_json_union", rf"""
+FROM (PIVOT (SELECT CAST(event_id AS VARCHAR) AS subject, key, regexp_replace(value, '[^\x20-\x7E]', '', 'g') AS value FROM ({_PROPS_PAIRS}))
+ON key USING any_value(value) GROUP BY subject)""")
+def q_json_union(spark, sf):
+    """O-42, O-50: JSON objects of differing key sets -> one column for every key that occurs."""
+    given = read_table(spark, sf, "events").select(
+        F.col("event_id").cast("string").alias("subject"), F.get_json_object("props", "$.k").alias("k"), "user_id", "event_type",
+        F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("type_"), "event_type")).alias("by_type"),
+        F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("user. "), (F.col("user_id") % 20).cast("string"))).alias("by_user"))
+    pairs = F.filter(F.array(F.struct(F.lit("k").alias("key"), F.col("k").alias("value")),
+                             F.struct(F.col("by_type").alias("key"), F.concat(F.lit("é"), F.col("user_id").cast("string")).alias("value")),
+                             F.struct(F.col("by_user").alias("key"), F.col("event_type").alias("value"))), lambda p: p["key"].isNotNull())
+    view = given.select("subject", F.to_json(F.map_from_entries(pairs)).alias("custom_fields"))
+    return clean_string_columns(export.widen_json(view, "custom_fields", ["subject"]))
+
+
+@register("q_publish_export", _EXPORT_ORACLE)
 def q_publish_export(spark, sf):
-    """O-12, O-13: two runs whose ids sort against their order; a reader finds the later commit."""
+    """O-12, O-13: the full export published as a run; a reader finds it through the pointer."""
     root = scratch_path(spark, "published")
-    table = fixtures(spark, sf, "fx_registry")["fx_registry"].select("id", "num", "remark")
-    publish(spark, {"registry": table.limit(0)}, root, "zz-first")
-    publish(spark, {"registry": table}, root, "aa-second")
-    return read_current(spark, root, "registry")
+    publish(spark, {"export": q_export_all(spark, sf)}, root)
+    return read_current(spark, root, "export")

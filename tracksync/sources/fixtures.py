@@ -179,17 +179,16 @@ def api_items(orders: DataFrame) -> DataFrame:
     return orders.select(k.alias("id"), js.alias("item_json"))
 
 
-def save_pages(items: DataFrame, path: str, page_size: int) -> None:
-    """Stand-in for saved API answers: one page a line in page order, ids dense from 0.
+def page_lines(items: DataFrame, page_size: int) -> DataFrame:
+    """Stand-in for saved API answers: (place, value), one page a line in page order, ids dense from 0.
 
     Behind the last page come a broken line and a page that nobody may read.
     """
     page = (F.floor(F.col("id") / F.lit(page_size)) + 1).cast("long")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "item_json"))), lambda e: e["item_json"]), ",")
-    pages = items.groupBy(page.alias("page")).agg(joined.alias("elements"))
-    text = F.concat(F.lit('{"offset":'), F.col("page").cast("string"), F.lit(',"pageSize":'), F.lit(str(page_size)),
-                    F.lit(',"_embedded":{"elements":['), F.col("elements"), F.lit("]}}"))
-    beyond = pages.agg(F.max("page").alias("last")).select(F.explode(F.array(
-        F.struct((F.col("last") + 1).alias("page"), F.lit('{"_embedded":{"elements":[{"id":').alias("value")),
-        F.struct((F.col("last") + 2).alias("page"), F.concat(F.lit('{"offset":'), (F.col("last") + 2).cast("string"), F.lit(',"_embedded":{"elements":[{"id":-1}]}}')).alias("value")))).alias("p")).select("p.*")
-    pages.select("page", text.alias("value")).unionByName(beyond).orderBy("page").select("value").write.text(path)
+    pages = items.groupBy(page.alias("place")).agg(joined.alias("elements"))
+    envelope = lambda no, elements: F.concat(F.lit('{"offset":'), no.cast("string"), F.lit(f',"pageSize":{page_size},"_embedded":{{"elements":['), elements, F.lit("]}}"))
+    last = items.agg((F.floor(F.max("id") / F.lit(page_size)) + 1).cast("long").alias("last"))
+    broken = last.select((F.col("last") + 1).alias("place"), F.lit('{"_embedded":{"elements":[{"id":').alias("value"))
+    beyond = last.select((F.col("last") + 2).alias("place"), envelope(F.col("last") + 2, F.lit('{"id":-1}')).alias("value"))
+    return pages.select("place", envelope(F.col("place"), F.col("elements")).alias("value")).unionByName(broken).unionByName(beyond)

@@ -40,7 +40,11 @@ def _documents(spark: SparkSession, path: str) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str, page_size: int = 1000, multi_line: bool = False) -> DataFrame:
     """(page, pos, item map<string,variant>) for every element the paging client would keep."""
-    source = _documents(spark, path) if multi_line else _lines(spark, path)
+    return items_of_pages(_documents(spark, path) if multi_line else _lines(spark, path), page_size)
+
+
+def items_of_pages(source: DataFrame, page_size: int = 1000) -> DataFrame:
+    """The same for pages that are rows already: ``source`` has (value, place), one document a row."""
     how = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     raw = source.select("place", F.from_json("value", PAGE_SCHEMA, how).alias("p"))
     page_no = F.coalesce(F.col("p.offset"), F.col("place"))
