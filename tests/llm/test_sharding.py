@@ -4,8 +4,10 @@ import zlib
 
 import pytest
 
+from tests.conftest import SMALL
 from tracksync.llm import sharding
-from tracksync.llm.sharding import assign_shards, write_shards
+from tracksync.llm.common import read_table
+from tracksync.llm.sharding import assign_shards, op1_sharding, write_shards
 
 SCHEMA = "doc_id long, text string, size int, shard string, _row int"
 
@@ -64,3 +66,26 @@ def test_light_repeated_key_is_cut_until_no_range_is_overfull(spark, monkeypatch
     check(rows, run(spark, rows, 1), 1)
     last = [f for n, f in seen if n == "shard-ranges"][-1]
     assert max(r["_n"] for r in last.collect()) <= sharding.OVERFULL * len(rows) / 8
+
+
+@pytest.mark.parametrize("hot", [(1 << 60) + 1, (1 << 63) - 1, -(1 << 63), -(1 << 63) + 1, None])
+def test_hot_keys_of_any_size(spark, monkeypatch, hot):
+    """A third of all rows share one key, light or none in text; its neighbours lie one apart."""
+    rows = [(hot, None)] * 700 + [(i, "z" * 100) for i in range(600)] + [(None, None)] * 700
+    if hot is not None:
+        rows += [(k, "n") for k in (hot - 1, hot + 1) if -(1 << 63) <= k < 1 << 63]
+    seen: list = []
+    keep = sharding.materialise
+    monkeypatch.setattr(sharding, "materialise", lambda df, name: seen.append((name, keep(df, name))) or seen[-1][1])
+    got = run(spark, rows, 3)
+    line = [(r["doc_id"] is not None, r["doc_id"] or 0) for r in sorted(got, key=lambda r: (r["shard"], r["slot"]))]
+    assert line == sorted(line) and len(got) == len(rows)
+    last = [f for n, f in seen if n == "shard-ranges"][-1]
+    assert max(r["_n"] for r in last.collect()) <= sharding.OVERFULL * len(rows) / 24 and sum(n == "shard-ranges" for n, _ in seen) < 8
+
+
+def test_query_on_the_table(spark):
+    rows = [(r["doc_id"], r["text"]) for r in read_table(spark, SMALL, "documents").select("doc_id", "text").collect()]
+    got = op1_sharding(spark, SMALL).collect()
+    check(rows, got, 24)
+    assert {(r["law"], r["grown_shard"]) for r in got} == {("bytes", None)}

@@ -1,11 +1,13 @@
 """Sharding by sampled splitters.
 
 1. Key samples are drawn with a chance in proportion to record size; their quantiles are the
-   splitters of the key ranges.
+   splitters of the key ranges.  Null keys are a range of their own, before all others.
 2. Records are range-partitioned by the splitters (binary search in a literal array).  The
    exact rows and bytes of every range are counted, and overfull ranges are subdivided at
-   their own quantiles until none is left; a key that fills quantiles gets a range of its own,
-   and a range of one key is cut at quantiles of its rows.
+   quantiles of their own samples until none is left; a key that fills quantiles gets a range of
+   its own, and a range of one key is cut at quantiles of its rows.  Quantiles are places in sorted
+   samples, exact for any long, and every subdivision also cuts before the range's largest value, so
+   each round parts every overfull range.
 3. The ranges' running byte totals place every record on one line of bytes; shard ``s`` is the
    records whose middle lies in the ``s``-th of ``shards`` equal parts of that line, so shards
    are key ranges and differ by at most the size of one record.
@@ -23,6 +25,12 @@ from .common import materialise, quoted, read_table, register
 
 #: Size-weighted samples for each range.
 SAMPLES_PER_RANGE = 20
+#: Samples drawn in an overfull range, and the parts they cut it into.
+CUT_SAMPLE = 1280
+CUT_PARTS = 64
+#: Ranges at the start: the splitters are literals in the plan.  At most as many ranges are ever
+#: overfull by rows, and as many by bytes, so all their cuts stay below 2 x 130 x MAX_RANGES longs.
+MAX_RANGES = 4096
 #: A range with more than this many times the mean of bytes or of rows is overfull.
 OVERFULL = 2
 
@@ -40,24 +48,39 @@ def _range_of(key, bounds: list[int]):
     return F.aggregate(F.sequence(F.lit(0), F.lit(len(bounds).bit_length())), start, step, lambda s: s["lo"])
 
 
+def _drawn(chance, seed: int):
+    return F.pmod(F.xxhash64("_key", "_row", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30)) < chance
+
+
 def splitters(keyed: DataFrame, ranges: int, total: int) -> list[int]:
     """Quantiles of size-weighted key samples: at most 2 x ``ranges`` bounds.
 
-    A key that fills more than one quantile is heavy; it gets a range of its own.
+    A key that fills more than one quantile is heavy; it gets a range of its own.  About
+    SAMPLES_PER_RANGE x ``ranges`` keys reach the driver.
     """
     wanted = ranges * SAMPLES_PER_RANGE
-    draw = (F.pmod(F.xxhash64("_key", "_row", F.lit(17)), F.lit(1 << 30)) / F.lit(float(1 << 30)))
-    sample = keyed.filter(draw < F.col("_size") * F.lit(wanted / max(total, 1)))
-    points = [i / ranges for i in range(1, ranges)]
-    found = sample.agg(F.percentile_approx("_key", points, 100 * ranges).alias("q")).first()["q"] or []
+    sample = sorted(r[0] for r in keyed.filter(F.col("_key").isNotNull() & _drawn(F.col("_size") * F.lit(wanted / max(total, 1)), 17)).select("_key").collect())
+    found = [sample[i * len(sample) // ranges] for i in range(1, ranges)] if sample else []
     heavy = {a for a, b in zip(found, found[1:], strict=False) if a == b}
-    return sorted({*found, *(k + 1 for k in heavy)})
+    return sorted({*found, *(k + 1 for k in heavy if k + 1 < 1 << 63)})
+
+
+def _cuts(placed: DataFrame, over: DataFrame, value, seed: int) -> DataFrame:
+    """(_range, _least, _most, _cuts): where to cut the ranges ``over``, sorted."""
+    chance = F.lit(float(CUT_SAMPLE)) * F.greatest(F.col("_size") / F.col("_bytes"), F.lit(1.0) / F.col("_n"))
+    samples = placed.join(F.broadcast(over), "_range").filter(_drawn(chance, seed)).groupBy("_range").agg(F.sort_array(F.collect_list(value)).alias("_s"))
+    last = F.when(F.col("_least").eqNullSafe(F.col("_most")), F.col("_last_row")).otherwise(F.col("_most"))
+    points = F.transform(F.sequence(F.lit(1), F.lit(CUT_PARTS - 1)), lambda i: F.get("_s", F.floor(i * F.size("_s") / F.lit(CUT_PARTS)).cast("int")))
+    points = F.filter(F.when(F.col("_s").isNull(), F.array().cast("array<long>")).otherwise(points), lambda c: c.isNotNull())
+    cuts = over.join(samples, "_range", "left").withColumn("_q", points)
+    heavy = F.filter("_q", lambda c, i: (i > 0) & (c == F.get("_q", i - 1)) & (c < F.lit((1 << 63) - 1)))
+    return cuts.select("_range", "_least", "_most", F.array_sort(F.array_distinct(F.concat("_q", F.transform(heavy, lambda c: c + 1), F.array(last)))).alias("_cuts"))
 
 
 def assign_shards(df: DataFrame, shards: int, key: str = "doc_id", text: str = "text", overhead: int = 8, carry: list[str] | None = None) -> DataFrame:
     """One row per record: ``carry`` columns in struct ``_row_cols``, size, text_crc32, shard, slot.
 
-    ``key`` is a long; null keys go first.  Size is the text's UTF-8 bytes (null: none) plus
+    ``key`` is a long of any value; null keys go first.  Size is the text's UTF-8 bytes (null: none) plus
     ``overhead``.  Slots count a shard's records from 0 in key order; equal keys keep scan
     order.  An empty table gives no rows.  Extra columns are carried only if named.
     """
@@ -65,37 +88,33 @@ def assign_shards(df: DataFrame, shards: int, key: str = "doc_id", text: str = "
         raise ValueError("shards must be 1 or more")
     keyed = df.select(
         F.struct(*[quoted(c) for c in ([key] if carry is None else carry)]).alias("_row_cols"),
-        F.coalesce(quoted(key).cast("long"), F.lit(-(1 << 63) + 1)).alias("_key"),
+        quoted(key).cast("long").alias("_key"),
         (F.coalesce(F.octet_length(quoted(text)), F.lit(0)) + F.lit(overhead)).cast("long").alias("_size"),
         F.coalesce(F.crc32(quoted(text)), F.lit(0)).cast("long").alias("_crc"),
         F.monotonically_increasing_id().alias("_row"))
     keyed = materialise(keyed, "shard-keys")
     rows, total = keyed.agg(F.count(F.lit(1)), F.sum("_size")).first()
     total = total or 0
-    ranges = max(8 * shards, -(-rows // 1_000_000))
+    ranges = max(8 * shards, min(-(-rows // 1_000_000), MAX_RANGES))
     bounds = splitters(keyed, ranges, total)
-    placed = materialise(keyed.withColumn("_range", F.struct(_range_of(F.col("_key"), bounds).cast("long").alias("r0"))), "shard-placed")
+    first = F.when(F.col("_key").isNull(), F.lit(0)).otherwise(_range_of(F.col("_key"), bounds) + 1)
+    placed = materialise(keyed.withColumn("_range", F.struct(first.cast("long").alias("r0"))), "shard-placed")
 
     count = lambda d: materialise(d.groupBy("_range").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_bytes"), F.min("_key").alias("_least"), F.max("_key").alias("_most")), "shard-ranges")
+        F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_bytes"), F.min("_key").alias("_least"), F.max("_key").alias("_most"), F.max("_row").alias("_last_row")), "shard-ranges")
     totals = count(placed)
     depth = 0
     while True:
         limit_n, limit_b = OVERFULL * max(1, rows / ranges), OVERFULL * max(1, total / ranges)
         # a long record alone in a range is not overfull: it cannot be cut
-        over = totals.filter((F.col("_n") > 1) & ((F.col("_n") > limit_n) | (F.col("_bytes") > limit_b))).select("_range", "_least", "_most")
+        over = totals.filter((F.col("_n") > 1) & ((F.col("_n") > limit_n) | (F.col("_bytes") > limit_b)))
         if over.isEmpty():
             break
         depth += 1
         name = f"r{depth}"
-        # one repeated key: at the quantiles of its rows; several keys: at their own.  Either way two
-        # different values come apart, so every round cuts every overfull range.
-        value = F.when(F.col("_least") == F.col("_most"), F.col("_row")).otherwise(F.col("_key"))
-        cuts = placed.join(F.broadcast(over), "_range").groupBy("_range", "_least", "_most") \
-            .agg(F.percentile_approx(value, [i / 64 for i in range(1, 64)], 6400).alias("_q"))
-        heavy = F.filter("_q", lambda c, i: (i > 0) & (c == F.get("_q", i - 1)) & (c < F.lit((1 << 63) - 1)))
-        cuts = cuts.withColumn("_cuts", F.array_distinct(F.concat("_q", F.transform(heavy, lambda c: c + 1)))).drop("_q")
-        cuts = materialise(cuts, "shard-cuts")
+        # one repeated key (or none): at quantiles of its rows; several keys: at their own
+        value = F.when(F.col("_least").eqNullSafe(F.col("_most")), F.col("_row")).otherwise(F.col("_key"))
+        cuts = materialise(_cuts(placed, over, value, 30 + depth), "shard-cuts")
         # bounds <= value counted
         sub = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(F.size(F.filter("_cuts", lambda c: c <= value))).cast("long")
         old = [f"r{i}" for i in range(depth)]
