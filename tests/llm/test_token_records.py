@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tracksync.llm.token_records import DamagedRecord, WordEncoder, frame, pack, read_at, read_frame, read_records, tokenizer_config, unpack, write_records
+from tests.conftest import SMALL
+from tracksync.llm.common import read_table
+from tracksync.llm.token_records import DamagedRecord, WordEncoder, frame, op8_token_records, pack, read_at, read_frame, read_records, tokenizer_config, unpack, write_records
 
 ALPHABET = [" ", "\n", "\x0b", "\x1c", "\x85", "\xa0", "a", "B", "the", "'s", "é", "é", "́", "Σ", "İ", "1", "!", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", ".", ",", "x.", "中", "🙂", "\x00"]
 
@@ -68,3 +70,23 @@ def test_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "doc_id long, text string")
     folder = f"file://{tmp_path}/none"
     assert read_records(write_records(df, folder, tokenizer_config()), folder).count() == 0
+
+
+def test_marks_in_texts_and_other_tokenizers():
+    texts = ["a \x01 b\x01c \x01\x01 d", "\x01", "don't stop.\u00a0Now\u2003x", "e\u0301 \u0301e", "<|endoftext|>A <|b", "10% \u212bngstr\u00f6m", ""] + [f"word{i} {i}" for i in range(3000)]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        config = tokenizer_config(name)
+        words, library = WordEncoder(config), Tokenizer.from_str(config)
+        assert words.by_word == (name == "word_bpe_49k.json")
+        for t, ids in zip(texts, words.encode(texts), strict=True):
+            assert ids.tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_query_on_the_table(spark):
+    rows = sorted((r["doc_id"], r["text"]) for r in read_table(spark, SMALL, "documents").select("doc_id", "text").collect())
+    library, want, start = Tokenizer.from_str(tokenizer_config()), [], 0
+    for doc_id, text in rows:
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+        want.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, op8_token_records(spark, SMALL).collect())) == want

@@ -14,6 +14,7 @@ Parquet table, belong to the data set.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -66,9 +67,14 @@ def read_frame(read) -> bytes | None:
     return body[:size]
 
 
-def pack(doc_id: int | None, ids: np.ndarray, two_bytes: bool) -> bytes:
+def packed(doc_id: int | None, ids: bytes, two_bytes: bool) -> bytes:
+    """A payload of ids that are bytes already, two or four each."""
     flags = _NULL * (doc_id is None) | _TWO_BYTES * two_bytes
-    return _HEAD.pack(flags, doc_id or 0) + ids.astype("<u2" if two_bytes else "<u4").tobytes()
+    return _HEAD.pack(flags, doc_id or 0) + ids
+
+
+def pack(doc_id: int | None, ids: np.ndarray, two_bytes: bool) -> bytes:
+    return packed(doc_id, ids.astype("<u2" if two_bytes else "<u4").tobytes(), two_bytes)
 
 
 def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
@@ -77,17 +83,26 @@ def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
     return None if flags & _NULL else doc_id, ids.astype("<u4")
 
 
+#: What the word-by-word way relies on (fixed values of the tokenizer's file).
+WORDWISE_NORMALISER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+WORDWISE_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
 class WordEncoder:
-    """The library's ids of whole texts, word by word: its normaliser turns every run of white
-    space into one blank, which its splitter drops, so no token spans two words.  It also
-    lower-cases, and splits a stop from the letter before it; so words that differ only in
+    """The library's ids of whole texts.
+
+    For a tokenizer with the normaliser and splitter above, word by word: the normaliser turns every
+    run of white space into one blank, which the splitter drops, so no token spans two words.  It also
+    lower-cases, and the splitter parts a stop from the letter before it; so words that differ only in
     that share what is remembered.  Texts that hold the opening of an added token are not
-    lower-cased here.
+    lower-cased here.  New words are encoded many at a time, as one text with a mark between words.
+    Any other tokenizer encodes whole texts.
     """
 
     #: Marks that the splitter parts from an ASCII letter before them.
     STOPS = frozenset(b".,;:!?")
     LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
+    MARK = "\x01"
 
     def __init__(self, config: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -95,14 +110,36 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(config)
         self.two_bytes = self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
+        self.kind = "<u2" if self.two_bytes else "<u4"
         self.openings = {t.content.encode()[:2] for t in self.tokenizer.get_added_tokens_decoder().values()}
+        told = json.loads(config)
+        first = ((told.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        self.by_word = told.get("normalizer") == WORDWISE_NORMALISER and not any(t.get("lstrip") or t.get("rstrip") for t in told.get("added_tokens") or []) and (
+            first.get("type"), first.get("pattern"), first.get("behavior"), first.get("invert")) == ("Split", {"Regex": WORDWISE_PATTERN}, "Removed", True)
+        mark = self._whole([self.MARK])[0]
+        self.mark = mark[0] if len(mark) == 1 else None
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _words(self, text: str) -> list[bytes]:
         data = text.encode()
         return (data if any(o in data for o in self.openings) else data.lower()).split()
 
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, as bytes; a token of the mark's ends nothing but the mark."""
+        texts = [w.decode() for w in words]
+        if self.mark is not None and not any(self.MARK in t for t in texts):
+            ids = self._whole([f" {self.MARK} ".join(texts)])[0]
+            cut = np.flatnonzero(ids == self.mark)
+            if len(cut) == len(words) - 1:
+                data, width = ids.tobytes(), ids.itemsize
+                begins, ends = [0, *((cut + 1) * width).tolist()], [*(cut * width).tolist(), len(data)]
+                return [data[b:e] for b, e in zip(begins, ends, strict=True)]
+        return [i.tobytes() for i in self._whole(texts)]
+
     def _add(self, words: set[bytes]) -> None:
         """Remember the ids of these words."""
         known, older, stopped, new = self.known, self.older, [], set()
@@ -118,26 +155,25 @@ class WordEncoder:
             known[w] = older[w]
             new.discard(w)
         listed = list(new)
-        for at in range(0, len(listed), 4096):
-            some = listed[at:at + 4096]
-            made = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            for w, e in zip(some, made, strict=True):
-                ids = e.ids
-                known[w] = struct.pack(f"<{len(ids)}I", *ids)
+        for at in range(0, len(listed), 1024):
+            some = listed[at:at + 1024]
+            known.update(zip(some, self._encoded(some), strict=True))
         for w in stopped:
             known[w] = known[w[:-1]] + known[w[-1:]]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode_bytes(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, little-endian, two bytes each if the vocabulary allows, else four."""
+        if not self.by_word:
+            return [i.tobytes() for i in self._whole(texts)]
         if len(self.known) > CACHE_ENTRIES:  # what was not asked for since the last time goes
             self.older, self.known = self.known, {}
         known = self.known
         words = [self._words(t) for t in texts]
-        found = [list(map(known.get, ws)) for ws in words]
-        lacking = [k for k, f in enumerate(found) if None in f]
-        self._add({w for k in lacking for w, f in zip(words[k], found[k], strict=True) if f is None})
-        for k in lacking:
-            found[k] = list(map(known.__getitem__, words[k]))
-        return [np.frombuffer(b"".join(f), "<u4") for f in found]
+        self._add(set().union(*words).difference(known))
+        return [b"".join(map(known.__getitem__, ws)) for ws in words]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.frombuffer(i, self.kind).astype("<u4") for i in self.encode_bytes(texts)]
 
 
 def encoder(config: str) -> WordEncoder:
@@ -156,7 +192,9 @@ def write_records(df: DataFrame, folder: str, config: str, end_id: int | None =
     """Encode whole texts and write them in ascending ``id_col`` order (nulls first); returns the manifest.
 
     The manifest has one row per file: part, file, records, tokens, before (tokens in all
-    earlier files).  Null texts are empty: only the end id.  Equal ids keep scan order.
+    earlier files).  Null texts are empty: only the end id.  Equal ids keep scan order, repeated rows
+    each get their record.  A text of any length is one record.  An empty table gives an empty
+    manifest.  Other columns, whatever their names, are not read.
     """
     spark = df.sparkSession
     held = spark.sparkContext.broadcast(config)
@@ -170,22 +208,24 @@ def write_records(df: DataFrame, folder: str, config: str, end_id: int | None =
         system, base = _open(folder)
         system.create_dir(base, recursive=True)
         name = f"part-{at.partitionId():06d}-{at.taskAttemptId()}"
-        tail = np.array([] if end_id is None else [end_id], "<u4")
+        tail = b"" if end_id is None else np.array([end_id], words.kind).tobytes()
+        width = 2 if words.two_bytes else 4
         offset = tokens = records = 0
-        index = []
         with system.open_output_stream(f"{base}/{name}.rec") as out, system.open_output_stream(f"{base}/{name}.idx") as beside:
             for batch in batches:
                 for k in range(0, batch.num_rows, 256):
                     some = batch.slice(k, 256)
-                    texts = words.encode([t or "" for t in some.column(1).to_pylist()])
+                    texts = words.encode_bytes([t or "" for t in some.column(1).to_pylist()])
+                    frames, index = [], []
                     for doc_id, ids in zip(some.column(0).to_pylist(), texts, strict=True):
-                        ids = np.concatenate([ids, tail])
-                        record = frame(pack(doc_id, ids, words.two_bytes))
-                        out.write(record)
-                        index.append((offset, doc_id or 0, len(ids), _NULL * (doc_id is None)))
-                        offset, tokens = offset + len(record), tokens + len(ids)
+                        record = frame(packed(doc_id, ids + tail, words.two_bytes))
+                        n = (len(ids) + len(tail)) // width
+                        frames.append(record)
+                        index.append((offset, doc_id or 0, n, _NULL * (doc_id is None)))
+                        offset, tokens = offset + len(record), tokens + n
+                    out.write(b"".join(frames))
                     beside.write(np.array(index, INDEX).tobytes())
-                    records, index = records + len(index), []
+                    records += len(index)
         if records:
             yield pa.RecordBatch.from_pydict({"part": [at.partitionId()], "file": [name], "records": [records], "tokens": [tokens]})
 
