@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import pickle
 import random
 import zlib
 
 import numpy as np
 
 from tracksync.llm import language_id as L
+from tracksync.llm.common import read_table
 
 SYLLABLES = {"aa": ["ka", "ko", "ki", "ku"], "bb": ["sch", "ung", "ße", "ein"], "cc": ["çé", "eau", "oi", "tre"]}
 
@@ -60,7 +62,7 @@ def test_held_out_accuracy_and_edges(spark):
     rows += [(1000, None, "aa", "s", 1.0), (1001, "", "aa", "s", 1.0), (1002, "123 !? ", None, "s", 1.0), (1003, text("cc", rnd, 30_000), None, "s", 1.0),
              (1004, text("bb", rnd, 5), None, "s", 1.0), (1004, text("bb", rnd, 5), None, "s", 1.0), (None, "kakaka koki", "aa", "s", 1.0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string, score double")
-    model = L.train(docs, docs_per_language=60, runs_per_doc=20, hidden=8)
+    model = L.train(docs, docs_per_language=60, hidden=8)
     found = L.identify(docs, model).withColumn("held_out", L.held_out()).collect()
     assert len(found) == len(rows)
     by = {r["doc_id"]: r for r in found}
@@ -75,3 +77,23 @@ def test_held_out_accuracy_and_edges(spark):
     assert L.identify(docs.filter("false"), model).count() == 0
     nothing = L.train(docs.filter("lang = 'zz'"))
     assert {r["lang_pred"] for r in L.identify(docs, nothing).collect()} == {"und"}
+
+
+def test_numbers_that_are_no_digits_are_no_letters():
+    who = pickle.loads(pickle.dumps(L.Identifier(L.ByteGRU(2, 4), ["a", "b"])))
+    langs, scores = who.predict(["\u00bd \u00b2 \u2167", "12 \u00be", "x\u00b2y", "\u00bd a"])
+    assert langs[:2] == ["und", "und"] and scores[:2] == [0.0, 0.0] and "und" not in langs[2:]
+    assert L.letters("x\u00b2y\u2167") == ["x", "y"]
+    assert who.probabilities(["x\u00b2y"])[0].tolist() == who.probabilities(["x y"])[0].tolist()
+
+
+def test_query_on_the_table(spark):
+    """The registered query: contract columns, and its accuracy on held-out documents."""
+    folder = "/root/testdata/sf0.01"
+    told = {r["doc_id"]: (r["text"], r["lang"]) for r in read_table(spark, folder, "documents").select("doc_id", "text", "lang").collect()}
+    got = L.op10_language_id(spark, folder).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(told)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and 0 <= r["score"] <= 1 for r in got)
+    assert all((r["lang_pred"] == "und") == (not any(c.isalpha() for c in told[r["doc_id"]][0] or "")) for r in got)
+    judged = [r["lang_pred"] == told[r["doc_id"]][1] for r in got if r["held_out"] and r["lang_pred"] != "und" and told[r["doc_id"]][1]]
+    assert len(judged) > 100 and sum(judged) >= 0.97 * len(judged)

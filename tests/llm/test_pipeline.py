@@ -54,7 +54,7 @@ def test_run_like_brute_force(spark, tmp_path, monkeypatch):
     rows = [r.asDict() for r in spark.read.parquet(f"{tmp_path}/documents.parquet").collect()]
     who = pickle.loads(models[0])
     rows = [r for r in rows for langs, scores in [who.predict([r["text"]])] if langs[0] != "und" and scores[0] >= 0.3]
-    groups = dict((d, c) for d, _, c, _ in brute_groups([(r["doc_id"], r["text"]) for r in rows]))
+    groups = dict((d, c) for d, _, c, _ in brute_groups([(r["doc_id"], r["text"]) for r in rows], 5, 80))
     first: dict = {}
     for r in rows:
         if groups[str(r["doc_id"])] == str(r["doc_id"]):
@@ -96,8 +96,3 @@ def test_near_copies_by_five_words_and_four_fifths(spark):
     got = sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect())
     assert [d for d in got if d >= 9100] == [9100, 9102, 9103]
     assert got == sorted(int(d) for d, n, c, _ in brute_groups(rows, 5, 80) if not n or d == c)
-
-
-def test_run_like_brute_force_of_five_words(spark, tmp_path, monkeypatch):
-    monkeypatch.setitem(globals(), "brute_groups", lambda rows, whole=brute_groups: whole(rows, 5, 80))
-    test_run_like_brute_force(spark, tmp_path, monkeypatch)

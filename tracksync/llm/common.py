@@ -70,18 +70,29 @@ def quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def filter_rows(df: DataFrame, column: str, keep: Callable[[list], list[bool]], rows: int = 1024) -> DataFrame:
-    """The rows of ``df`` for whose values of ``column`` ``keep`` says True; any column names, one narrow pass."""
-    at = df.columns.index(column)
-    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+#: Texts may be long: rows of one Arrow batch between Spark and a Python worker.
+ROWS_PER_BATCH = 1000
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin in range(0, batch.num_rows, rows):
-                part = batch.slice(begin, rows)
-                yield part.filter(pa.array(keep(part.column(at).to_pylist()), pa.bool_()))
 
-    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
+def small_batches(spark: SparkSession) -> None:
+    """Have the session send at most ROWS_PER_BATCH rows to a Python worker at once (it may be set lower)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ROWS_PER_BATCH:
+        spark.conf.set(key, str(ROWS_PER_BATCH))
+
+
+def filter_rows(df: DataFrame, column: str, keep: Callable[[list], list[bool]]) -> DataFrame:
+    """The rows of ``df`` for whose values of ``column`` ``keep`` says True; any column names, one narrow pass.
+
+    Only ``column`` goes to the Python workers, and one flag comes back.
+    """
+    small_batches(df.sparkSession)
+
+    @F.arrow_udf("boolean")
+    def kept(values: pa.Array) -> pa.Array:
+        return pa.array(keep(values.to_pylist()), pa.bool_())
+
+    return df.filter(kept(quoted(column)))
 
 
 _HELD: dict = {}
@@ -95,5 +106,6 @@ def held_by_worker(name: str, key: int, make: Callable):
     """
     if (name, key) not in _HELD:
         _HELD.clear()
+        pa.default_memory_pool().release_unused()
         _HELD[name, key] = make()
     return _HELD[name, key]

@@ -22,20 +22,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import filter_rows, held_by_worker, materialise, quoted, read_table, register
+from .common import filter_rows, held_by_worker, materialise, quoted, read_table, register, small_batches
 
-RUN = re.compile(r"[^\W\d_]+")
+RUN = re.compile(r"[^\W\d_]+")  # letters, and the few numbers that are no decimal digits: see letters()
 LONGEST = 64
 REMEMBERED = 250_000
 UNDECIDED = "und"
 
-#: Bounds of the training sample: documents of each language, letter runs of each document.
-DOCS_PER_LANGUAGE = 500
-RUNS_PER_DOC = 60
+#: Bound of the training sample: documents of each language, each read whole.
+DOCS_PER_LANGUAGE = 64
 #: Most languages a network may tell apart: their counts are broadcast.
 MAX_LANGUAGES = 10_000
 
 
+def letters(run: str) -> list[str]:
+    """The runs of letters in a run of letters and numbers such as \u00bd, \u00b2, \u2167."""
+    return [run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split()
+
+
 def sequences(run: str) -> list[bytes]:
     data = run.encode()
     return [data[i:i + LONGEST] for i in range(0, len(data), LONGEST)]
@@ -188,12 +192,13 @@ class Identifier:
     def _learn_runs(self, new: list[str]) -> None:
         parts, owner = [], []
         for i, run in enumerate(new):
-            for s in sequences(run):
+            for s in (s for own in letters(run) for s in sequences(own)):
                 parts.append(s)
                 owner.append(i)
         made = np.zeros((len(new), len(self.languages) + 1))
-        np.add.at(made[:, :-1], owner, self.network.label_sums(parts))
-        made[:, -1] = [len(r.encode()) for r in new]
+        if parts:
+            np.add.at(made[:, :-1], owner, self.network.label_sums(parts))
+            np.add.at(made[:, -1], owner, [len(s) for s in parts])
         begin = len(self.known)
         while len(self.sums) < begin + len(new):
             self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
@@ -212,11 +217,8 @@ class Identifier:
             self._learn_runs(sorted(new))
         out = []
         for rs in runs:
-            if rs:
-                total = self.sums[np.fromiter(map(self.known.__getitem__, rs), np.int64, len(rs))].sum(axis=0)
-                out.append(total[:-1] / total[-1])
-            else:
-                out.append(None)
+            total = self.sums[np.fromiter(map(self.known.__getitem__, rs), np.int64, len(rs))].sum(axis=0) if rs else [0]
+            out.append(total[:-1] / total[-1] if total[-1] > 0 else None)
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -234,18 +236,20 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(quoted(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, runs_per_doc: int = RUNS_PER_DOC, hidden: int = 16, epochs: int = 3) -> bytes:
-    """Fit on at most ``docs_per_language`` labelled documents of each language, ``runs_per_doc`` letter runs of each.
+def train(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, hidden: int = 16, epochs: int = 3) -> bytes:
+    """Fit on at most ``docs_per_language`` labelled documents of each language, on all their letters.
 
     Only documents with text, lang and doc_id that are not held out; the lowest hashes of
     doc_id are taken.  The sample is bounded, so the fit runs in one task; returns the pickled
-    Identifier.  No labelled rows: an identifier that decides nothing.
+    Identifier.  No labelled rows, as of an empty table: an identifier that decides nothing.
+    Repeated rows are drawn like others, rows of one id all or none (ties: the first texts).
     """
+    small_batches(docs.sparkSession)
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()) \
         .select("lang", "text", F.xxhash64("doc_id").alias("_h"))
     # twice the bound by hash first, which any partition can tell, then the lowest hashes of those
     counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
-    drawn_share = F.pmod(F.col("_h"), F.lit(1 << 30)) * F.col("_n") < F.lit(2 * docs_per_language * (1 << 30))
+    drawn_share = F.pmod(F.col("_h"), F.lit(1 << 30)) < F.lit(float(2 * docs_per_language * (1 << 30))) / F.col("_n")
     counts = materialise(counts, "language-counts")
     if counts.count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -256,11 +260,9 @@ def train(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, runs_per_
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, kept = [], []
-            for lang, text, h in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                runs = RUN.findall(text.lower())
-                pick = np.random.default_rng(h & 0xFFFFFFFF).permutation(len(runs))[:runs_per_doc]
+            for lang, text in zip(*(c.to_pylist() for c in batch.columns[:2]), strict=True):
                 langs.append(lang)
-                kept.append(" ".join(runs[i] for i in sorted(pick)))
+                kept.append(" ".join(own for run in RUN.findall(text.lower()) for own in letters(run)))
             yield pa.RecordBatch.from_pydict({"lang": pa.array(langs, pa.string()), "runs": pa.array(kept, pa.string()), "h": batch.column(2)})
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,8 +286,10 @@ def loaded(model: bytes) -> Identifier:
 def identify(df: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, lang_pred, score of every whole text; the prediction reads the text alone.
 
-    Null texts and texts without a letter give ``und`` and 0.0.  One row per row.
+    Null texts and texts without a letter give ``und`` and 0.0.  One row per row, repeated ones too; an
+    empty table gives none.
     """
+    small_batches(df.sparkSession)
     held = df.sparkSession.sparkContext.broadcast(model)
     source = df.select(quoted(id_col), quoted(text_col))
     kind = source.schema[id_col].dataType.simpleString()

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_by_worker, quoted, read_table, register
+from .common import held_by_worker, quoted, read_table, register, small_batches
 
 MARK = "▁"
 # Fixed values of the model format: piece kinds and the model kind.
@@ -342,7 +342,9 @@ def encode_pieces(df: DataFrame, model: bytes, id_col: str = "doc_id", text_col:
 
     ``model`` is the content of a model file, broadcast.  Null texts encode as empty ones:
     the begin and end id.  Texts are taken whole, one row per row; other columns are not read.
+    An empty table gives no rows.
     """
+    small_batches(df.sparkSession)
     held = df.sparkSession.sparkContext.broadcast(model)
     source = df.select(quoted(id_col), quoted(text_col))
     kind = source.schema[id_col].dataType.simpleString()
