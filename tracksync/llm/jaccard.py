@@ -17,7 +17,8 @@ verified.  The orders all put rare tokens first, so that a prefix says much:
    under the other two filter the pairs.
 5. Pairs of small buckets are verified one by one.  A bucket of more than ``BUCKET`` classes
    is cut into blocks of about ``BLOCK``, and pairs of blocks are verified by matrix products,
-   so no task holds a whole bucket and no row is made for a pair that does not link; each block
+   so no task holds a whole bucket and no row is made for a pair that does not link; the prefixes
+   of the other orders filter there as well; each block
    pair returns link counts and a star for each linked group.
 6. Components of the links give each document its class of the join.
 
@@ -35,13 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_by_worker, materialise, quoted, read_table, register
+from .common import held_by_worker, materialise, quoted, read_table, register, small_batches, with_row_id
 from .components import components
 
 #: One token in this many is in the space of the first order.
 SPACE = 4
 BUCKET = 64
 BLOCK = 512
+#: A class with at least one in this many of all documents is hot; there are at most as many.
+HOT_SHARE = 1000
 #: Keys (a long each) a broadcast may hold; more are joined by a shuffle.
 BROADCAST_KEYS = 1_000_000
 
@@ -140,11 +143,12 @@ def _whole_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "cid long, n long, weight long, tokens array<long>")
 
 
-def _unique_tokens(sets: DataFrame) -> DataFrame:
-    """(cid, r): how many of a class's tokens no other class has."""
-    tokens = sets.select("cid", F.explode("tokens").alias("token"))
-    owner = tokens.groupBy("token").agg(F.min("cid").alias("cid"), F.max("cid").alias("_last")).filter("cid = _last")
-    return owner.groupBy("cid").agg(F.count(F.lit(1)).alias("r"))
+def _unique_tokens(sets: DataFrame, *keys: str) -> DataFrame:
+    """(keys, r): how many of the tokens of a class, named by ``keys``, no other class has."""
+    tokens = sets.select(*keys, F.explode("tokens").alias("token"))
+    ends = [f(k).alias(f"{k}_{n}") for k in keys for n, f in (("least", F.min), ("most", F.max))]
+    owner = tokens.groupBy("token").agg(*ends).filter(" AND ".join(f"{k}_least = {k}_most" for k in keys))
+    return owner.groupBy(*[F.col(f"{k}_least").alias(k) for k in keys]).agg(F.count(F.lit(1)).alias("r"))
 
 
 def _small(keys: DataFrame) -> DataFrame:
@@ -157,7 +161,10 @@ def _linked(common, n, m, percent: int):
 
 
 def _block_links(percent: int):
-    """Verify one pair of blocks of one bucket: rows (cid, n, weight, kept, bigs, block), the key (token, i, j)."""
+    """Verify one pair of blocks of one bucket: rows (cid, n, weight, kept, p3, p4, bigs, block), the key (token, i, j).
+
+    Rows of a bucket share a token of the second order's prefixes; pairs must share one of the third's and fourth's, too.
+    """
 
     def run(key, table):
         token, i, j = (k.as_py() for k in key)
@@ -166,8 +173,10 @@ def _block_links(percent: int):
         table, block, cid = table.take(pa.array(order)), block[order], cid[order]
         n, weight = table["n"].to_numpy(), table["weight"].to_numpy()
         rows = len(cid)
-        common = _common(table["kept"], rows)
-        pairs = _linked(common, n[:, None], n[None, :], percent) & (block[:, None] != block[None, :] if i != j else np.ones((rows, rows), bool))
+        pairs = _common(table["p3"], rows) > 0
+        pairs &= _common(table["p4"], rows) > 0
+        common = _common(table["kept"], rows) if pairs.any() else np.zeros((rows, rows), np.int64)
+        pairs &= _linked(common, n[:, None], n[None, :], percent) & (block[:, None] != block[None, :] if i != j else np.ones((rows, rows), bool))
         # a pair is counted in the first of the large buckets it shares: by token
         lists = table["bigs"].combine_chunks()
         before = [[t for t in b.as_py() if t < token] for b in lists]
@@ -210,7 +219,7 @@ def similar_classes(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame
     """``sets`` (cid, n, weight, tokens), materialised -> edges (a, b) spanning every linked group, and (cid, links)."""
     least = lambda n: F.expr(f"(({percent}) * {n} + 99) div 100")
     for _ in range(2):  # step 3
-        alive = sets.join(_unique_tokens(sets), "cid", "left").filter(F.col("n") - F.coalesce("r", F.lit(0)) >= least("n")).select("cid")
+        alive = sets.join(_unique_tokens(sets, "cid"), "cid", "left").filter(F.col("n") - F.coalesce("r", F.lit(0)) >= least("n")).select("cid")
         sets = materialise(sets.join(_small(materialise(alive, "jaccard-alive")), "cid", "left_semi"), "jaccard-sets")
     # step 4: tokens of two classes or more, with their frequency
     tokens = sets.select("cid", F.explode("tokens").alias("token"))
@@ -255,7 +264,7 @@ def similar_classes(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame
     blocks = bigs.withColumn("blocks", F.floor((F.col("m") + BLOCK - 1) / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .select("cid", "token", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    stars = blocks.join(full.select("cid", "n", "weight", "kept", "bigs"), "cid").groupBy("token", "i", "j").applyInArrow(_block_links(percent), "a long, b long, links long")
+    stars = blocks.join(full.select("cid", "n", "weight", "kept", "p3", "p4", "bigs"), "cid").groupBy("token", "i", "j").applyInArrow(_block_links(percent), "a long, b long, links long")
     stars = materialise(stars, "jaccard-stars")
     edges = verified.select("a", "b").unionByName(stars.select("a", "b"))
     links = verified.select(F.col("a").alias("cid"), F.col("b_weight").alias("links")).unionByName(verified.select(F.col("b").alias("cid"), F.col("a_weight").alias("links"))) \
@@ -269,26 +278,40 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``component_id`` is the smallest id reachable by links, ``n_links`` the number of other
     documents within the threshold.  A document without words has no links and is its own
     component.  Null ids are compared like any other but name no component.  Repeated rows and
-    equal texts link.  Other columns are not read.
+    equal texts link.  Texts of any length are taken whole; an empty table gives no rows.  Other columns,
+    whatever their names, are not read.
     """
     docs = df.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text"))
+    small_batches(df.sparkSession)
     rows = materialise(_measured(docs, words), "jaccard-rows")
     known = rows.filter("n > 0")
     classes = materialise(known.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("weight")), "jaccard-classes")
     # step 2: n - r >= ceil(percent * n / 100) is what the prefix of the first order asks
-    unique = _unique_tokens(known.select(F.col("h1").alias("cid"), "tokens")).withColumnRenamed("cid", "h1")
-    alive = classes.join(unique, "h1", "left").filter(100 * (F.col("n") - F.coalesce("r", F.lit(0))) >= percent * F.col("n"))
-    alive = materialise(alive.select(F.col("h1").alias("cid"), "n", "weight", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("text_hash")), "jaccard-alive")
-    texts = docs.withColumn("text_hash", F.xxhash64("text")).join(_small(alive), "text_hash").filter(F.col("doc_id").eqNullSafe(F.col("first_id"))).dropDuplicates(["cid"])
+    unique = _unique_tokens(known, "h1", "h2")
+    alive = classes.join(unique, ["h1", "h2"], "left").filter(100 * (F.col("n") - F.coalesce("r", F.lit(0))) >= percent * F.col("n"))
+    # from here on a class has a number of its own
+    alive = materialise(with_row_id(alive.select("h1", "h2", "n", "weight", "least_id", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("text_hash")), "cid"), "jaccard-alive")
+    id_hash = lambda c: F.xxhash64(F.col(c)).alias("id_hash")
+    firsts = alive.select("cid", "n", "weight", "first_id", "text_hash", id_hash("first_id"))
+    texts = docs.select("*", F.xxhash64("text").alias("text_hash"), id_hash("doc_id")).join(_small(firsts), ["text_hash", "id_hash"]) \
+        .filter(F.col("doc_id").eqNullSafe(F.col("first_id"))).dropDuplicates(["cid"])
     sets = materialise(_whole_sets(texts.select("cid", "n", "weight", "text"), words), "jaccard-sets")
     edges, links = similar_classes(sets, percent)
     roots = components(edges)
-    joined = classes.select(F.col("h1").alias("node"), "least_id").join(roots, "node")
-    named = joined.join(joined.groupBy("root").agg(F.min("least_id").alias("component_id")), "root").select(F.col("node").alias("h1"), "component_id")
-    found = classes.join(named, "h1", "left").join(links.withColumnRenamed("cid", "h1"), "h1", "left") \
-        .select("h1", "h2", F.coalesce("component_id", "least_id").alias("component_id"), (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return rows.select("doc_id", "text_hash", "n", "h1", "h2").join(found, ["h1", "h2"], "left") \
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "text_hash")
+    joined = alive.select(F.col("cid").alias("node"), "h1", "h2", "least_id").join(roots, "node")
+    named = joined.join(joined.groupBy("root").agg(F.min("least_id").alias("component_id")), "root").select(F.col("node").alias("cid"), "h1", "h2", "component_id")
+    linked = named.join(links, "cid", "left").select("h1", "h2", "component_id", "links")
+    found = materialise(classes.join(linked, ["h1", "h2"], "left").select(
+        "h1", "h2", "weight", F.coalesce("component_id", "least_id").alias("component_id"), (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "jaccard-found")
+    # documents of hot classes meet their class in place: at most HOT_SHARE classes are sent to all tasks
+    own = rows.select("doc_id", "text_hash", "n", "h1", "h2")
+    total = classes.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
+    hot = F.broadcast(found.filter(F.col("weight") * HOT_SHARE >= max(total, HOT_SHARE * HOT_SHARE)))
+    some, set_of = own.filter("n > 0"), ["h1", "h2"]
+    met = some.join(hot, set_of).unionByName(some.join(hot.select(*set_of), set_of, "left_anti").join(found, set_of))
+    out = ["doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links", "text_hash"]
+    alone = own.filter("n = 0").withColumn("component_id", F.col("doc_id")).withColumn("n_links", F.lit(0).cast("long"))
+    return met.withColumn("component_id", F.coalesce("component_id", "doc_id")).select(*out).unionByName(alone.select(*out))
 
 
 def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
