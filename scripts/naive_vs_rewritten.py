@@ -59,7 +59,8 @@ def main() -> None:
 
     # spatial: grid equi-join vs a bounding-box theta join (nested loop)
     out["spatial_grid"] = timed(spatial.points_in_areas(fx["fx_points"], fx["fx_area_edges"]))
-    polys = spatial.polygons(fx["fx_area_edges"])
+    rings = fx["fx_area_edges"].groupBy("area_id").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+    polys = spatial.polygons(fx["fx_area_edges"]).join(rings, "area_id")
     pts = fx["fx_points"]
     bbox = ((pts["x"] >= polys["minx"]) & (pts["x"] <= polys["maxx"])
             & (pts["y"] >= polys["miny"]) & (pts["y"] <= polys["maxy"]))

@@ -133,6 +133,42 @@ def test_spatial_grid_equals_brute_force(spark):
     assert got == want and len(want) > 50
 
 
+def test_large_polygon_is_tested_edge_by_strip(spark):
+    """A ring of 20,000 edges, a comb of tall teeth and one of flat teeth: few edges for a point, equal to all edges."""
+    import numpy as np
+
+    rnd = np.random.default_rng(5)
+    angle = np.linspace(0, 2 * np.pi, 20_000, endpoint=False)
+    radius = 400 + 30 * np.sin(9 * angle) + rnd.uniform(-1, 1, len(angle))
+    shapes = {1: [(float(a), float(b)) for a, b in zip(500 + radius * np.cos(angle), 500 + radius * np.sin(angle), strict=True)]}
+    teeth = [(k, 900.0 * (k % 2)) for k in range(0, 601)]
+    shapes[2] = [(float(x), y) for x, y in teeth] + [(600.0, -50.0), (0.0, -50.0)]
+    shapes[3] = [(y, float(x)) for x, y in shapes[2]]
+    rows = [(n, "area", k, *a, *b) for n, vs in shapes.items() for k, (a, b) in enumerate(zip(vs, vs[1:] + vs[:1], strict=True))]
+    E = spark.createDataFrame(rows, "area_id int, name string, seq int, x1 double, y1 double, x2 double, y2 double")
+    # whole-number points lie on teeth; one of them is there twice
+    pts = [(i, float(x), float(y)) for i, (x, y) in enumerate(rnd.integers(-60, 1000, (500, 2)))]
+    pts.append(pts[0])
+    P = spark.createDataFrame(pts, "gid_element long, x double, y double")
+    want = []
+    for n, vs in shapes.items():
+        a = np.array(vs)
+        b = np.roll(a, -1, axis=0)
+        for i, x, y in pts:
+            cross = (b[:, 0] - a[:, 0]) * (y - a[:, 1]) - (b[:, 1] - a[:, 1]) * (x - a[:, 0])
+            near = (np.minimum(a, b) <= (x, y)).all(axis=1) & (np.maximum(a, b) >= (x, y)).all(axis=1)
+            rise = b[:, 1] > a[:, 1]
+            odd = (((a[:, 1] > y) != (b[:, 1] > y)) & ((cross > 0) == rise) & (cross != 0)).sum() % 2
+            if odd or (near & (cross == 0)).any():
+                want.append((i, "area"))
+    assert sorted(tuple(r) for r in spatial.points_in_areas(P, E).collect()) == sorted(want) and len(want) > 300
+    strips = spatial.edge_strips(E, spatial.polygons(E)).select("area_id", F.size("edges").alias("n"))
+    held = {r.area_id: r for r in strips.groupBy("area_id").agg(F.sum("n").alias("rows"), F.avg("n").alias("mean"), F.max("n").alias("most")).collect()}
+    assert all(held[n]["rows"] <= 4 * len(vs) for n, vs in shapes.items())
+    # of 20,000 edges some tens; a tooth of the flat comb is one strip or two
+    assert held[1]["mean"] < 40 and held[3]["most"] < 12
+
+
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 

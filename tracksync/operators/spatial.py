@@ -7,10 +7,18 @@ area is its id: two areas may share a name.
 Plan: (1) each polygon belongs to the grid level whose cell, a power of two, is the
 smallest that is at least as long as its bounding box, so it covers at most four cells
 whatever its size or unit; (2) each point has one cell on every level in use; (3) an
-equi-join on (level, cell) with the bounding box in the cell row gives candidates; (4) an
-exact test on the polygon's edge array keeps a pair when the point lies on an edge or the
-ray crossing count is odd.  Products replace divisions, so integer coordinates are tested
-exactly.
+equi-join on (level, cell) with the bounding box in the cell row gives candidates; (4) the
+edges of a polygon lie in horizontal strips, and an equi-join on (area, strip) brings a
+candidate only the edges that its own height can meet; (5) an exact test on those edges
+keeps a pair when the point lies on one or the ray crossing count is odd.  An edge that
+reaches no height of the strip neither holds nor is crossed from any of its points, so the
+strip's edges decide like all edges.  Products replace divisions, so integer coordinates
+are tested exactly.
+
+A strip is as high as a polygon's edges are on average, rounded up to a power of two: all
+strips together hold at most about three rows an edge, and the points of one large area
+spread over its strips.  A point is tested against about as many edges as a horizontal line
+through the polygon meets: few for an outline, all teeth of a comb that stands upright.
 """
 
 from __future__ import annotations
@@ -22,13 +30,27 @@ from pyspark.sql import functions as F
 LEAST_LENGTH = 2.0 ** -40
 
 
+def _level(length: Column) -> Column:
+    """Exponent of the smallest power of two that is at least ``length``."""
+    return F.ceil(F.log2(F.greatest(length, F.lit(LEAST_LENGTH)))).cast("int")
+
+
 def polygons(edges: DataFrame) -> DataFrame:
-    """(area_id, name, edges array, bbox) per polygon.  An array holds one polygon's edges."""
-    e = F.struct("x1", "y1", "x2", "y2")
+    """(area_id, name, bounding box, strip_level) per polygon, from partial aggregates only."""
     return edges.groupBy("area_id").agg(
-        F.min("name").alias("name"), F.collect_list(e).alias("edges"),
+        F.min("name").alias("name"),
         F.min(F.least("x1", "x2")).alias("minx"), F.max(F.greatest("x1", "x2")).alias("maxx"),
-        F.min(F.least("y1", "y2")).alias("miny"), F.max(F.greatest("y1", "y2")).alias("maxy"))
+        F.min(F.least("y1", "y2")).alias("miny"), F.max(F.greatest("y1", "y2")).alias("maxy"),
+        _level(F.avg(F.abs(F.col("y2") - F.col("y1")))).alias("strip_level"))
+
+
+def edge_strips(edges: DataFrame, polys: DataFrame) -> DataFrame:
+    """(area_id, strip, edges): for each horizontal strip of an area the edges that reach into it."""
+    e = edges.select("area_id", F.struct("x1", "y1", "x2", "y2").alias("edge"))
+    e = e.join(polys.select("area_id", "strip_level"), "area_id")
+    low, high = F.least("edge.y1", "edge.y2"), F.greatest("edge.y1", "edge.y2")
+    e = e.withColumn("strip", F.explode(F.sequence(_cell(low, "strip_level"), _cell(high, "strip_level"))))
+    return e.groupBy("area_id", "strip").agg(F.collect_list("edge").alias("edges"))
 
 
 def _cell(value: Column | str, level: Column | str) -> Column:
@@ -37,10 +59,9 @@ def _cell(value: Column | str, level: Column | str) -> Column:
 
 
 def polygon_cells(polys: DataFrame) -> DataFrame:
-    """(area_id, level, cx, cy, bbox) for the at most four cells a polygon's bounding box meets."""
-    length = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"), F.lit(LEAST_LENGTH))
-    box = ["minx", "maxx", "miny", "maxy"]
-    leveled = polys.select("area_id", *box, F.ceil(F.log2(length)).cast("int").alias("level"))
+    """(area_id, name, strip_level, level, cx, cy, bbox) for the at most four cells a polygon's bounding box meets."""
+    length = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
+    leveled = polys.select("area_id", "name", "strip_level", "minx", "maxx", "miny", "maxy", _level(length).alias("level"))
     wide = leveled.withColumn("cx", F.explode(F.sequence(_cell("minx", "level"), _cell("maxx", "level"))))
     return wide.withColumn("cy", F.explode(F.sequence(_cell("miny", "level"), _cell("maxy", "level"))))
 
@@ -79,6 +100,7 @@ def points_in_areas(points: DataFrame, edges: DataFrame) -> DataFrame:
     pts = pts.withColumn("cx", _cell("x", "level")).withColumn("cy", _cell("y", "level"))
     x, y = F.col("x"), F.col("y")
     in_box = (x >= F.col("minx")) & (x <= F.col("maxx")) & (y >= F.col("miny")) & (y <= F.col("maxy"))
-    cand = pts.join(cells, ["level", "cx", "cy"]).filter(in_box).select("gid_element", "x", "y", "area_id")
-    j = cand.join(polys.select("area_id", "name", "edges"), "area_id")
+    cand = pts.join(cells, ["level", "cx", "cy"]).filter(in_box).select(
+        "gid_element", "x", "y", "area_id", "name", _cell("y", "strip_level").alias("strip"))
+    j = cand.join(edge_strips(edges, polys), ["area_id", "strip"])
     return j.filter(contains(F.col("edges"), x, y)).select("gid_element", "name")
