@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SyncConfig
+from .skew import join_hot
 
 
 def symmetric_anti_join(pairs: DataFrame, edges: DataFrame, a: str = "from_id", b: str = "to_id") -> DataFrame:
@@ -22,14 +23,14 @@ def symmetric_anti_join(pairs: DataFrame, edges: DataFrame, a: str = "from_id",
 
 def link_candidates(items: DataFrame, values: DataFrame, cfg: SyncConfig) -> DataFrame:
     """(from_id=request, to_id=dossier, relation_type) where the request's reference value
-    names the dossier's subject (bag: every matching row pair)."""
+    names the dossier's subject (bag: every matching row pair).  Many requests may name one dossier."""
     req = items.filter(F.col("type_id") == F.lit(cfg.request_type)).select(F.col("id").alias("from_id"))
     ref = values.filter((F.col("customized_type") == F.lit(cfg.entity_type))
                         & (F.col("custom_field_id") == F.lit(cfg.ref_field_id))
                         & F.col("value").isNotNull()).select(F.col("customized_id").alias("from_id"), "value")
     dos = items.filter(F.col("type_id") == F.lit(cfg.dossier_type)).select(
         F.col("id").alias("to_id"), F.col("subject").alias("value"))
-    return (req.join(ref, "from_id").join(dos, "value")
+    return (join_hot(req.join(ref, "from_id"), dos, "value", among=ref)
             .select("from_id", "to_id", F.lit(cfg.relation_type).alias("relation_type")))
 
 

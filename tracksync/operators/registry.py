@@ -23,6 +23,7 @@ from ..config import SyncConfig
 from ..functions import ElementClasses
 from ..functions.json import json_arrays_by_group
 from ..functions.text import as_text, exact
+from .skew import join_hot
 
 BUCKETS = ["n_chamber_used", "n_chamber_idle", "n_box", "n_cabinet", "n_pole", "n_duct", "n_rest"]
 
@@ -145,10 +146,13 @@ def capacity_long(registry: DataFrame, element: DataFrame, conduct: DataFrame, c
 
 def area_tags(registry: DataFrame, element: DataFrame, point_areas: DataFrame, label: str,
               cfg: SyncConfig) -> DataFrame:
-    """O-30 family: (num, attr=label, value=area name) for every element point inside an area (bag)."""
-    reg = active_registry(registry, cfg).select("id", "num")
+    """O-30 family: (num, attr=label, value=area name) for every element point inside an area (bag).
+
+    One owner may hold a third of the elements, so owners meet the registry in a join that deals them.
+    """
+    reg = active_registry(registry, cfg).select(F.col("id").alias("owner_id"), "num")
     el = element.select("gid", "owner_id").join(point_areas, element["gid"] == point_areas["gid_element"])
-    j = reg.join(el, reg["id"] == el["owner_id"])
+    j = join_hot(el.select("gid", "owner_id", "name"), reg, "owner_id", among=element)
     return j.select("num", F.lit(label).alias("attr"), F.col("name").alias("value"))
 
 

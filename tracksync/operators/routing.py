@@ -58,7 +58,11 @@ def route_by_value(items: DataFrame, values: DataFrame, fields: DataFrame, proje
 def reroute_to_parent(items: DataFrame, values: DataFrame, relations: DataFrame, projects: DataFrame,
                       cfg: SyncConfig, flag_col: str | None = None) -> DataFrame:
     """O-67: a dossier linked from a request (reference value + relation request -> dossier)
-    moves to the parent project of the request's project."""
+    moves to the parent project of the request's project.
+
+    The relation is joined first: the reference value then only confirms a known target, in a join on
+    (target, value), so a value on many requests is no join key of its own.
+    """
     req = items.filter(F.col("type_id") == F.lit(cfg.request_type)).select(
         F.col("id").alias("req_id"), F.col("project_id").alias("req_project"))
     ref = values.filter((F.col("customized_type") == F.lit(cfg.entity_type))
@@ -69,7 +73,7 @@ def reroute_to_parent(items: DataFrame, values: DataFrame, relations: DataFrame,
     rel = relations.select(F.col("from_id").alias("req_id"), F.col("to_id").alias("target_id"))
     p = projects.select(F.col("id").alias("req_project"), "parent_id")
     parent = projects.select(F.col("id").alias("parent_id"))
-    src = (req.join(ref, "req_id").join(tgt, "value").join(rel, ["req_id", "target_id"])
+    src = (req.join(ref, "req_id").join(rel, "req_id").join(tgt, ["target_id", "value"])
            .join(p, "req_project").join(parent, "parent_id")
            .select(F.col("target_id").alias("id"), F.col("parent_id").alias("new")))
     return update_items(items, src, set_col="project_id", flag_col=flag_col)
