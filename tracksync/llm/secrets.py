@@ -8,8 +8,10 @@ no shuffle.
 * Entropy kinds: for each character class the maximal runs of at least one window.  A fold
   over the run keeps the counts of the characters in the window and the sum of ``n log2 n``;
   one character enters, one leaves, and the Shannon entropy follows from that sum.  The span
-  goes from the first to the last window at or over the class's threshold.  Runs that fit the
-  allow list are left out; pattern kinds have no allow list.
+  goes from the first to the last window at or over the class's threshold.
+* Allow list, for entropy kinds only: a run that fits an entry of ``ALLOWED`` is left out.  A
+  run with one of ``ALLOWED_WORDS`` is cut at the word, and the rest on either side is a run of
+  its own: a key behind ``docs/example/`` is found as it would be alone.
 
 Positions are code points, end exclusive.  Null texts are empty.
 """
@@ -17,6 +19,7 @@ Positions are code points, end exclusive.  Null texts are empty.
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,12 +61,16 @@ CLASSES = (
     EntropyClass("entropy_base64", _UPPER + _LOWER + _DIGITS + "+/_=-", r"A-Za-z0-9+/_=\-", 24, 3.9),
 )
 
-#: Runs that look random and are none: words, numbers, identifiers, checksums, counted-up alphabets, samples.
+#: Runs that look random and are none: words, numbers, identifiers, checksums.  Each fits a run from its start.
 ALLOWED = (
     r"^[A-Za-z]?[a-z]+(?:[-_/][A-Za-z]?[a-z]+)*$", r"^[0-9]+$",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^sha(?:1|256|384|512)-", r"(?i)0123456789abcdef|abcdefghijklmnop", r"(?i)example|sample|dummy|placeholder",
+    r"^sha(?:1|256|384|512)-",
 )
+#: Counted-up alphabets and marks of samples, in either case; they belong to no window.
+ALLOWED_WORDS = ("0123456789abcdef", "abcdefghijklmnop", "example", "sample", "dummy", "placeholder")
+#: What joins a word to the rest of a run; the entries of ALLOWED do not see it at the ends of a rest.
+_JOINTS = r"^[-_/+=]+|[-_/+=]+$"
 
 _HITS = "array<struct<hit:string,start:int>>"
 #: Hits are placed in blocks of this many, then block by block.
@@ -135,20 +142,37 @@ def pattern_spans(text: Column, p: Pattern, order: int) -> Column:
     return F.transform(hits, lambda h: F.struct(h["start"].alias("start"), F.lit(order).alias("order"), (h["start"] + F.length(h["hit"])).alias("end"), F.lit(p.kind).alias("kind")))
 
 
-def entropy_spans(text: Column, c: EntropyClass, order: int, allowed=ALLOWED) -> Column:
+def runs_between(text: Column, c: EntropyClass, allowed=ALLOWED, words=ALLOWED_WORDS) -> Column:
+    """Runs of the class of at least one window, cut at allowed words, without those that fit the allow list."""
     runs = located(text, c.regex)
-    if allowed:
-        runs = F.filter(runs, lambda h: ~h["hit"].rlike("|".join(allowed)))
+    fits = (lambda run: run.rlike("|".join(allowed))) if allowed else (lambda run: F.lit(False))
+    runs = F.filter(runs, lambda h: ~fits(h["hit"]))
+    if not words:
+        return runs
+
+    def cut(h):
+        rest = h["hit"]
+        for w in words:  # a word gives way to as many blanks, which no class holds
+            rest = F.regexp_replace(rest, "(?i)" + re.escape(w), " " * len(w))
+        rests = F.filter(located(rest, c.regex), lambda r: ~fits(F.regexp_replace(r["hit"], _JOINTS, "")))
+        return F.transform(rests, lambda r: F.struct(r["hit"].alias("hit"), (h["start"] + r["start"]).alias("start")))
+
+    has_word = "(?i)" + "|".join(re.escape(w) for w in words)
+    return F.flatten(F.transform(runs, lambda h: F.when(h["hit"].rlike(has_word), cut(h)).otherwise(F.array(h))))
+
+
+def entropy_spans(text: Column, c: EntropyClass, order: int, allowed=ALLOWED, words=ALLOWED_WORDS) -> Column:
+    runs = runs_between(text, c, allowed, words)
     found = F.transform(runs, lambda h: F.struct(h["start"].alias("start"), window_span(h["hit"], c).alias("w")))
     return F.transform(F.filter(found, lambda f: f["w"]["first"] >= 0),
                        lambda f: F.struct((f["start"] + f["w"]["first"]).alias("start"), F.lit(order).alias("order"), (f["start"] + f["w"]["last"]).alias("end"), F.lit(c.kind).alias("kind")))
 
 
-def secret_spans(text: Column, patterns=PATTERNS, classes=CLASSES, allowed=ALLOWED) -> Column:
+def secret_spans(text: Column, patterns=PATTERNS, classes=CLASSES, allowed=ALLOWED, words=ALLOWED_WORDS) -> Column:
     """Array of struct(start, order, end, kind), by start and then by kind in the order given."""
     text = F.coalesce(text, F.lit(""))
     parts = [pattern_spans(text, p, i) for i, p in enumerate(patterns)]
-    parts += [entropy_spans(text, c, len(patterns) + i, allowed) for i, c in enumerate(classes)]
+    parts += [entropy_spans(text, c, len(patterns) + i, allowed, words) for i, c in enumerate(classes)]
     return F.array_sort(F.concat(*parts))
 
 
