@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from tracksync.operators import links, registry, routing
@@ -81,3 +83,23 @@ def test_links_tags_and_rerouting_under_a_hot_value(spark):
         if owner < 30:
             want[(f"n{owner}", "area", "box")] = want.get((f"n{owner}", "area", "box"), 0) + 1
     assert {tuple(r)[:3]: r["count"] for r in tags.collect()} == want
+
+
+def test_json_segments_of_a_hot_group_make_its_array(spark):
+    n = 9_000
+    # owner 0 holds a third of the elements, NULL kinds among them; three active owners share a group
+    el = spark.range(n).select(F.col("id").alias("gid"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("owner_id"),
+                               F.when(F.col("id") % 7 > 0, F.concat(F.lit('k"'), F.col("id"))).alias("kind"), F.lit(None).cast("string").alias("uso"))
+    reg = spark.createDataFrame([(i, f"n{max(i, 2)}", CFG.operator_id if i < 30 else -1, "m", None) for i in range(40)],
+                                "id long, num string, operator_id int, miga string, state string")
+    whole = {r["num"]: (r["kinds"], r["usos"]) for r in registry.element_json_lists(reg, el, CFG).collect()}
+    parts: dict = {}
+    for r in registry.element_json_segments(reg, el, CFG, chunk=500).orderBy("segment").collect():
+        assert len(json.loads(r["kinds"])) <= 500
+        parts.setdefault(r["num"], []).append((r["kinds"][1:-1], r["usos"][1:-1]))
+    assert len(parts["n2"]) == n // 500 and set(whole) == set(parts)
+    for num, pieces in parts.items():
+        assert whole[num] == tuple(f"[{','.join(p)}]" for p in zip(*pieces, strict=True))
+    want = [None if g % 7 == 0 else f'k"{g}' for g in range(n) if (0 if g % 3 == 0 else g % 40) <= 2]
+    assert json.loads(whole["n2"][0]) == want
+    assert registry.element_json_segments(reg, el.filter("false"), CFG).count() == 0

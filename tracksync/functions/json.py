@@ -34,28 +34,33 @@ def json_array_keep_nulls(value: Column | str, order_by: Column | str) -> Column
     return F.to_json(F.transform(items, lambda r: r["v"]))
 
 
+def json_segments_by_group(df: DataFrame, group_cols: Sequence[str], values: Sequence[tuple[str, str]],
+                           order_col: str, chunk: int = 10_000) -> DataFrame:
+    """``json_agg(value ORDER BY order_col)`` per group in ordered pieces: (group, segment, arrays), NULLs kept.
+
+    A segment is the JSON array of one range of ``order_col`` of width ``chunk``; the arrays of a group one
+    after another, by segment, hold its elements in order.  Where the integer order key is unique, a row holds at
+    most ``chunk`` elements and no task holds a group, however large.  ``values`` lists (column, output name).
+    """
+    part = F.floor(F.col(order_col) / F.lit(chunk)).alias("segment")
+    return df.groupBy(*group_cols, part).agg(*[json_array_keep_nulls(c, order_col).alias(name) for c, name in values])
+
+
 def json_arrays_by_group(df: DataFrame, group_cols: Sequence[str], values: Sequence[tuple[str, str]],
                          order_col: str, chunk: int = 10_000) -> DataFrame:
-    """Several ``json_agg(value ORDER BY order_col)`` per group, NULLs kept, built in two levels.
-
-    Level 1 serialises sorted partial arrays per (group, order_col range of width
-    ``chunk``); where the integer order key is unique and dense, a partial holds at most
-    ``chunk`` elements and a group holding a third of all rows is spread over many tasks.
-    ``chunk`` never changes the result.
-    Level 2 only joins the partial texts of a group in range order.  The final
-    value is one array per group by definition, so its size is the group's size.
-    ``values`` lists (column, output name).
-    """
-    part = F.floor(F.col(order_col) / F.lit(chunk)).alias("_chunk")
-    partial = df.groupBy(*group_cols, part).agg(
-        *[json_array_keep_nulls(c, order_col).alias(name) for c, name in values])
+    """Several ``json_agg(value ORDER BY order_col)`` per group, NULLs kept, each one text.
 
+    Joins the segments of :func:`json_segments_by_group` in their order; ``chunk`` never changes the
+    result.  A text is a whole group by definition; large groups are better read as segments.
+    """
     def inner(name: str) -> Column:
-        # '[a,b]' -> 'a,b' ; each partial holds at least one element
+        # '[a,b]' -> 'a,b' ; each segment holds at least one element
         return F.expr(f"substring(`{name}`, 2, length(`{name}`) - 2)")
 
-    merged = partial.groupBy(*group_cols).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_chunk"), *[inner(n).alias(n) for _, n in values]))).alias("_p"))
+    segments = json_segments_by_group(df, group_cols, values, order_col, chunk)
+    merged = segments.groupBy(*group_cols).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("segment"), *[inner(n).alias(n) for _, n in values]))).alias("_p"))
+
     def joined(name: str) -> Column:
         return F.concat(F.lit("["), F.array_join(F.transform("_p", lambda p: p[name]), ","), F.lit("]"))
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..config import SyncConfig
 from ..functions import ElementClasses
-from ..functions.json import json_arrays_by_group
+from ..functions.json import json_arrays_by_group, json_segments_by_group
 from ..functions.text import as_text, exact
 from .skew import join_hot
 
@@ -57,16 +57,24 @@ def bucket_counts(registry: DataFrame, element: DataFrame, cfg: SyncConfig) -> D
         *[F.sum(b).cast("long").alias(b) for b in BUCKETS], F.sum("total").cast("long").alias("total"))
 
 
+def _element_kinds(registry: DataFrame, element: DataFrame, cfg: SyncConfig) -> DataFrame:
+    reg = active_registry(registry, cfg).select(F.col("id").alias("owner_id"), "num", "miga", "state")
+    return join_hot(element.select("gid", "owner_id", "kind", "uso"), reg, "owner_id", among=element)
+
+
 def element_json_lists(registry: DataFrame, element: DataFrame, cfg: SyncConfig) -> DataFrame:
     """O-37: ``json_agg(kind)``, ``json_agg(uso)`` per (num, miga, state), NULLs kept, ordered by gid.
 
-    The output is one JSON array per group by definition, so its size is the
-    number of elements of the group; the per-element work is split over gid ranges
-    (see :func:`functions.json.json_arrays_by_group`); nothing downstream reads it.
+    One text a group; :func:`element_json_segments` is the form for groups of any size.
     """
-    reg = active_registry(registry, cfg).select("id", "num", "miga", "state")
-    j = reg.join(element.select("gid", "owner_id", "kind", "uso"), reg["id"] == element["owner_id"])
-    return json_arrays_by_group(j, ["num", "miga", "state"], [("kind", "kinds"), ("uso", "usos")], "gid")
+    return json_arrays_by_group(_element_kinds(registry, element, cfg), ["num", "miga", "state"],
+                                [("kind", "kinds"), ("uso", "usos")], "gid")
+
+
+def element_json_segments(registry: DataFrame, element: DataFrame, cfg: SyncConfig, chunk: int = 10_000) -> DataFrame:
+    """O-37 in pieces: (num, miga, state, segment, kinds, usos), a segment for each ``chunk`` gids with an element."""
+    return json_segments_by_group(_element_kinds(registry, element, cfg), ["num", "miga", "state"],
+                                  [("kind", "kinds"), ("uso", "usos")], "gid", chunk)
 
 
 def to_long(df: DataFrame, id_cols: Sequence[str], label_by_col: Sequence[tuple[str, str]],

@@ -101,6 +101,16 @@ def q_json_agg(spark, sf):
     return registry.element_json_lists(fx["fx_registry"], fx["fx_element"], CFG)
 
 
+@register("q_json_segments", _sql(_ELEMENTS, select="""
+SELECT num, miga, state, CAST(gid // 10000 AS BIGINT) AS segment, CAST(to_json(list(kind ORDER BY gid)) AS VARCHAR) AS kinds,
+ CAST(to_json(list(uso ORDER BY gid)) AS VARCHAR) AS usos
+FROM fx_element JOIN active ON active.id = owner_id GROUP BY ALL"""))
+def q_json_segments(spark, sf):
+    """O-37 for groups of any size: the arrays of q_json_agg in ordered pieces of 10,000 gids."""
+    fx = fixtures(spark, sf, *_ELEMENTS)
+    return registry.element_json_segments(fx["fx_registry"], fx["fx_element"], CFG)
+
+
 @register("q_spatial_point_in_area", oracle_ctes("fx_points", "fx_area_edges") + ", " + oracles.points_in("fx_area_edges", "in_area") + "\nFROM in_area")
 def q_spatial_point_in_area(spark, sf):
     """O-30 (R10): grid equi-join + exact boundary-inclusive test over areas of which two share a
