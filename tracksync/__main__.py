@@ -2,7 +2,8 @@
 
   python -m tracksync sync       --config FILE --tables DIR --out ROOT [--run-id ID] [--restart]
   python -m tracksync export-all --config FILE --out ROOT --dest PATH [--format csv|parquet]
-  python -m tracksync export-filtered --pages DIR --filters JSON --labels JSON --dest PATH
+  python -m tracksync save-items --pages DIR --dest PATH
+  python -m tracksync export-filtered (--pages DIR | --items PATH) --filters JSON --labels JSON --dest PATH
 
 ``sync`` goes on from the items, values and relations of the last run published under ROOT; the first run
 (or one with ``--restart``) takes them from DIR.  It reads DIR/<name> for items, values, fields, projects, relations,
@@ -10,7 +11,8 @@ state_days, history, registry, element, conduct, md, points and area_<label>
 (edge tables with area_id, one per area layer), runs the twenty steps and publishes items,
 values and relations (with the field dictionary it used) as one run under ROOT.
 ``export-all`` widens the custom fields of the last published run;
-``export-filtered`` reads saved API pages.
+``save-items`` turns saved API pages into a table of items whose members are columns of the file;
+``export-filtered`` reads saved API pages, or the members it needs of such a table.
 The session comes from ``SparkSession.builder`` (spark-submit supplies the cluster).
 """
 
@@ -28,6 +30,7 @@ from .config import SyncConfig
 from .operators import export
 from .plans.publish import current_parts, current_run, publish, read_current
 from .plans.sync import SyncInputs, run_sync
+from .sources.item_table import read_items, save_items
 from .sources.pages import read_pages
 
 TABLES = ["items", "values", "fields", "projects", "relations", "state_days", "history", "registry", "element",
@@ -57,9 +60,13 @@ def cmd_export_all(spark: SparkSession, out: str, dest: str, fmt: str, cfg: Sync
     export.write_table(export.export_all(items, values, fields, cfg.entity_type), dest, fmt)
 
 
-def cmd_export_filtered(spark: SparkSession, pages: str, filters: str, labels: str, dest: str, fmt: str,
-                        page_size: int) -> None:
-    items = read_pages(spark, pages, page_size, multi_line=True)
+def cmd_save_items(spark: SparkSession, pages: str, dest: str, page_size: int) -> None:
+    save_items(read_pages(spark, pages, page_size, multi_line=True).select("item"), dest, mode="overwrite")
+
+
+def cmd_export_filtered(spark: SparkSession, pages: str | None, filters: str, labels: str, dest: str, fmt: str,
+                        page_size: int, items_path: str | None = None) -> None:
+    items = read_items(spark, items_path) if items_path else read_pages(spark, pages, page_size, multi_line=True)
     lab = {int(k): v for k, v in json.loads(labels).items()}
     out = export.require_rows(export.export_filtered(items, json.loads(filters), lab))
     export.write_table(out, dest, fmt)
@@ -79,8 +86,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     a.add_argument("--out", required=True)
     a.add_argument("--dest", required=True)
     a.add_argument("--format", default="csv")
+    i = sub.add_parser("save-items")
+    i.add_argument("--pages", required=True)
+    i.add_argument("--dest", required=True)
+    i.add_argument("--page-size", type=int, default=1000)
     f = sub.add_parser("export-filtered")
-    f.add_argument("--pages", required=True)
+    given = f.add_mutually_exclusive_group(required=True)
+    given.add_argument("--pages")
+    given.add_argument("--items", help="items written by save-items")
     f.add_argument("--filters", required=True, help='JSON object {"field": ["value", ...]}')
     f.add_argument("--labels", required=True, help='JSON object {"1": "label", ...}')
     f.add_argument("--dest", required=True)
@@ -93,8 +106,10 @@ def main(argv: Sequence[str] | None = None) -> None:
         print(cmd_sync(spark, args.tables, args.out, args.run_id, cfg, args.restart))
     elif args.cmd == "export-all":
         cmd_export_all(spark, args.out, args.dest, args.format, cfg)
+    elif args.cmd == "save-items":
+        cmd_save_items(spark, args.pages, args.dest, args.page_size)
     else:
-        cmd_export_filtered(spark, args.pages, args.filters, args.labels, args.dest, args.format, args.page_size)
+        cmd_export_filtered(spark, args.pages, args.filters, args.labels, args.dest, args.format, args.page_size, args.items)
 
 
 if __name__ == "__main__":

@@ -1,39 +1,63 @@
 """Exports: AND-of-INs filter over API items, label projection, JSON widening, hygiene, writers.
 
-API items are rows with one ``map<string,variant>`` column (default ``item``): each JSON
-member with its type.  The key set is open (custom fields appear and disappear), so a map,
-not a struct.
+API items are rows with one ``map<string,variant>`` or ``variant`` column (default ``item``): each
+JSON member with its type.  The key set is open (custom fields appear and disappear), so no
+struct.  Parsed pages are maps; items saved by ``sources.item_table`` are variants, of which a scan reads
+the members in use alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
 from ..functions import all_of, clean_string_columns, is_object, name_of, python_str, raw_or_self, value_text
 from ..session import scratch_path
 from . import eav
 
 
+def _variant_member(item: Column, key: str) -> Column:
+    """A member of a variant object with its type: SQL NULL where it is missing, a JSON null where it is null."""
+    for quote in "'\"":
+        # a path that the scan can prune by; it has no escapes
+        if re.fullmatch(rf"[^{quote}?]+", key):
+            return F.variant_get(item, f"$[{quote}{key}{quote}]", "variant")
+    return F.variant_get(item, "$", "map<string,variant>")[key]
+
+
+def _members(items: DataFrame, item_col: str) -> Callable[[str], Column]:
+    item = F.col(item_col)
+    if isinstance(items.schema[item_col].dataType, VariantType):
+        return lambda key: _variant_member(item, key)
+    return lambda key: item[key]
+
+
+def _is_wanted(present: Column, value: Column, expected: Sequence[object]) -> Column:
+    wanted = [str(v) for v in expected]
+    return F.when(present, python_str(value)).otherwise(F.lit("")).isin(wanted) if wanted else F.lit(False)
+
+
 def filter_and(items: DataFrame, filters: Mapping[str, Sequence[object]], item_col: str = "item") -> DataFrame:
     """O-14: keep items whose every filtered field, stringified as Python would, is in its list.
 
     Missing key -> '' ; object -> its ``raw`` member or '' ; JSON null -> 'None';
     booleans -> 'True' / 'False'.  An empty filter map keeps all; an empty list keeps none.
 
-    The predicate reads the item map many times; it is bound once as a lambda variable
+    The predicate reads a parsed map many times; it is bound once as a lambda variable
     (``exists(array(item), m -> ...)``), so that pushing the filter below the projection that
-    parses the item copies the parse once and not into every reference.
+    parses the item copies the parse once and not into every reference.  Of a variant it asks for each
+    member by its path, so that a scan of saved items reads the filtered members and no others.
     """
+    if isinstance(items.schema[item_col].dataType, VariantType):
+        member = _members(items, item_col)
+        return items.filter(all_of([_is_wanted(member(f).isNotNull(), member(f), expected) for f, expected in filters.items()]))
+
     def keep(m: Column) -> Column:
-        preds: list[Column] = []
-        for field, expected in filters.items():
-            text = F.when(F.map_contains_key(m, F.lit(field)), python_str(m[field])).otherwise(F.lit(""))
-            wanted = [str(v) for v in expected]
-            preds.append(text.isin(wanted) if wanted else F.lit(False))
-        return all_of(preds)
+        return all_of([_is_wanted(F.map_contains_key(m, F.lit(f)), m[f], expected) for f, expected in filters.items()])
 
     return items.filter(F.exists(F.array(F.col(item_col)), keep))
 
@@ -48,21 +72,21 @@ def label_projection(items: DataFrame, labels: Mapping[int, str], item_col: str
     ``strict``: a subject object without ``raw`` fails the job (as the original export
     did) instead of giving NULL.
     """
-    m = F.col(item_col)
+    member = _members(items, item_col)
     out: list[Column] = []
     for key, name in base:
         if key == "subject":
-            subject = raw_or_self(m[key])
+            subject = raw_or_self(member(key))
             if strict:
-                missing_raw = is_object(m[key]) & F.variant_get(m[key], "$.raw", "string").isNull()
+                missing_raw = is_object(member(key)) & F.variant_get(member(key), "$.raw", "string").isNull()
                 subject = F.when(missing_raw, F.raise_error(F.lit("subject object without 'raw'"))) \
                     .otherwise(subject)
             out.append(subject.alias(name))
         elif key in ("status", "type"):
-            out.append(name_of(m[key]).alias(name))
+            out.append(name_of(member(key)).alias(name))
         else:
-            out.append(value_text(m[key]).alias(name))
-    out += [value_text(m[key_format.format(n)]).alias(label) for n, label in labels.items()]
+            out.append(value_text(member(key)).alias(name))
+    out += [value_text(member(key_format.format(n))).alias(label) for n, label in labels.items()]
     return items.select(*out)
 
 

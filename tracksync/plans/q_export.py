@@ -12,6 +12,7 @@ from ..operators import export, items
 from ..session import scratch_path
 from ..sources.fixtures import FIXTURE_CONFIG as CFG
 from ..sources.fixtures import FX_SQL, api_items, fixtures, oracle_ctes, page_lines, read_table
+from ..sources.item_table import read_items, save_items
 from ..sources.pages import items_of_pages
 from .catalog import register
 from .publish import publish, read_current
@@ -90,6 +91,13 @@ def q_export_filtered(spark, sf):
     return export.export_filtered(_paged_items(spark, sf), FILTERS, LABELS)
 
 
+@register("q_export_saved_items", _PROJ + _WHERE_FILTERS)
+def q_export_saved_items(spark, sf):
+    """O-69, O-14, O-16: pages saved as shredded items, then filter and projection over the members they name."""
+    saved = save_items(_paged_items(spark, sf).select("item"), scratch_path(spark, "items"))
+    return export.export_filtered(read_items(spark, saved), FILTERS, LABELS)
+
+
 @register("q_clean_text", r"""
 SELECT doc_id, regexp_replace(text, '[^\x20-\x7E]', '', 'g') AS text FROM documents""")
 def q_clean_text(spark, sf):
