@@ -86,3 +86,33 @@ def test_repeated_ids_spread_over_cells(spark, monkeypatch):
         cells = [f for n, f in seen if n == "mix-counts"][-1]
         assert max(r["_n"] for r in cells.collect()) <= 3 * 32
     assert runs[0] == runs[1]
+
+
+def test_running_sums_over_ranges(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["a", "a", "a", "b", None]), i // 7, i % 7, rnd.randint(0, 9)) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, x int, y int, n long").repartition(3)
+    got = mixing.running_sums(df, ["g"], [mixing.F.col("x"), mixing.F.col("y")], {"n": "before"}, "t").collect()
+    seen: dict = {}
+    want = []
+    for g, x, y, n in sorted(rows, key=lambda r: r[1:3]):
+        want.append((g, x, y, n, seen.get(g, 0)))
+        seen[g] = seen.get(g, 0) + n
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    assert mixing.running_sums(df.filter("false"), [], [mixing.F.col("x")], {"n": "before"}, "t").count() == 0
+
+
+def test_many_sources_reach_targets_without_one_task(spark):
+    sizes = {f"s{i:04d}": 1 + i % 17 for i in range(600)} | {None: 5}
+    df = spark.createDataFrame([(s, n, 1) for s, n in sizes.items()], "source string, source_size long, n_docs long")
+    got = {r["source"]: r["target"] for r in mixing.source_targets(df).collect()}
+    want = fill(sizes)
+    assert got.keys() == want.keys()
+    assert all(abs(got[s] - want[s]) < 1e-9 * max(1, want[s]) for s in sizes)
+    plan = mixing.source_targets(df)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and re.search(r"Window \[.*\], \[_range#", plan)
+
+
+def test_words_are_counted_in_the_first_step_alone(spark):
+    mixed = mix_sources(docs(spark, [(i, "w " * i, "ab"[i % 2]) for i in range(50)]), carry=["doc_id"])
+    assert "regexp_count" not in mixed._jdf.queryExecution().executedPlan().toString().lower()

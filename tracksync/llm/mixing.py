@@ -11,6 +11,11 @@ The line is never one task: documents go to cells (source, size class, hash slic
 ``cell_rows`` rows.  Cells are counted first, the cell counts give each cell its place in the
 line, and the place within the cell is a window over that cell alone.  A cell that repeated
 ids overfill is cut at them, and the rows of one id are dealt over cells by their content.
+Neither the cells of a source nor the sources are one task either: they are range-partitioned, and
+running sums go over ranges first (``running_sums``).
+
+Words are counted once: sizes and hashes are written with the rows they belong to, and all
+later steps but the last read the small columns alone.
 """
 
 from __future__ import annotations
@@ -31,26 +36,54 @@ def _hex_fraction(col):
     return F.conv(F.substring(col, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def running_sums(df: DataFrame, by: list[str], order: list, sums: dict[str, str], name: str) -> DataFrame:
+    """``df`` plus, for each {column: output}, its sum over the earlier rows of the same ``by`` in ``order`` (0 on the first).
+
+    ``order`` must tell all rows of one ``by`` apart.  Rows are range-partitioned by (by, order) and written; a window
+    over ranges (at most one row for each range and group) and one within each range add up, so no
+    task holds a group.  Null ``by`` values are a group.
+    """
+    ranged = df.repartitionByRange(*[F.col(c).asc_nulls_last() for c in by], *order).withColumn("_range", F.spark_partition_id())
+    ranged = materialise(ranged, name)
+    earlier = (W.unboundedPreceding, -1)
+
+    def shifted(window, columns: dict[str, str]) -> list:
+        return [F.coalesce(F.sum(c).over(window), F.lit(0)).alias(out) for c, out in columns.items()]
+
+    totals = ranged.groupBy(*by, "_range").agg(*[F.sum(c).alias(out) for c, out in sums.items()])
+    over_ranges = W.partitionBy(*(by or [F.lit(0)])).orderBy("_range").rowsBetween(*earlier)
+    ahead = totals.select(*by, "_range", *shifted(over_ranges, {out: out for out in sums.values()}))
+    within = W.partitionBy(*by, "_range").orderBy(*order).rowsBetween(*earlier)
+    inner = ranged.select("*", *shifted(within, {c: out for c, out in sums.items()}))
+    same = F.col("i._range") == F.col("a._range")
+    for c in by:
+        same = same & F.col(f"i.{c}").eqNullSafe(F.col(f"a.{c}"))
+    return inner.alias("i").join(ahead.alias("a"), same) \
+        .select(*[F.col(f"i.{c}") for c in df.columns], *[(F.col(f"i.{out}") + F.col(f"a.{out}")).alias(out) for out in sums.values()])
+
+
 def source_targets(sizes: DataFrame, weights=(5, 2, 1), budget: float = 1.5, cap: float = 2.0) -> DataFrame:
     """``sizes`` (source, source_size, n_docs, one row each) -> the same with target.
 
     Sources reach their cap in the order of cap / weight.  ``level`` is the share per weight
     if all sources before this one are full; the first source that is not full at its own
-    level sets it for the rest.  One row per source: the windows run over a dictionary.
+    level sets it for the rest, and levels do not rise from there on: it is the highest of an open source,
+    also where several sources reach their cap at once.  Totals and that level are aggregates of one row.
     """
-    order = W.orderBy(F.col("source").asc_nulls_last())
-    every = W.partitionBy(F.lit(0))
+    by_name = [F.col("source").asc_nulls_last()]
     table = F.array(*[F.lit(float(w)) for w in weights])
-    ranked = sizes.withColumn("_w", F.element_at(table, ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))) \
+    ranked = running_sums(sizes.withColumn("_one", F.lit(1)), [], by_name, {"_one": "_rank"}, "mix-sources") \
+        .withColumn("_w", F.element_at(table, (F.col("_rank") % len(weights) + 1).cast("int"))) \
         .withColumn("_cap", F.col("source_size") * F.lit(float(cap)))
-    fill = W.orderBy((F.col("_cap") / F.col("_w")), F.col("source").asc_nulls_last())
-    before = fill.rowsBetween(W.unboundedPreceding, -1)
-    rest = fill.rowsBetween(W.currentRow, W.unboundedFollowing)
-    leveled = ranked.withColumn("_left", F.lit(float(budget)) * F.sum("source_size").over(every) - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))) \
-        .withColumn("_level", F.col("_left") / F.sum("_w").over(rest))
+    full_first = [F.col("_cap") / F.col("_w"), *by_name]
+    filled = running_sums(ranked, [], full_first, {"_cap": "_full", "_w": "_w_full"}, "mix-fill")
+    totals = ranked.groupBy("_one").agg(F.sum("source_size").alias("_words"), F.sum("_w").alias("_weights"))
+    leveled = filled.join(F.broadcast(totals), "_one") \
+        .withColumn("_level", (F.lit(float(budget)) * F.col("_words") - F.col("_full")) / (F.col("_weights") - F.col("_w_full")))
     is_open = F.col("_level") * F.col("_w") <= F.col("_cap")
-    open_level = F.min(F.when(is_open, F.struct(F.col("_cap") / F.col("_w"), F.col("_level").alias("level")))).over(every)["level"]
-    return leveled.withColumn("target", F.when(open_level.isNull(), F.col("_cap")).otherwise(F.least(F.col("_cap"), open_level * F.col("_w")))) \
+    opened = leveled.groupBy("_one").agg(F.max(F.when(is_open, F.col("_level"))).alias("_open"))
+    return leveled.join(F.broadcast(opened), "_one") \
+        .withColumn("target", F.when(F.col("_open").isNull(), F.col("_cap")).otherwise(F.least(F.col("_cap"), F.col("_open") * F.col("_w")))) \
         .select("source", "source_size", "n_docs", "target")
 
 
@@ -101,7 +134,7 @@ def mix_sources(docs: DataFrame, weights=(5, 2, 1), budget: float = 1.5, cap: fl
         F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))).alias("_tie"),
         F.xxhash64("text", *[quoted(c) for c in kept if "map<" not in docs.schema[c].dataType.simpleString()]).alias("_check"))
-    base = base.withColumn("_class", F.floor(F.sqrt(F.col("size").cast("double"))).cast("int"))
+    base = materialise(base.withColumn("_class", F.floor(F.sqrt(F.col("size").cast("double"))).cast("int")), "mix-sized")
     cells = base.groupBy("source", "_class").agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_words"))
     cells = materialise(cells, "mix-cells")
     sizes = cells.groupBy("source").agg(F.sum("_words").alias("source_size"), F.sum("_n").alias("n_docs"))
@@ -120,8 +153,7 @@ def mix_sources(docs: DataFrame, weights=(5, 2, 1), budget: float = 1.5, cap: fl
         for key, spread in ((["size", "_tie"], "_check"), (["_check"], "_salt")):
             placed = _cut_at_repeated(placed, counts, cell_rows, key, spread)
             counts = _counted(placed)
-    line = W.partitionBy("source").orderBy("_class", "_slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(line), F.lit(0)))
+    offsets = running_sums(counts, ["source"], [F.col("_class"), F.col("_slice")], {"_n": "_before"}, "mix-line")
     own = W.partitionBy(*cell).orderBy("size", "_tie", "_check")
     ranked = placed.withColumn("_k", F.row_number().over(own))
     k = F.col("_before") + F.col("_k")
@@ -148,7 +180,7 @@ levels AS (
             / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
 targets AS (
   SELECT source, CAST(source_size AS BIGINT) AS source_size,
-         least(cap, coalesce((SELECT arg_min(level, cap / w) FROM levels WHERE level * w <= cap), 1e300) * w) AS target,
+         least(cap, coalesce((SELECT max(level) FROM levels WHERE level * w <= cap), 1e300) * w) AS target,
          CAST('0x' || substr(md5('mix-1|' || coalesce(source, chr(0) || 'null')), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u FROM levels),
 classes AS (
   SELECT source, CAST(floor(sqrt(size)) AS INT) AS class, ((count(*) - 1) // 4096) + 1 AS slices FROM docs GROUP BY ALL),
