@@ -124,7 +124,7 @@ def mix_sources(docs: DataFrame, weights=(5, 2, 1), budget: float = 1.5, cap: fl
     """One row per document: ``_row`` (its ``carry`` columns, default all), size, source_size, target, copies (int).
 
     Null text has size 0, null source is a source of its own.  A source without words gets
-    target 0 and no copies.  Repeated rows each take a place of their own.  Order within a
+    target 0 and no copies.  Repeated rows each take a place of their own.  An empty table gives no rows.  Order within a
     source: size class, hash slice, size, md5(seed, doc_id), hash of the content: the same on
     every run but for rows that are equal in all of it.
     """

@@ -182,7 +182,9 @@ def learn(x: np.ndarray, bad: np.ndarray, names: list[str], max_rules: int = 16,
 def learn_from(statistics_of: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", bad_value: int = 0, max_rows: int = MAX_LABELLED, **how) -> DecisionList:
     """Learn from the labelled documents, at most ``max_rows`` of them in hash order of the id.
 
-    Rows with a null label or id take no part; a document labelled twice counts twice.
+    Rows with a null label or id take no part; a document labelled twice counts twice, and so does a repeated
+    row.  Empty tables, or labels that meet no document, give the empty list, which drops nothing.  Other columns
+    of either table are not read.
     """
     exprs = statistics()
     labelled = statistics_of.join(labels.filter(F.col(label_col).isNotNull()).select(F.col(id_col), (F.col(label_col) == bad_value).alias("_bad")), id_col)
@@ -198,7 +200,10 @@ def learn_from(statistics_of: DataFrame, labels: DataFrame, id_col: str = "doc_i
 
 
 def judge(statistics_of: DataFrame, rules: DecisionList, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
-    """Statistics plus base_failed, rule (number of the rule that drops it, else null), kept."""
+    """Statistics plus base_failed, rule (number of the rule that drops it, else null), kept.
+
+    One row per row, repeated ones too; an empty table gives no rows.
+    """
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     out = statistics_of.withColumn("base_failed", failed).withColumn("rule", rules.column(statistics()))
     return out.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())

@@ -177,7 +177,10 @@ def secret_spans(text: Column, patterns=PATTERNS, classes=CLASSES, allowed=ALLOW
 
 
 def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``id_col`` and secrets: every span of every whole text, one row per row."""
+    """``id_col`` and secrets: every span of every whole text, one row per row, repeated ones too.
+
+    A null or empty text has no spans; an empty table gives no rows; other columns are not read.
+    """
     return df.select(quoted(id_col), secret_spans(quoted(text_col), **how).alias("secrets"))
 
 
