@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
@@ -116,3 +117,21 @@ def test_many_sources_reach_targets_without_one_task(spark):
 def test_words_are_counted_in_the_first_step_alone(spark):
     mixed = mix_sources(docs(spark, [(i, "w " * i, "ab"[i % 2]) for i in range(50)]), carry=["doc_id"])
     assert "regexp_count" not in mixed._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_whole_rows_are_written_once_and_placed_by_small_columns(spark, monkeypatch):
+    wide: list = []
+    for step in ("materialise", "materialise_texts"):
+        keep = getattr(mixing, step, None)
+        monkeypatch.setattr(mixing, step, lambda df, name, keep=keep: wide.extend([name] * ("_row" in df.columns)) or keep(df, name), raising=False)
+    rows = [(7, "a b c", "s")] * 60 + [(i, f"v{i} x y", "t") for i in range(60)]
+    mixed = mix_sources(docs(spark, rows), cell_rows=8)
+    assert wide == ["mix-sized"]
+    lines = mixed._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = [i for i, line in enumerate(lines) if "Window [" in line]
+    assert at
+    for i in at:
+        depth = lines[i].index("Window [")
+        below = itertools.takewhile(lambda line: len(line) - len(line.lstrip(" :+-")) > depth, lines[i + 1:])
+        assert not any("_row#" in line for line in below)
+    assert sorted(r["_row"]["text"] for r in mixed.collect()) == sorted(t for _, t, _ in rows)
