@@ -7,6 +7,7 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tracksync.plans import publish
@@ -97,3 +98,15 @@ def test_publishing_writes_no_rows(spark, values, tmp_path):
     assert publish.current_parts(spark, root, "values").versions == table.versions != again.versions
     publish.publish(spark, {"values": again}, root)
     assert publish.read_current(spark, root, "values").filter("custom_field_id = 105").count() == 0
+
+
+def test_rows_stream_to_their_buckets_without_a_sort(spark, values, tmp_path, monkeypatch):
+    key, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    before = spark.conf.get(key)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: seen.append(int(spark.conf.get(key))) or write(self, *a, **k))
+    table = EavTable.create(values, str(tmp_path / "a"))
+    assert seen == [BUCKETS] and spark.conf.get(key) == before
+    assert rows(table.read()) == rows(values)
+    with pytest.raises(Exception, match="no number"):
+        EavTable.create(values.withColumn("value", F.raise_error(F.lit("no number")).cast("string")), str(tmp_path / "b"))
+    assert spark.conf.get(key) == before

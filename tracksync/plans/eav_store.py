@@ -12,6 +12,7 @@ steps before, which would otherwise grow from step to step and from run to run.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
@@ -31,6 +32,19 @@ def _bucket(field):
     return F.pmod(F.xxhash64(field.cast("long")), F.lit(BUCKETS)).cast("int")
 
 
+@contextlib.contextmanager
+def _writers(spark: SparkSession, most: int):
+    """Meanwhile a task keeps a file open for each of its at most ``most`` partition values, so it streams its
+    rows and holds none; with one open file Spark sorts all rows of a task by those values first."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 @dataclass(frozen=True)
 class EavTable:
     """Immutable: :meth:`replaced` gives the next state."""
@@ -48,8 +62,9 @@ class EavTable:
     def _written(self, rows: DataFrame, buckets: Sequence[int]) -> EavTable:
         version = uuid.uuid4().hex
         # rebalanced: a bucket with most rows becomes many files, small ones share a task
-        rows.withColumn("bucket", _bucket(F.col("custom_field_id"))).hint("rebalance", "bucket") \
-            .write.partitionBy("bucket").parquet(f"{self.root}/{version}")
+        dealt = rows.withColumn("bucket", _bucket(F.col("custom_field_id"))).hint("rebalance", "bucket")
+        with _writers(self.spark, BUCKETS):
+            dealt.write.partitionBy("bucket").parquet(f"{self.root}/{version}")
         held = self._buckets_of(version)
         strange = held - set(buckets)
         if strange:
