@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
-from tracksync.plans import publish
+from tracksync.plans import publish, q_sync, sync
 from tracksync.plans.eav_store import BUCKETS, EavTable
 
 COLUMNS = ["id", "customized_type", "customized_id", "custom_field_id", "value"]
@@ -110,3 +110,28 @@ def test_rows_stream_to_their_buckets_without_a_sort(spark, values, tmp_path, mo
     with pytest.raises(Exception, match="no number"):
         EavTable.create(values.withColumn("value", F.raise_error(F.lit("no number")).cast("string")), str(tmp_path / "b"))
     assert spark.conf.get(key) == before
+
+
+def test_sources_read_twice_are_written_and_not_cached(spark, tmp_path, monkeypatch):
+    class Enough(Exception):
+        pass
+
+    def log(step, seconds):
+        if step == "q04_q05_capacity":
+            raise Enough
+
+    tables = {
+        "nation": ["id n_nationkey", "concat('NATION_', id) n_name"], "part": ["id p_partkey"], "lineitem": ["id l_suppkey", "1 l_linenumber", "double(id) l_quantity"],
+        "customer": ["id c_custkey", "concat('Customer#', id) c_name", "id % 25 c_nationkey", "1.5D c_acctbal", "'M' c_mktsegment"],
+        "orders": ["id o_orderkey", "id % 20 o_custkey", "'F' o_orderstatus", "2.5D o_totalprice"], "events": ["id event_id", "'click' event_type", "timestamp_ntz'2024-01-01 00:00:11' ts"]}
+    for name, columns in tables.items():
+        spark.range(40).selectExpr(*columns).write.parquet(str(tmp_path / f"{name}.parquet"))
+    cached, cuts, frame, cut = [], [], type(spark.range(0)), sync._cut
+    persist = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, *a: cached.append(self.columns) or persist(self, *a))
+    monkeypatch.setattr(sync, "_cut", lambda df, name: cuts.append(name) or cut(df, name))
+    with pytest.raises(Enough):
+        sync.run_sync(q_sync.inputs(spark, str(tmp_path)), q_sync.CFG, q_sync.RUN_TS, log=log)
+    spark.catalog.clearCache()
+    assert cached == [["id", "subject"]]
+    assert {"entries", "capacity"} <= set(cuts)

@@ -6,7 +6,7 @@ after the steps that grow or rewrite a table (for the EAV table: only the bucket
 fields a step touches, :mod:`tracksync.plans.eav_store`), so the plans stay small
 and a lost executor recomputes from the last table, not from the sources.  (A written table and
 not ``checkpoint()``: a checkpointed frame keeps the constraints the optimizer inferred, and
-these grow with every update.)  Inputs computed once feed both halves of an upsert (insert,
+these grow with every update.)  Inputs computed once and written feed both halves of an upsert (insert,
 then update), so both see one snapshot.  Nothing is published here; see
 :mod:`tracksync.plans.publish`.
 """
@@ -98,13 +98,6 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig, run_ts: _dt.datetime | None = Non
     fields, projects = inp.fields, inp.projects
     given = inp.values.read() if isinstance(inp.values, EavTable) else inp.values
     item_ids, value_ids = IdSequence.from_table(inp.items), IdSequence.from_table(given)
-    held: list[DataFrame] = []
-
-    def hold(df: DataFrame) -> DataFrame:
-        """Persist a source read more than once within a step (insert, then update)."""
-        held.append(df.persist())
-        return df
-
     def upsert_step(table: EavTable, ins: DataFrame, upd: DataFrame, labels) -> EavTable:
         ids = _cut(eav.fields_labelled(fields, labels), "fields")
         return table.replaced(ids, lambda t: eav.upsert(t, fields, ins, upd, entity_type=et, seq=value_ids, field_ids=ids))
@@ -114,11 +107,11 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig, run_ts: _dt.datetime | None = Non
     relations = inp.relations
     # (id, subject) never change after seeding; hash-partitioned on subject once, it serves the
     # four subject joins below (history, capacity, registry, buckets) without re-shuffling items
-    keyed = hold(items.select("id", "subject").repartition("subject"))
+    keyed = items.select("id", "subject").repartition("subject").persist()
     clock("q01_seed")
 
     # Q2 + Q3 history: insert every (item, state) lacking a row, then the latest date per state
-    entries = hold(history.history_entries(keyed, inp.history, cfg))
+    entries = _cut(history.history_entries(keyed, inp.history, cfg), "entries")
     ins, upd = history.history_datos(entries)
     used, untouched = _cut(fields_used(inp, entries, cfg), "fields"), None
     if isinstance(inp.values, EavTable):
@@ -132,15 +125,15 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig, run_ts: _dt.datetime | None = Non
     clock("q02_q03_history")
 
     # Q4 + Q5 capacity attributes (one computation feeds insert and update)
-    cap = hold(registry.attach_items(registry.capacity_long(inp.registry, inp.element, inp.conduct, cfg), keyed))
+    cap = _cut(registry.attach_items(registry.capacity_long(inp.registry, inp.element, inp.conduct, cfg), keyed), "capacity")
     table = upsert_step(table, cap, cap, [lab for _, lab in cfg.capacity_labels])
     clock("q04_q05_capacity")
 
     # Q6 + Q7 registry attributes (five families)
     layers = [(label, spatial.points_in_areas(inp.points, edges))
               for label, edges in inp.area_layers]
-    reg = hold(registry.attach_items(registry.registry_attributes(inp.registry, inp.element, inp.md, layers, cfg),
-                                     keyed))
+    reg = _cut(registry.attach_items(registry.registry_attributes(inp.registry, inp.element, inp.md, layers, cfg),
+                                     keyed), "registry")
     table = upsert_step(table, reg, reg, registry.registry_labels(cfg))
     clock("q06_q07_registry")
 
@@ -149,7 +142,8 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig, run_ts: _dt.datetime | None = Non
     clock("q08_q09_rewrites")
 
     # Q10 + Q11 bucket attributes
-    bk = hold(registry.attach_items(registry.bucket_attributes(inp.registry, inp.element, cfg), keyed))
+    bk = _cut(registry.attach_items(registry.bucket_attributes(inp.registry, inp.element, cfg), keyed), "buckets")
+    keyed.unpersist()
     table = upsert_step(table, bk, bk, [lab for _, lab in cfg.bucket_labels])
     clock("q10_q11_buckets")
 
@@ -188,7 +182,5 @@ def run_sync(inp: SyncInputs, cfg: SyncConfig, run_ts: _dt.datetime | None = Non
     # Q20 re-route linked dossiers to the parent project
     items = _cut(routing.reroute_to_parent(items, table.read(used), relations, projects, cfg), "items")
     clock("q20_reroute")
-    for df in held:
-        df.unpersist()
     values = table if untouched is None else table.read().unionByName(untouched)
     return {"items": items, "values": values, "relations": relations}
